@@ -1,19 +1,21 @@
 """Joining a large table to a smaller one without letting one key decide the run time.
 
-A side is broadcast only after its rows and bytes were counted. A side over the limit is joined by shuffle, and
+A side is broadcast only after its rows and bytes were counted (for a derived side: while it is computed). A side over the limit is joined by shuffle, and
 then the keys that hold a large share of the rows (and rows without a key) are taken out of the shuffle and
 joined map-side against the few dimension rows they need. Both ways give the same rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted
+from tiercraft.session import shared_folder
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
@@ -24,57 +26,71 @@ ROW_OVERHEAD_BYTES = 64
 _HOT = "_hot_key"
 
 
-def footprint(df: DataFrame) -> tuple[int, int]:
-    """Rows and approximate bytes, counted where the data is."""
-    width = reduce(
-        lambda a, b: a + b,
-        [F.coalesce(F.octet_length(quoted(name).cast("string")), F.lit(0)) for name in df.columns],
-        F.lit(ROW_OVERHEAD_BYTES).cast("long"),
-    )
-    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    return rows, size
+class Side(NamedTuple):
+    """A table to attach, and whether every executor can hold it."""
+
+    table: DataFrame
+    small: bool
+
+
+def _footprint() -> list[Column]:
+    """Aggregates: rows and approximate bytes."""
+    width = F.octet_length(F.to_json(F.struct("*"))) + ROW_OVERHEAD_BYTES
+    return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
+
+
+def _is_small(figures: Mapping[str, int]) -> bool:
+    return figures["rows"] <= BROADCAST_ROWS and figures["bytes"] <= BROADCAST_BYTES
+
+
+def measured(df: DataFrame) -> Side:
+    """A table that is cheap to read twice, with its size."""
+    return Side(df, _is_small(df.agg(*_footprint()).first().asDict()))
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether every executor can hold the table, by its counted rows and bytes."""
-    rows, size = footprint(df)
-    return rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES
+def settled(df: DataFrame) -> Side:
+    """A derived table, computed once to a reliable checkpoint and measured on the way."""
+    shared_folder(df.sparkSession)
+    seen = Observation()
+    table = df.observe(seen, *_footprint()).checkpoint(eager=True)
+    return Side(table, _is_small(seen.get))
 
 
 def attach(
     base: DataFrame,
-    side: DataFrame,
+    side: Side,
     on: Sequence[str],
     how: str = "left",
-    *,
-    small: bool | None = None,
 ) -> DataFrame:
     """``base`` joined to ``side`` on equal columns ``on``; ``how`` is left, inner, left_semi or left_anti.
 
-    ``small`` is the outcome of :func:`fits_broadcast` where the caller already has it.
+    The columns of ``base`` come first, in their order.
     """
     on = list(on)
-    if fits_broadcast(side) if small is None else small:
-        return base.join(F.broadcast(side), on, how)
-    return _shuffle_attach(base, side, on, how)
+    names = list(base.columns)
+    if how in ("left", "inner"):
+        names += [name for name in side.table.columns if name not in on]
+    if side.small:
+        joined = base.join(F.broadcast(side.table), on, how)
+    else:
+        joined = _shuffle_attach(base, side.table, on, how)
+    return joined.select(*map(quoted, names))
 
 
 def _shuffle_attach(base: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
     hot = hot_keys(base, on)
     if hot is None:
         return base.join(side, on, how)
-    columns = base.join(side.limit(0), on, how).columns
     marked = base.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), on, "left").withColumn(
         _HOT, F.coalesce(quoted(_HOT), _no_key(on))
     )
     hot_rows = marked.filter(quoted(_HOT)).drop(_HOT)
     cold_rows = marked.filter(~quoted(_HOT)).drop(_HOT)
     hot_side = side.join(F.broadcast(hot), on, "left_semi")
-    if fits_broadcast(hot_side):
+    # Few keys, but a key may have many rows in the side as well.
+    if measured(hot_side).small:
         hot_side = F.broadcast(hot_side)
-    joined_hot = hot_rows.join(hot_side, on, how)
-    joined_cold = cold_rows.join(side, on, how)
-    return joined_hot.select(*map(quoted, columns)).unionByName(joined_cold.select(*map(quoted, columns)))
+    return hot_rows.join(hot_side, on, how).unionByName(cold_rows.join(side, on, how))
 
 
 def _no_key(on: Sequence[str]) -> Column:

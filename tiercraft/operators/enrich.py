@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted, trimmed
-from tiercraft.operators.attach import attach, fits_broadcast
+from tiercraft.operators.attach import Side, attach, settled
 from tiercraft.operators.dedupe import unique_lookup
-from tiercraft.session import settle
 
 # What to call a country or division that no lookup knows.
 NO_COUNTRY = "No Country"
@@ -35,23 +36,51 @@ def headcount_attach(
     Joins on the month number and the address, not on their concatenation. Of several rows for one address and
     month the one with the lowest employee number counts.
     """
-    card = F.struct(*[quoted(source).alias(added) for added, source in HEADCOUNT])
-    order = F.struct(quoted("OktaUserEmployeeNumber"), card)
-    book = settle(
-        headcount.filter(quoted("OktaUserEmail").isNotNull() & quoted("Month_No").isNotNull())
-        .groupBy("Month_No", "OktaUserEmail")
-        .agg(F.min(order).getField("col2").alias("card"))
-    )
-    small = fits_broadcast(book)
-    found = df
-    for position, address in enumerate((email, full_email)):
-        side = book.select(
-            F.col("Month_No").alias(month),
-            F.col("OktaUserEmail").alias(address),
-            F.col("card").alias(f"_hc_{position}"),
-        )
-        found = attach(found, side, [month, address], "left", small=small)
-    added = {name: F.coalesce(*[F.col(f"_hc_{p}").getField(name) for p in (0, 1)]) for name, _ in HEADCOUNT}
+    book = settled(_headcount_book(headcount))
+
+    def look_up(rows: DataFrame, address: str, card: str) -> DataFrame:
+        return attach(rows, Side(_renamed(book.table, month, address, card), book.small), [month, address], "left")
+
+    return _with_cards(df, month, email, full_email, default, look_up)
+
+
+def headcount_of_people(
+    people: DataFrame, headcount: DataFrame, month: str, email: str, full_email: str, default: str = NO_DIVISION
+) -> DataFrame:
+    """:func:`headcount_attach` for a table of people, which has few rows per address and needs no size check."""
+    book = _headcount_book(headcount)
+
+    def look_up(rows: DataFrame, address: str, card: str) -> DataFrame:
+        return rows.join(_renamed(book, month, address, card), [month, address], "left")
+
+    return _with_cards(people, month, email, full_email, default, look_up)
+
+
+def _headcount_book(headcount: DataFrame) -> DataFrame:
+    """One card of attributes per (month, address)."""
+    card = F.struct(*[F.col(source).alias(added) for added, source in HEADCOUNT]).alias("card")
+    keyed = headcount.filter(F.col("OktaUserEmail").isNotNull() & F.col("Month_No").isNotNull())
+    least = F.min(F.struct("OktaUserEmployeeNumber", card)).getField("card").alias("card")
+    return keyed.groupBy("Month_No", "OktaUserEmail").agg(least)
+
+
+def _renamed(book: DataFrame, month: str, address: str, card: str) -> DataFrame:
+    return book.toDF(month, address, card)
+
+
+def _with_cards(
+    df: DataFrame,
+    month: str,
+    email: str,
+    full_email: str,
+    default: str,
+    look_up: Callable[[DataFrame, str, str], DataFrame],
+) -> DataFrame:
+    found = look_up(look_up(df, email, "_short_card"), full_email, "_full_card")
+    added = {
+        name: F.coalesce(F.col("_short_card").getField(name), F.col("_full_card").getField(name))
+        for name, _ in HEADCOUNT
+    }
     added["HCDivisionINC"] = F.coalesce(added["HCDivisionINC"], F.lit(default))
     return found.select(*map(quoted, df.columns), *[value.alias(name) for name, value in added.items()])
 
@@ -66,7 +95,7 @@ def lookup_normalize(
 ) -> DataFrame:
     """``output`` is the lookup's value for ``source``, or ``default``. A key listed twice adds no rows."""
     side = unique_lookup(lookup, "lookup_key", "lookup_value").withColumnRenamed("lookup_key", source)
-    found = attach(df, side, [source], "left")
+    found = attach(df, settled(side), [source], "left")
     value = F.col("lookup_value") if default is None else F.coalesce(F.col("lookup_value"), F.lit(default))
     return found.select(*[quoted(c) for c in df.columns if c != output], value.alias(output))
 

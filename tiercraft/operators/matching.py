@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import Headers, quoted, trim_lower
 from tiercraft.functions.email import email_variants, local_part
-from tiercraft.operators.attach import attach, fits_broadcast
-from tiercraft.session import settle
+from tiercraft.operators.attach import Side, attach, settled
 
 # Identity columns in their two spellings.
 PERSON = (
@@ -82,7 +81,7 @@ def identity_slim(identity: DataFrame) -> DataFrame:
 def _addresses(identity: DataFrame) -> DataFrame:
     """(address, position, person): position 0 for the short address, 1 for the full one."""
     entry = F.posexplode(F.array(quoted(PERSON[1]), quoted(PERSON[2]))).alias("position", "address")
-    person = F.struct(*map(quoted, PERSON)).alias("person")
+    person = F.struct(*PERSON).alias("person")
     return people(identity).select(person, entry).filter(F.col("address").isNotNull())
 
 
@@ -99,48 +98,45 @@ def match_either(base: DataFrame, identity: DataFrame, email: str) -> DataFrame:
 
 def split_either(base: DataFrame, identity: DataFrame, email: str) -> Split:
     """Matched rows as :func:`match_either`; rejects are the base rows whose address nobody has."""
-    links = settle(either_links(base.select(email).distinct(), identity, email))
+    links = settled(either_links(base.select(email).distinct(), identity, email))
+    known = Side(links.table.select(email).distinct(), links.small)
     return Split(
-        attach(base.distinct(), links, [email], "inner").select(*map(quoted, base.columns + list(PERSON))),
-        attach(base, links.select(email).distinct(), [email], "left_anti"),
+        attach(base.distinct(), links, [email], "inner"),
+        attach(base, known, [email], "left_anti"),
     )
 
 
 def fallback_links(
     addresses: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str = "coalesce"
 ) -> DataFrame:
-    """``addresses`` (distinct) with one person each, all NULL if nobody fits.
+    """``addresses`` (distinct) that lead to a person, with that person.
 
     Candidates in order: short address, full address, then both for the fallback address. Of several people with
     one address the lowest id counts. ``mode="coalesce"`` takes each attribute from the first candidate that has
     it; ``mode="winner"`` takes all of them from the first candidate.
     """
-    rank = F.when(F.col("person.OktaUserId").isNotNull(), F.col("person"))
-    book = settle(
+    book = (
         _addresses(identity)
+        .filter(F.col("person.OktaUserId").isNotNull())
         .groupBy("address")
-        .agg(*[_lowest(rank, F.col("position") == p).alias(f"person_{p}") for p in (0, 1)])
+        .agg(*[_least("person", F.col("position") == p).alias(f"person_{p}") for p in (0, 1)])
     )
-    small = fits_broadcast(book)
-    candidates = []
-    found = addresses
-    for source, prefix in ((email, "first"), (fallback, "second")):
-        renamed = book.select(
-            F.col("address").alias(source), *[F.col(f"person_{p}").alias(f"{prefix}_{p}") for p in (0, 1)]
-        )
-        found = attach(found, renamed, [source], "left", small=small)
-        candidates += [F.col(f"{prefix}_{p}") for p in (0, 1)]
+    probe = F.posexplode(F.array(quoted(email), quoted(fallback))).alias("attempt", "address")
+    hits = addresses.select("*", probe).filter(F.col("address").isNotNull()).join(book, ["address"], "inner")
+    order = [(attempt, position) for attempt in (0, 1) for position in (0, 1)]
+    found = hits.groupBy(*addresses.columns).agg(
+        *[_least(f"person_{p}", F.col("attempt") == a).alias(f"candidate_{a}{p}") for a, p in order]
+    )
+    candidates = [F.col(f"candidate_{a}{p}") for a, p in order]
     if mode == "winner":
-        winner = F.coalesce(*candidates)
-        chosen = [winner.getField(name).alias(name) for name in PERSON]
-    else:
-        chosen = [F.coalesce(*[c.getField(name) for c in candidates]).alias(name) for name in PERSON]
-    return found.select(*map(quoted, addresses.columns), *chosen)
+        candidates = [F.coalesce(*candidates)]
+    chosen = [F.coalesce(*[c.getField(name) for c in candidates]).alias(name) for name in PERSON]
+    return found.select(*addresses.columns, *chosen)
 
 
-def _lowest(person: Column, test: Column) -> Column:
+def _least(person: str, test: Column) -> Column:
     # A person struct starts with the id, so the least struct is the lowest id with a fixed tie-break.
-    return F.min(F.when(test, person))
+    return F.min(F.when(test, F.col(person)))
 
 
 def match_fallback(
@@ -150,13 +146,8 @@ def match_fallback(
     key = "_address_pair"
     pair = F.to_json(F.struct(quoted(email), quoted(fallback)))
     seen = base.select(email, fallback).distinct()
-    links = settle(
-        fallback_links(seen, identity, email, fallback, mode)
-        .filter(quoted(PERSON[0]).isNotNull())
-        .select(pair.alias(key), *PERSON)
-    )
-    joined = attach(base.withColumn(key, pair), links, [key], "left")
-    return joined.select(*map(quoted, base.columns), *map(quoted, PERSON))
+    links = settled(fallback_links(seen, identity, email, fallback, mode).select(pair.alias(key), *PERSON))
+    return attach(base.withColumn(key, pair), links, [key], "left").drop(key)
 
 
 def split_fallback(
@@ -175,7 +166,7 @@ def priority_links(addresses: DataFrame, identity: DataFrame, email: str) -> Dat
     never pairs them all.
     """
     slim = identity_slim(identity)
-    person = F.struct(*map(quoted, PERSON_SNAKE)).alias("person")
+    person = F.struct(*PERSON_SNAKE).alias("person")
     entries = [
         ("address", "okta_user_email"),
         ("address", "okta_user_full_email"),
@@ -202,7 +193,7 @@ def priority_links(addresses: DataFrame, identity: DataFrame, email: str) -> Dat
         .filter(F.col("key").isNotNull())
     )
     return (
-        attach(probes, book, ["kind", "key"], "inner")
+        attach(probes, settled(book), ["kind", "key"], "inner")
         .groupBy(quoted(email))
         .agg(F.min_by(F.struct("person", "rule"), "rule").alias("best"))
         .select(quoted(email), "best.person.*", F.col("best.rule").alias("match_rule"))
@@ -218,8 +209,8 @@ def match_priority(base: DataFrame, identity: DataFrame, email: str, record_id:
     key = "_match_address"
     keyed = base.withColumn(key, F.when(quoted(record_id).isNotNull(), quoted(email)))
     seen = keyed.select(key).filter(quoted(key).isNotNull()).distinct()
-    links = settle(priority_links(seen, identity, key).drop("match_rule"))
-    return attach(keyed, links, [key], "left").select(*map(quoted, base.columns), *map(quoted, PERSON_SNAKE))
+    links = settled(priority_links(seen, identity, key).drop("match_rule"))
+    return attach(keyed, links, [key], "left").drop(key)
 
 
 def split_matched(joined: DataFrame, person_id: str, base_columns: Sequence[str] | None = None) -> Split:

@@ -12,9 +12,9 @@ from tiercraft.functions.dates import month_no, parse_timestamp
 from tiercraft.functions.email import strip_prefix10, valid_email
 from tiercraft.functions.interactions import interaction_kind
 from tiercraft.functions.keys import joined_key
-from tiercraft.operators.attach import attach, fits_broadcast
+from tiercraft.operators.attach import Side, attach, settled
 from tiercraft.operators.dedupe import keep_one
-from tiercraft.operators.enrich import headcount_attach
+from tiercraft.operators.enrich import headcount_of_people
 from tiercraft.operators.filters import from_date, from_files, only_month, scan_predicate, through_month, without_months
 from tiercraft.operators.matching import Split, fallback_links
 from tiercraft.plans.layouts import (
@@ -27,7 +27,6 @@ from tiercraft.plans.layouts import (
     AUDIT_SILVER,
 )
 from tiercraft.plans.usage import stamped
-from tiercraft.session import settle
 
 EMAIL = AUDIT_PREFIX + "email"
 FALLBACK = AUDIT_PREFIX + "email_fallback"
@@ -122,34 +121,34 @@ def audit_base(bronze: DataFrame, run: RunContext, files: tuple[str, ...] = ())
     return keep_one(rows, [quoted(RECORD_ID)], newest)
 
 
-def audit_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> DataFrame:
+def audit_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Side:
     """For every (month, address) in use that leads to a person: the person, with that month's headcount."""
     seen = base.select(MONTH, EMAIL, FALLBACK).distinct()
     identity = through_month(identity, "OktaUserUpdatedAt", run.close_month)
-    people = fallback_links(seen, identity, EMAIL, FALLBACK).filter(quoted("OktaUserId").isNotNull())
-    people = headcount_attach(
+    people = fallback_links(seen, identity, EMAIL, FALLBACK)
+    people = headcount_of_people(
         people, only_month(headcount, "Month_No", run.close_month), MONTH, "OktaUserEmail", "OktaUserFullEmail"
     )
-    return settle(people.drop(FALLBACK))
+    return settled(people.drop(FALLBACK))
 
 
 def audit_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
     """Parsed records with their person and headcount, and the records without a person."""
     on = [MONTH, EMAIL]
     people = audit_people(base, identity, headcount, run)
-    small = fits_broadcast(people)
-    joined = attach(base, people, on, "inner", small=small)
+    joined = attach(base, people, on, "inner")
     keys = {
         AUDIT_PREFIX + "key_email": joined_key(quoted(MONTH), quoted("OktaUserEmail")),
         AUDIT_PREFIX + "key_full_email": joined_key(quoted(MONTH), quoted("OktaUserFullEmail")),
     }
     matched = joined.select(
-        *[quoted(AUDIT_PREFIX + name) for name in AUDIT_SILVER],
-        *[quoted(source).alias(name) for name, source in AUDIT_PERSON],
+        *[AUDIT_PREFIX + name for name in AUDIT_SILVER],
+        *[F.col(source).alias(name) for name, source in AUDIT_PERSON],
         *[value.alias(name) for name, value in keys.items()],
         *[quoted(source).alias(name) for name, source in AUDIT_HEADCOUNT],
     )
-    rejects = attach(base, people.select(*on), on, "left_anti", small=small).select(*map(quoted, base.columns))
+    known = Side(people.table.select(*on), people.small)
+    rejects = attach(base, known, on, "left_anti")
     (reason, _), (loaded_at, _) = AUDIT_REJECT_STAMP
     return Split(matched, stamped(rejects, run, reason, loaded_at))
 

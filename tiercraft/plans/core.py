@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from tiercraft.functions.columns import nonempty, project, quoted
-from tiercraft.operators.attach import attach
+from tiercraft.operators.attach import attach, settled
 from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.enrich import NO_COUNTRY, lookup_normalize, trimmed_lookup
 from tiercraft.operators.filters import outside
@@ -74,8 +74,8 @@ def dim_project(projects: DataFrame, billings: DataFrame, countries: DataFrame)
     places = countries.select(
         quoted("country_id").alias("core_billing_country_id"), "country_id", "country_display_name"
     )
-    accounts = attach(accounts, places, ["core_billing_country_id"])
-    return project(attach(projects, accounts, ["core_project_billing_id"]), layouts.DIM_PROJECT)
+    accounts = attach(accounts, settled(places), ["core_billing_country_id"])
+    return project(attach(projects, settled(accounts), ["core_project_billing_id"]), layouts.DIM_PROJECT)
 
 
 def use_case_implementation(bronze: DataFrame) -> DataFrame:

@@ -10,12 +10,11 @@ from tiercraft.functions.columns import project, quoted
 from tiercraft.functions.dates import month_no
 from tiercraft.functions.email import valid_email
 from tiercraft.functions.keys import joined_key, surrogate_key
-from tiercraft.operators.attach import attach, fits_broadcast
-from tiercraft.operators.enrich import headcount_attach
+from tiercraft.operators.attach import Side, attach, settled
+from tiercraft.operators.enrich import headcount_of_people
 from tiercraft.operators.filters import from_files, only_month, through_month, without_months
 from tiercraft.operators.matching import Split, either_links
 from tiercraft.plans.layouts import ACTIVE_KEY, REJECT_REASON, USAGE, USAGE_KEY_PARTS
-from tiercraft.session import settle
 
 USER = "CursorUsageUser"
 MONTH = "CursorUsageMonthNo"
@@ -31,7 +30,7 @@ def usage_base(bronze: DataFrame, run: RunContext, files: tuple[str, ...] = ())
     return without_months(rows, MONTH, run.months_to_skip)
 
 
-def usage_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> DataFrame:
+def usage_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Side:
     """For every (month, address) in use: the people that have the address, with that month's headcount."""
     seen = base.select(MONTH, USER).distinct()
     identity = through_month(identity, "OktaUserUpdatedAt", run.close_month)
@@ -41,10 +40,10 @@ def usage_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run
             "CursorUsageKeyFullEmail": joined_key(quoted(MONTH), quoted("OktaUserFullEmail")),
         }
     )
-    people = headcount_attach(
+    people = headcount_of_people(
         people, only_month(headcount, "Month_No", run.close_month), MONTH, "OktaUserEmail", "OktaUserFullEmail"
     )
-    return settle(_keyed(people).drop(MONTH))
+    return settled(_keyed(people).drop(MONTH))
 
 
 def usage_silver(
@@ -56,12 +55,11 @@ def usage_silver(
     """
     base = usage_base(bronze, run, files)
     people = usage_people(base, identity, headcount, run)
-    small = fits_broadcast(people)
-    matched = attach(_keyed(base.distinct()), people, _ON, "inner", small=small).drop("_month")
+    matched = attach(_keyed(base.distinct()), people, _ON, "inner").drop("_month")
     matched = matched.withColumn(ACTIVE_KEY, surrogate_key(matched, *USAGE_KEY_PARTS))
-    known = people.select(*_ON).distinct()
-    rejects = attach(_keyed(base), known, _ON, "left_anti", small=small).select(*map(quoted, base.columns))
-    return Split(matched.select(*map(quoted, _order(base, matched))), stamped(rejects, run))
+    known = Side(people.table.select(*_ON).distinct(), people.small)
+    rejects = attach(_keyed(base), known, _ON, "left_anti").drop("_month")
+    return Split(matched, stamped(rejects, run))
 
 
 def stamped(
@@ -75,7 +73,3 @@ def stamped(
 def _keyed(df: DataFrame) -> DataFrame:
     # A usage row without a date has no month but is matched all the same.
     return df.withColumn("_month", F.coalesce(quoted(MONTH), F.lit(0)))
-
-
-def _order(base: DataFrame, matched: DataFrame) -> list[str]:
-    return base.columns + [name for name in matched.columns if name not in base.columns]

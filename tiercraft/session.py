@@ -20,6 +20,8 @@ def build_session(app: str = "tiercraft", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # Recording the Python call site of every column expression triples the time to build a wide plan.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
@@ -50,9 +52,3 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_folder(spark)}/stage/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Compute a small derived table once (reliable checkpoint), so size checks and joins do not redo it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted
-from tiercraft.operators.attach import attach
+from tiercraft.operators.attach import attach, measured
 from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.filters import without_months
 from tiercraft.operators.periods import distinct_months, frozen_months
@@ -151,12 +151,13 @@ class Warehouse:
             return
         source = stage(source, "upsert")
         target = self.read(table)
+        new_keys = measured(source.select(*keys))
         touched = {row[0] for row in source.select(month_col).distinct().collect()}
         if not fixed_month:
-            held = attach(target.select(*keys, month_col), source.select(*keys), keys, "left_semi")
+            held = attach(target.select(*keys, month_col), new_keys, keys, "left_semi")
             touched |= {row[0] for row in held.select(month_col).distinct().collect()}
         touched -= set(frozen)
-        kept = attach(target.filter(_in_months(month_col, touched)), source.select(*keys), keys, "left_anti")
+        kept = attach(target.filter(_in_months(month_col, touched)), new_keys, keys, "left_anti")
         # A key that has left its month may leave that month empty.
         written = self._write_months(kept.unionByName(source, allowMissingColumns=True), table, month_col)
         self._drop_months(table, month_col, touched - written)

@@ -356,9 +356,12 @@ class Bronze:
         self.folder = folder
         # Adapters and keys turn timestamps into text, which has to be the same text everywhere.
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        self._given: dict[str, DataFrame] = {}
 
     def given(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._given:
+            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._given[name]
 
     def rows(self, name: str) -> DataFrame:
         """A derived table with plain column names."""

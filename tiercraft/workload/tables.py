@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted, trimmed
 from tiercraft.operators import quality
-from tiercraft.operators.attach import attach
+from tiercraft.operators.attach import attach, settled
 from tiercraft.operators.dedupe import dedupe_by_key, keep_one, latest_per
 from tiercraft.operators.enrich import NO_COUNTRY, headcount_attach, lookup_normalize, trimmed_lookup
 from tiercraft.operators.matching import (
@@ -60,10 +60,15 @@ def identity_split_rejects(b: Bronze) -> DataFrame:
     return split_either(_base(b), identity(b), USER).rejects
 
 
-@query("anti_rejects", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query(
+    "anti_rejects",
+    """SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
+      SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""",
+)
 def anti_rejects(b: Bronze) -> DataFrame:
-    buyers = b.given("orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
-    return attach(b.given("customer").select("c_custkey", "c_name"), buyers, ["c_custkey"], "left_anti")
+    large = b.given("orders").filter(F.col("o_totalprice") > 400000)
+    buyers = large.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    return attach(b.given("customer").select("c_custkey", "c_name"), settled(buyers), ["c_custkey"], "left_anti")
 
 
 @query("identity_fallback", "SELECT * FROM a_people")
@@ -156,7 +161,7 @@ def tie_lowest_id(b: Bronze) -> DataFrame:
         .groupBy("kind", "key")
         .agg(F.min("okta_user_id").alias("lowest_id"), F.count_distinct("okta_user_id").alias("candidates"))
     )
-    hits = attach(probes.filter(F.col("key").isNotNull()), book, ["kind", "key"], "inner")
+    hits = attach(probes.filter(F.col("key").isNotNull()), settled(book), ["kind", "key"], "inner")
     return hits.select("rec", F.col("rule").cast("int").alias("rule"), "lowest_id", "candidates")
 
 
@@ -169,7 +174,7 @@ def left_attach_winner(b: Bronze) -> DataFrame:
     base = priority_base(b.table("usage_digits")).select(RECORD_ID, ADDRESS)
     winners = priority_links(base.select(ADDRESS).distinct(), identity(b), ADDRESS)
     winners = winners.select(ADDRESS, "okta_user_id", F.col("match_rule").alias("rule"))
-    return attach(base, winners, [ADDRESS], "left").drop(ADDRESS)
+    return attach(base, settled(winners), [ADDRESS], "left").drop(ADDRESS)
 
 
 # --- enrichment -------------------------------------------------------------------------------------------
