@@ -12,6 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Texts that count as numbers and booleans.
+WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+TRUE_TEXT = r"(?i)^\s*(t|true|y|yes|1)\s*$"
+FALSE_TEXT = r"(?i)^\s*(f|false|n|no|0)\s*$"
+
+
 class Headers:
     """The headers of one bronze table, looked up by any accepted spelling.
 
@@ -66,9 +72,13 @@ def nonempty(value: Column) -> Column:
 
 
 def to_whole(value: Column, dtype: str = "int") -> Column:
-    """Whole number; text such as ``7.9`` is cut to ``7``, other text is NULL."""
-    whole_part = F.regexp_extract(value.cast("string"), r"^\s*([+-]?\d+)\.\d*\s*$", 1)
-    return F.coalesce(value.try_cast(dtype), whole_part.try_cast(dtype))
+    """Whole number; text such as ``7.9`` is cut to ``7``, other text is NULL.
+
+    Text is taken apart first, because a cast that fails costs far more than one that succeeds.
+    """
+    digits = F.regexp_extract(value.cast("string"), WHOLE_NUMBER, 1)
+    from_text = F.nullif(digits, F.lit("")).try_cast(dtype)
+    return F.when(F.typeof(value) == "string", from_text).otherwise(value.try_cast(dtype))
 
 
 def to_decimal(value: Column, precision: int = 18, scale: int = 8) -> Column:
@@ -80,7 +90,10 @@ def to_ts(value: Column) -> Column:
 
 
 def to_bool(value: Column) -> Column:
-    return value.try_cast("boolean")
+    """Boolean; of texts the words Spark knows, others are NULL (without the cost of a failing cast)."""
+    text = value.cast("string")
+    from_text = F.when(text.rlike(TRUE_TEXT), True).when(text.rlike(FALSE_TEXT), False)
+    return F.when(F.typeof(value) == "string", from_text).otherwise(value.try_cast("boolean"))
 
 
 def to_date(value: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tiercraft.functions.columns import nonempty, trim_lower
+from tiercraft.functions.columns import trim_lower, trimmed
 
 # What counts as an address, and the prefix and suffix that aliases carry.
 ADDRESS_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
@@ -15,7 +15,8 @@ ALIAS_SUFFIX = ".st"
 
 
 def valid_email(value: Column) -> Column:
-    return nonempty(value) & trim_lower(value).rlike(ADDRESS_PATTERN)
+    """Whether the trimmed text is an address; missing and blank text is not."""
+    return F.coalesce(trimmed(value).rlike(ADDRESS_PATTERN), F.lit(False))
 
 
 def local_part(address: Column) -> Column:

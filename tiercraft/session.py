@@ -20,6 +20,9 @@ def build_session(app: str = "tiercraft", cores: str = "*", partitions: int = 8)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        # The JVM interprets, and never compiles, methods over 8000 bytes; above that Spark does better without
+        # fusing the stage into one method.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Recording the Python call site of every column expression triples the time to build a wide plan.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
