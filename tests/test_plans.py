@@ -284,3 +284,25 @@ def test_alerts_and_security(spark, store):
     runs.run_security(store, bronze)
     assert rows(store.read(runs.SECURITY_DIM), "email") == [("NULL",), ("a@b.c",), ("a@b.c",)]
     assert notices.security_silver(bronze).filter(F.col("security_execution_date").isNotNull()).count() == 0
+
+
+def test_fact_reads_one_month_and_hashes_only_groups(spark, store, identity, headcount):
+    bronze = spark.createDataFrame([usage_row("2026-09-10", "bob.smith@corp.com")], USAGE)
+    store.overwrite(usage.usage_silver(bronze, identity, headcount, RUN).matched, runs.USAGE, usage.MONTH)
+    fact = facts.usage_active_fact(store.read(runs.USAGE), replace(RUN, close_month=202609))
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(CursorUsageMonthNo" in plan.replace("\n", " ")
+    assert "sha2(" not in plan[plan.index("SortAggregate") :]
+    assert plan.count("Exchange") == 1
+
+
+def test_audit_filters_come_before_parsing_and_rows_shuffle_once(spark, identity, headcount, tmp_path):
+    spark.createDataFrame(GOLDEN, AUDIT).write.parquet(str(tmp_path / "audit"))
+    run = RunContext(close_month=202609)
+    bronze = spark.read.parquet(str(tmp_path / "audit")).filter(audit.audit_scan_predicate(run))
+    plan = audit.audit_silver(bronze, identity, headcount, run).matched._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(CreationDate,2026-09-01), LessThan(CreationDate,2026-10-01)" in plan
+    lines = plan.splitlines()
+    parse = next(n for n, line in enumerate(lines) if "from_json" in line)
+    assert any("Filter" in line and "RLIKE" in line for line in lines[parse:])
+    assert plan.count("Exchange hashpartitioning") == 1
