@@ -297,6 +297,7 @@ def test_fact_reads_one_month_and_hashes_only_groups(spark, store, identity, hea
 
 
 def test_audit_filters_come_before_parsing_and_rows_shuffle_once(spark, identity, headcount, tmp_path):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     spark.createDataFrame(GOLDEN, AUDIT).write.parquet(str(tmp_path / "audit"))
     run = RunContext(close_month=202609)
     bronze = spark.read.parquet(str(tmp_path / "audit")).filter(audit.audit_scan_predicate(run))

@@ -74,6 +74,7 @@ def test_upsert_does_not_depend_on_row_order(spark, store):
 
 def test_replace_months(filled, spark):
     untouched = files_of(filled, 2)
+    assert filled.stored_months(T) == {1, 2, 3, None}
     filled.replace_months(frame(spark, [(7, 1, "z")]), T, "m", [1, 3])
     assert table(filled) == [(3, 2, "c"), (5, None, "e"), (7, 1, "z")]
     assert files_of(filled, 2) == untouched
@@ -102,13 +103,14 @@ def test_preserve_frozen_modes(filled, spark):
     filled.preserve_frozen(batch, T, "m", [1], ["k"], ["v"])
     assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (3, 2, "c2"), (4, 3, "d"), (5, None, "e"), (6, 4, "new")]
     filled.preserve_frozen(batch, T, "m", [1], mode="rebuild_open")
-    assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (3, 2, "c2"), (5, None, "e"), (6, 4, "new")]
+    assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (3, 2, "c2"), (6, 4, "new")]
+    assert filled.stored_months(T) == {1, 2, 4}
     assert files_of(filled, 1) == closed
 
 
 def test_overwrite_preserve_frozen(filled, spark):
     filled.overwrite_preserve_frozen(frame(spark, [(1, 1, "x"), (8, 2, "y")]), T, "m", [1])
-    assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (5, None, "e"), (8, 2, "y")]
+    assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (8, 2, "y")]
     filled.overwrite_preserve_frozen(frame(spark, [(1, 1, "x")]), T, "m", [])
     assert table(filled) == [(1, 1, "x")]
 

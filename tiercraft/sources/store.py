@@ -17,7 +17,7 @@ from tiercraft.functions.columns import quoted
 from tiercraft.operators.attach import attach, measured
 from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.filters import without_months
-from tiercraft.operators.periods import distinct_months, frozen_months
+from tiercraft.operators.periods import frozen_months
 from tiercraft.session import stage
 
 # The ledger of closed months, and the note on months closed by a run.
@@ -107,7 +107,7 @@ class Warehouse:
     ) -> None:
         """A daily write that leaves closed months as they are.
 
-        ``mode="rebuild_open"``: the open months become exactly ``df``, so open rows it lacks disappear.
+        ``mode="rebuild_open"``: all but the closed months becomes exactly ``df``, so open rows it lacks disappear.
         ``mode="upsert_open"``: ``df`` is upserted into the open months, for batches that hold only some rows.
         """
         frozen = [int(m) for m in frozen]
@@ -115,9 +115,9 @@ class Warehouse:
         if mode == "upsert_open" or not frozen:
             self.upsert(open_rows, table, keys, order, month_col, fixed_month=fixed_month, frozen=frozen)
             return
-        before = set(distinct_months(self.read(table), month_col)) if self.exists(table) else set()
+        before = self.stored_months(table)
         written = self._write_months(open_rows, table, month_col)
-        self._drop_months(table, month_col, sorted(before - set(frozen) - written))
+        self._drop_months(table, month_col, before - set(frozen) - written)
 
     def overwrite_preserve_frozen(self, df: DataFrame, table: str, month_col: str, frozen: Iterable[int]) -> None:
         """Full load of the open months; closed months come from the table itself."""
@@ -127,6 +127,13 @@ class Warehouse:
         else:
             self.overwrite(without_months(df, month_col, frozen), table, month_col)
 
+    def stored_months(self, table: str) -> set[int | None]:
+        """The months a table has, from the catalog alone; None stands for rows without a month."""
+        if not self.exists(table):
+            return set()
+        found = [row[0].rpartition("=")[2] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
+        return {int(month) if month.lstrip("-").isdigit() else None for month in found}
+
     # -- keys ---------------------------------------------------------------------------------------------
 
     def upsert(
