@@ -239,6 +239,14 @@ def test_priority_base_and_log(spark, identity):
     assert rows(split.rejects, "codex_usage_record_id", "codex_matching_log_reason") == [(None, "okta_join_miss"), (2, "okta_join_miss"), (3, "okta_join_miss")]
 
 
+def test_priority_run_writes_both_tables(spark, store, identity, headcount):
+    load(store, identity, headcount)
+    bronze = spark.createDataFrame([(1, "10jane.doe@corp.com"), (2, "bob.smith.st@else.com"), (3, "x@y.z")], "id int, source_email string")
+    runs.run_priority(store, bronze, RUN)
+    assert rows(store.read(runs.PRIORITY), "codex_usage_record_id", "okta_user_id") == [(2, "okta-bob")]
+    assert rows(store.read(runs.PRIORITY_LOG), "codex_usage_record_id", "codex_matching_log_loaded_at") == [(1, LOADED), (3, LOADED)]
+
+
 def test_reference_and_core_runs(spark, store):
     def frame(data, schema):
         return spark.createDataFrame(data, schema)

@@ -1,8 +1,9 @@
 """Joining a large table to a smaller one without letting one key decide the run time.
 
-A side is broadcast only after its rows and bytes were counted (for a derived side: while it is computed). A side over the limit is joined by shuffle, and
-then the keys that hold a large share of the rows (and rows without a key) are taken out of the shuffle and
-joined map-side against the few dimension rows they need. Both ways give the same rows.
+A side is broadcast only after its rows and bytes were counted (for a derived side: while it is computed). A side
+over the limit is joined by shuffle, and then the keys that hold a large share of the rows (and rows without a key)
+are taken out of the shuffle and joined map-side against the few dimension rows they need. Both ways give the same
+rows.
 """
 
 from __future__ import annotations
@@ -53,7 +54,9 @@ def settled(df: DataFrame) -> Side:
     shared_folder(df.sparkSession)
     seen = Observation()
     table = df.observe(seen, *_footprint()).checkpoint(eager=True)
-    return Side(table, _is_small(seen.get))
+    figures = seen.get
+    # A plan found to be empty while it runs may report nothing.
+    return Side(table, _is_small(figures)) if "rows" in figures else measured(table)
 
 
 def attach(

@@ -28,7 +28,16 @@ def priority_base(bronze: DataFrame) -> DataFrame:
     )
 
 
-def priority_silver(bronze: DataFrame, identity: DataFrame, run: RunContext) -> Split:
-    joined = match_priority(priority_base(bronze), identity, ADDRESS, RECORD_ID)
+def priority_joined(bronze: DataFrame, identity: DataFrame) -> DataFrame:
+    """Every record with the person of the best match, or none."""
+    return match_priority(priority_base(bronze), identity, ADDRESS, RECORD_ID)
+
+
+def priority_split(joined: DataFrame, run: RunContext) -> Split:
+    """The silver table and the match log of the joined records."""
     matched, rejects = split_matched(joined, "okta_user_id")
     return Split(matched, stamped(rejects, run, *PRIORITY_LOG_STAMP))
+
+
+def priority_silver(bronze: DataFrame, identity: DataFrame, run: RunContext) -> Split:
+    return priority_split(priority_joined(bronze, identity), run)

@@ -109,8 +109,9 @@ def run_audit(
 
 
 def run_priority(store: Warehouse, bronze: DataFrame, run: RunContext) -> None:
-    """Stream C silver and its match log."""
-    split = priority.priority_silver(bronze, store.read(IDENTITY), run)
+    """Stream C silver and its match log, from one match of the records."""
+    joined = stage(priority.priority_joined(bronze, store.read(IDENTITY)), "priority-joined")
+    split = priority.priority_split(joined, run)
     store.overwrite(split.matched, PRIORITY)
     store.overwrite(split.rejects, PRIORITY_LOG)
 

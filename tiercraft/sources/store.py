@@ -207,7 +207,9 @@ class Warehouse:
         )
         with _touched_partitions_only(self.spark):
             rows.write.mode("overwrite").insertInto(self.name(table))
-        return set(seen.get["months"]) | ({None} if seen.get["without_month"] else set())
+        # A plan found to be empty while it runs may report nothing: then it wrote nothing.
+        months = set(seen.get.get("months") or ())
+        return months | {None} if seen.get.get("without_month") else months
 
     def _drop_months(self, table: str, month_col: str, months: Iterable[int | None]) -> None:
         for month in months:

@@ -386,7 +386,11 @@ def parse_date_multi(b: Bronze) -> DataFrame:
     return rows.withColumn("day", dates.parse_date(F.col("published")))
 
 
-@query("parse_ts_text", "SELECT id, TRY_CAST(updated_at AS TIMESTAMP) AS updated, CAST(TRY_CAST(updated_at AS TIMESTAMP) AS DATE) AS day FROM b_projects")
+@query(
+    "parse_ts_text",
+    """SELECT id, TRY_CAST(updated_at AS TIMESTAMP) AS updated,
+      CAST(TRY_CAST(updated_at AS TIMESTAMP) AS DATE) AS day FROM b_projects""",
+)
 def parse_ts_text(b: Bronze) -> DataFrame:
     rows = b.rows("projects").select("id", dates.parse_timestamp(F.col("updated_at")).alias("updated"))
     return rows.withColumn("day", F.col("updated").cast("date"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiercraft.functions.columns import quoted, trimmed
 from tiercraft.operators import quality
 from tiercraft.operators.attach import attach, settled
-from tiercraft.operators.dedupe import dedupe_by_key, keep_one, latest_per
+from tiercraft.operators.dedupe import dedupe_by_key, latest_per
 from tiercraft.operators.enrich import NO_COUNTRY, headcount_attach, lookup_normalize, trimmed_lookup
 from tiercraft.operators.matching import (
     PERSON_SNAKE,
@@ -22,7 +22,7 @@ from tiercraft.operators.matching import (
     split_fallback,
 )
 from tiercraft.plans import core, facts, notices, reference
-from tiercraft.plans.audit import EMAIL, FALLBACK, audit_base, audit_fields, audit_silver
+from tiercraft.plans.audit import EMAIL, FALLBACK, audit_base, audit_silver
 from tiercraft.plans.priority import ADDRESS, RECORD_ID, priority_base, priority_silver
 from tiercraft.plans.usage import USER, usage_base, usage_silver
 from tiercraft.workload.adapters import EXCLUDED, Bronze
@@ -60,6 +60,32 @@ def identity_split_rejects(b: Bronze) -> DataFrame:
     return split_either(_base(b), identity(b), USER).rejects
 
 
+def _outcomes(split, *names: str) -> DataFrame:
+    """Both outcomes of a split in one table."""
+    matched = split.matched.select(*names, "OktaUserId", F.lit("matched").alias("outcome"))
+    rejects = split.rejects.select(*names, F.lit("rejected").alias("outcome"))
+    return matched.unionByName(rejects, allowMissingColumns=True)
+
+
+@query(
+    "identity_split",
+    """SELECT "CursorUsageUser", "CursorUsageDate", "CursorUsageKind", "OktaUserId", 'matched' AS outcome FROM u_match
+    UNION ALL SELECT "CursorUsageUser", "CursorUsageDate", "CursorUsageKind", NULL, 'rejected' FROM u_rejects""",
+)
+def identity_split(b: Bronze) -> DataFrame:
+    return _outcomes(split_either(_base(b), identity(b), USER), USER, "CursorUsageDate", "CursorUsageKind")
+
+
+@query(
+    "identity_fallback_split",
+    f"""SELECT {A}record_id, {A}email, "OktaUserId",
+      CASE WHEN "OktaUserId" IS NULL THEN 'rejected' ELSE 'matched' END AS outcome FROM a_people""",
+)
+def identity_fallback_split(b: Bronze) -> DataFrame:
+    split = split_fallback(audit_base(b.table("audit"), RUN), identity(b), EMAIL, FALLBACK)
+    return _outcomes(split, f"{A}record_id", EMAIL)
+
+
 @query(
     "anti_rejects",
     """SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
