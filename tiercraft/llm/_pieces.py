@@ -20,10 +20,12 @@ MOST = 400_000
 class Memo:
     """Ids of pieces, kept end to end in one array; emptied when it holds more than ``MOST`` pieces.
 
+    ``encode`` gives the ids of a list of pieces end to end, and how many each has.
+
     ``notes`` has what ``note`` makes of each piece's ids, in the same order.
     """
 
-    def __init__(self, encode: Callable[[list[str]], list[np.ndarray]], note: Callable[[np.ndarray], object] | None = None):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], note: Callable[[np.ndarray], object] | None = None):
         self.encode, self.note = encode, note
         self.clear()
 
@@ -41,21 +43,19 @@ class Memo:
         index = self.index
         new = [x for x in pieces if x not in index]
         if new:
-            made = self.encode(new)
-            counts = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+            made, counts = self.encode(new)
             at, total = len(index), int(counts.sum())
             while self.used + total > len(self.ids):
                 self.ids = np.concatenate((self.ids, np.empty_like(self.ids)))
             while at + len(new) > len(self.counts):
                 self.starts = np.concatenate((self.starts, np.empty_like(self.starts)))
                 self.counts = np.concatenate((self.counts, np.empty_like(self.counts)))
-            if total:
-                self.ids[self.used : self.used + total] = np.concatenate(made)
+            self.ids[self.used : self.used + total] = made
             self.counts[at : at + len(new)] = counts
             self.starts[at : at + len(new)] = self.used + np.cumsum(counts) - counts
             self.used += total
             if self.note:
-                self.notes.extend(map(self.note, made))
+                self.notes.extend(map(self.note, np.split(made, np.cumsum(counts)[:-1])))
             index.update(zip(new, range(at, at + len(new)), strict=True))
         return np.fromiter(map(index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
 

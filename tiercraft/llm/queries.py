@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercraft.llm import rank_bpe
+from tiercraft.llm import line_rules, plane_shards, rank_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -27,6 +27,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_plane_shards")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return plane_shards.read(plane_shards.write(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
+
+
+@query("op6_line_rules", line_rules.check_sql())
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.judge(table(spark, folder, "documents")).drop("text_hash", "frequent")
+
+
 @query("op10_rank_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")

@@ -154,8 +154,8 @@ class RankBpe:
                     out[i] = x
         return out
 
-    def encode_pieces(self, pieces: list[str]) -> list[np.ndarray]:
-        """Ids of pieces that hold no white space at which texts were split; a special token is a piece of its own."""
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, end to end, and their numbers, of pieces that hold no white space at which texts were split; a special token is a piece of its own."""
         words: list[bytes] = []
         number: dict[bytes, int] = {}
         plan = []
@@ -173,11 +173,16 @@ class RankBpe:
                 own.append(number[word])
             plan.append(own)
         ids = self.merge(words)
-        none = np.empty(0, dtype=np.uint32)
-        return [
-            np.array([x], dtype=np.uint32) if isinstance(x, int) else ids[x[0]] if len(x) == 1 else np.concatenate([ids[i] for i in x]) if x else none
-            for x in plan
-        ]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        counts, parts = np.empty(len(plan), dtype=np.int64), []
+        for k, own in enumerate(plan):
+            if isinstance(own, int):
+                parts.append(np.array([own], dtype=np.uint32))
+                counts[k] = 1
+            else:
+                parts.extend([ids[i] for i in own])
+                counts[k] = sizes[own[0]] if len(own) == 1 else sizes[own].sum() if own else 0
+        return np.concatenate(parts) if parts else np.empty(0, dtype=np.uint32), counts
 
     def pieces_of(self, texts: pa.Array) -> pa.Array:
         """Each text as a list of pieces: words at ASCII white space, special tokens taken out first."""
