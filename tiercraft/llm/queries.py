@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercraft.llm import line_rules, plane_shards, rank_bpe
+from tiercraft.llm import line_rules, link_trust, plane_shards, rank_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,6 +33,15 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return plane_shards.read(plane_shards.write(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
 
 
+#: The rules that this library's url query judges by.
+URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+@query("op5_link_trust", link_trust.check_sql(URL_RULES))
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return link_trust.judge(table(spark, folder, "pages"), URL_RULES)
+
+
 @query("op6_line_rules", line_rules.check_sql())
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(table(spark, folder, "documents")).drop("text_hash", "frequent")
