@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, rank_bpe
+from tiercraft.llm import line_rules, link_trust, plane_shards, rank_bpe, window_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -47,6 +47,11 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return line_rules.judge(table(spark, folder, "documents")).drop("text_hash", "frequent")
 
 
+@query("op7_window_dedup", window_dedup.CHECK)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return window_dedup.digests(window_dedup.remove(table(spark, folder, "documents").select("doc_id", "text")))
+
+
 @query("op10_rank_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
