@@ -192,8 +192,10 @@ WITH doc AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\
 windows AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS body FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM doc)),
 gone AS (SELECT doc_id, i FROM (SELECT *, min(doc_id) OVER (PARTITION BY body) AS least FROM windows) WHERE doc_id > least),
 covered AS (SELECT DISTINCT doc_id, i + k AS i FROM gone, (SELECT unnest(range(50)) AS k)),
-listed AS (SELECT doc_id, list(i) AS at, count(*) AS n FROM covered GROUP BY doc_id)
+listed AS (SELECT doc_id, count(*) AS n FROM covered GROUP BY doc_id),
+word AS (SELECT doc_id, i, w[i] AS one FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM doc SEMI JOIN listed USING (doc_id))),
+left_over AS (SELECT doc_id, list(one ORDER BY i) AS kept FROM word ANTI JOIN covered USING (doc_id, i) GROUP BY doc_id)
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), x -> NOT list_contains(at, x)), x -> w[x]) END, ' ')) AS kept_sha256
-FROM doc LEFT JOIN listed USING (doc_id)
+       sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE coalesce(kept, []) END, ' ')) AS kept_sha256
+FROM doc LEFT JOIN listed USING (doc_id) LEFT JOIN left_over USING (doc_id)
 """
