@@ -1,7 +1,7 @@
 """Texts as lists of pieces that can be encoded one by one, with every different piece encoded once.
 
 Splitting and the dictionary of a batch are Arrow operations; what a piece encodes to is remembered in the worker, up
-to ``MOST`` pieces. ``spread`` puts the pieces' ids together again for whole texts.
+to ``most`` pieces. ``spread`` puts the pieces' ids together again for whole texts.
 """
 
 from __future__ import annotations
@@ -18,15 +18,15 @@ MOST = 400_000
 
 
 class Memo:
-    """Ids of pieces, kept end to end in one array; emptied when it holds more than ``MOST`` pieces.
+    """Ids of pieces, kept end to end in one array; emptied when it holds more than ``most`` pieces.
 
     ``encode`` gives the ids of a list of pieces end to end, and how many each has.
 
     ``notes`` has what ``note`` makes of each piece's ids, in the same order.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], note: Callable[[np.ndarray], object] | None = None):
-        self.encode, self.note = encode, note
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], note: Callable[[np.ndarray], object] | None = None, most: int = MOST):
+        self.encode, self.note, self.most = encode, note, most
         self.clear()
 
     def clear(self) -> None:
@@ -38,7 +38,7 @@ class Memo:
 
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """For each piece its place in ``starts`` and ``counts``."""
-        if len(self.index) + len(pieces) > max(MOST, 2 * len(pieces)):
+        if len(self.index) + len(pieces) > max(self.most, 2 * len(pieces)):
             self.clear()
         index = self.index
         new = [x for x in pieces if x not in index]

@@ -41,6 +41,7 @@ from pyspark.sql.window import Window
 from tiercraft.llm import _files
 from tiercraft.llm._pieces import Memo, listed, spread
 from tiercraft.llm._text import slices
+from tiercraft.llm.rank_bpe import byte_characters
 from tiercraft.session import shared_folder, stage
 
 MAGIC = b"TPS1"
@@ -48,6 +49,8 @@ FOOTER = struct.Struct("<9Q4s")
 BLOCK = 1 << 16
 LEVEL = 1
 SLICE_BYTES = 4 << 20
+#: Pieces that a worker remembers, some 250 bytes each.
+PIECES = 900_000
 
 
 def to_planes(ids: np.ndarray, width: int, kind: str) -> list[bytes]:
@@ -190,15 +193,26 @@ class ByteTokenizer:
         self.library.no_truncation()
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.odd = "|".join([self.ODD, *map(re.escape, special)])
-        self.memo = Memo(self.encode)
+        self.memo = Memo(self.encode, most=PIECES)
+        self.shown = dict(enumerate(byte_characters()))
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, counts = [np.empty(0, dtype=np.uint32)], np.empty(len(pieces), dtype=np.int64)
-        for at in range(0, len(pieces), 5000):
-            made = [e.ids for e in self.library.encode_batch_fast(pieces[at : at + 5000], add_special_tokens=False)]
-            counts[at : at + len(made)] = [*map(len, made)]
-            ids.append(np.fromiter(chain.from_iterable(made), dtype=np.uint32))
-        return np.concatenate(ids), counts
+        """Ids end to end and their numbers. Letters alone are one word to the pattern, so the model gets them at once."""
+        model, rest, made = self.library.model, [], []
+        for k, piece in enumerate(pieces):
+            word = piece[1:] if piece[:1] == " " else piece
+            if not word.isalpha():
+                rest.append(k)
+                made.append(None)
+            else:
+                shown = piece.replace(" ", self.shown[32]) if piece.isascii() else piece.encode().decode("latin1").translate(self.shown)
+                made.append([t.id for t in model.tokenize(shown)])
+        for at in range(0, len(rest), 5000):
+            some = rest[at : at + 5000]
+            for k, e in zip(some, self.library.encode_batch_fast([pieces[k] for k in some], add_special_tokens=False), strict=True):
+                made[k] = e.ids
+        counts = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+        return np.fromiter(chain.from_iterable(made), dtype=np.uint32, count=int(counts.sum())), counts
 
     def _listed(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         offsets, codes, pieces = listed(lists)
