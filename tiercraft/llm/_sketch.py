@@ -9,7 +9,7 @@ keys pass than need to, and none is lost.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +25,8 @@ MAX_LOG_WIDTH = 30
 FLUSH = 4_000_000
 FACTORS = [U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)]
 SCHEMA = "slot int, one binary, two binary"
+#: Counters of the frequency estimate (no saturation), and how many go in one piece.
+COUNTERS, COUNTERS_PIECE = 1 << 20, 1 << 16
 
 
 def log_width(keys: float, per_key: float) -> int:
@@ -37,11 +39,16 @@ def place(keys: np.ndarray, row: int, width: int) -> np.ndarray:
         return (keys * FACTORS[row]) >> U64(64 - width)
 
 
+def counter(keys: np.ndarray) -> np.ndarray:
+    return (keys & U64(COUNTERS - 1)).astype(np.int64)
+
+
 class PartitionSketch:
     """The sketch of one task's keys; holds at most FLUSH keys before their pieces are sent."""
 
-    def __init__(self, width: int):
+    def __init__(self, width: int, counted: bool = False):
         self.width = width
+        self.counts = np.zeros(COUNTERS, dtype=np.int64) if counted else None
         self.held: list[np.ndarray] = []
         self.n = 0
 
@@ -56,6 +63,8 @@ class PartitionSketch:
             return
         keys = np.concatenate(self.held)
         self.held, self.n = [], 0
+        if self.counts is not None:
+            self.counts += np.bincount(counter(keys), minlength=COUNTERS)
         packer = zstandard.ZstdCompressor(level=1)
         pack = lambda bits: packer.compress(np.packbits(bits).tobytes())
         for row in range(ROWS):
@@ -74,9 +83,17 @@ class PartitionSketch:
                 if sent[0] is not None:
                     yield pa.RecordBatch.from_arrays([pa.array([row * pieces + k], pa.int32()), pa.array([sent[0]], pa.binary()), pa.array([sent[1]], pa.binary())], ["slot", "one", "two"])
 
+    def close(self) -> Iterator[pa.RecordBatch]:
+        yield from self.flush()
+        if self.counts is not None and self.counts.any():
+            packer = zstandard.ZstdCompressor(level=1)
+            for k in range(COUNTERS // COUNTERS_PIECE):
+                part = self.counts[k * COUNTERS_PIECE : (k + 1) * COUNTERS_PIECE].astype("<i8")
+                yield pa.RecordBatch.from_arrays([pa.array([-1 - k], pa.int32()), pa.array([packer.compress(part.tobytes())], pa.binary()), pa.nulls(1, pa.binary())], ["slot", "one", "two"])
+
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    slot, once, twice = None, None, None
+    slot, once, twice = None, None, np.zeros(0)
 
     def done() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([twice.tobytes()], pa.binary())], ["slot", "bits"])
@@ -86,7 +103,11 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if row[0] != slot:
                 if slot is not None and twice.any():
                     yield done()
-                slot, once, twice = row[0], np.zeros(1 << PIECE - 3, dtype=np.uint8), np.zeros(1 << PIECE - 3, dtype=np.uint8)
+                slot = row[0]
+                once, twice = (np.zeros(1 << PIECE - 3, dtype=np.uint8) for _ in range(2)) if slot >= 0 else (None, np.zeros(COUNTERS_PIECE, dtype="<i8"))
+            if slot < 0:
+                twice += np.frombuffer(zstandard.decompress(row[1]), dtype="<i8")
+                continue
             one = np.frombuffer(zstandard.decompress(row[1]), dtype=np.uint8)
             twice |= once & one
             once |= one
@@ -99,13 +120,21 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Sketch:
     """The merged sketch: whether keys are estimated to occur twice or more."""
 
-    def __init__(self, width: int, pieces: dict[int, bytes]):
+    def __init__(self, width: int, pieces: Iterable[tuple[int, bytes]]):
         self.width = width
         size = 1 << PIECE - 3
         self.bits = np.zeros(ROWS << (width - 3), dtype=np.uint8)
-        for slot, bits in pieces.items():
+        self.counts = np.zeros(COUNTERS, dtype=np.int64)
+        for slot, bits in pieces:
+            if slot < 0:
+                self.counts[(-1 - slot) * COUNTERS_PIECE : -slot * COUNTERS_PIECE] = np.frombuffer(bits, dtype="<i8")
+                continue
             self.bits[slot * size : (slot + 1) * size] = np.frombuffer(bits, dtype=np.uint8)
 
+    def frequency(self, keys: np.ndarray) -> np.ndarray:
+        """How often keys occur, never less than that; where frequencies were counted."""
+        return self.counts[counter(keys)]
+
     def repeated(self, keys: np.ndarray) -> np.ndarray:
         found = np.ones(len(keys), dtype=bool)
         for row in range(ROWS):
@@ -114,18 +143,18 @@ class Sketch:
         return found
 
 
-def build(docs: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], width: int) -> Broadcast:
+def build(docs: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], width: int, counted: bool = False) -> Broadcast:
     """The broadcast sketch of the keys that ``keys_of`` finds in the batches of ``docs``."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = PartitionSketch(width)
+        sketch = PartitionSketch(width, counted)
         for keys in keys_of(batches):
             yield from sketch.add(keys)
-        yield from sketch.flush()
+        yield from sketch.close()
 
     spark = docs.sparkSession
     slots = ROWS << (width - PIECE)
     parts = min(slots, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     merged = docs.mapInArrow(fill, SCHEMA).repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(_merge, "slot int, bits binary")
     # at most 2 * 2**MAX_LOG_WIDTH bits, whatever the input
-    return spark.sparkContext.broadcast(Sketch(width, {row["slot"]: bytes(row["bits"]) for row in merged.toLocalIterator()}))
+    return spark.sparkContext.broadcast(Sketch(width, ((row["slot"], bytes(row["bits"])) for row in merged.toLocalIterator())))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, rank_bpe, window_dedup
+from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, window_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -52,6 +52,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return window_dedup.digests(window_dedup.remove(table(spark, folder, "documents").select("doc_id", "text")))
 
 
+@query("op8_prefix_join", prefix_join.CHECK)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_join.groups(table(spark, folder, "documents"), prefix_join.Similarity(words=4, percent=85)).drop("tie")
+
+
 @query("op10_rank_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
