@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, window_dedup
+from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, window_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -33,6 +33,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return plane_shards.read(plane_shards.write(documents, public_tokenizers.path("byte_bpe_50k.json"), end_id=2))
 
 
+@query("op3_spaced_seeds")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return spaced_seeds.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 #: The rules that this library's url query judges by.
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
