@@ -76,3 +76,50 @@ def spread(offsets: np.ndarray, codes: np.ndarray, place: np.ndarray, memo: Memo
     counts = memo.counts[at]
     ends = np.concatenate(([0], np.cumsum(counts)))
     return memo.ids[ragged(memo.starts[at], counts)], ends[offsets]
+
+
+class PieceRows:
+    """A row of numbers for each piece, made once for each different piece; emptied when it holds more than ``most``."""
+
+    def __init__(self, make: Callable[[list[str]], np.ndarray], most: int = MOST):
+        self.make, self.most = make, most
+        self.index: dict[str, int] = {}
+        self.rows = np.empty((0, 0))
+
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """For each piece its row in ``rows``."""
+        if len(self.index) + len(pieces) > max(self.most, 2 * len(pieces)):
+            self.index.clear()
+        index = self.index
+        new = [x for x in pieces if x not in index]
+        if new:
+            made, at = self.make(new), len(index)
+            if len(self.rows) < at + len(new) or self.rows.shape[1:] != made.shape[1:]:
+                grown = np.empty((2 * (at + len(new)), *made.shape[1:]), dtype=made.dtype)
+                grown[:at] = self.rows[:at] if at else 0
+                self.rows = grown
+            self.rows[at : at + len(new)] = made
+            index.update(zip(new, range(at, at + len(new)), strict=True))
+        return np.fromiter(map(index.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+
+def piece_numbers(texts: pa.Array, rows: PieceRows) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text's words begin (one more at the end), and each word's place in ``rows``; NULL is empty."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    offsets, codes, pieces = listed(lists)
+    if not len(codes):
+        return offsets, np.empty(0, dtype=np.int64)
+    full = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces)) > 0
+    if not full.all():  # what white space at either end of a text leaves
+        some = full[codes]
+        offsets, codes = np.concatenate(([0], np.cumsum(some)))[offsets], codes[some]
+    return offsets, rows.numbers(pieces)[codes]
+
+
+def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Sums of consecutive rows of ``values`` from offset to offset; an empty run sums to 0."""
+    out = np.zeros((len(offsets) - 1, *values.shape[1:]), dtype=np.float64)
+    full = np.flatnonzero(np.diff(offsets))
+    if len(full):
+        out[full] = np.add.reduceat(values, offsets[full], axis=0, dtype=np.float64)
+    return out

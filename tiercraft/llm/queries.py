@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, window_dedup
+from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, window_dedup, word_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -38,6 +39,14 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return spaced_seeds.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query("op4_word_language")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = word_language.remainder("doc_id", 3) == 1
+    model = word_language.learn(documents.where(~held_out))
+    return word_language.predict(documents, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 #: The rules that this library's url query judges by.
 URL_RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
 
