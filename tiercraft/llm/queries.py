@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, window_dedup, word_language
+from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -71,6 +71,15 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_join.groups(table(spark, folder, "documents"), prefix_join.Similarity(words=4, percent=85)).drop("tie")
 
 
+@query("op9_subword_quality")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(word_language.remainder("doc_id", 4) == 2, F.lit(False))
+    labels = table(spark, folder, "labels").where(~held_out)
+    scored = subword_quality.predict(documents, subword_quality.learn(documents.where(~held_out), labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 @query("op10_rank_bpe")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
