@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercraft.llm import line_rules, link_trust, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
+from tiercraft.llm import line_rules, link_trust, loss_difference, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -28,6 +29,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_loss_difference")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    return loss_difference.score(table(spark, folder, "documents"), good)
+
+
 @query("op2_plane_shards")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -84,3 +91,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return rank_bpe.digests(rank_bpe.encode(documents, public_tokenizers.path("word_bpe_49k.json")))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
