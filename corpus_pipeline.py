@@ -38,8 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Words in 50-word passages that an earlier document has go; a document that loses all its words goes."""
-    kept = window_dedup.remove(docs, as_it_is=True).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
-    return with_lengths(kept.withColumnRenamed("kept_text", "text").select(*docs.columns))
+    return with_lengths(window_dedup.clean(docs))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

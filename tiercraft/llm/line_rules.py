@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.session import stage
 
 SPACES = r"[\x20\x09-\x0D]+"
@@ -125,11 +126,12 @@ def judge(docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id",
 def clean(docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
     """The kept documents, all columns, without their frequent lines; lines that stay are unchanged."""
     verdict = judge(docs, rules, key, text, host).where("kept").select(F.col(key).alias("kept_key"), F.col("text_hash").alias("kept_hash"), "frequent").dropDuplicates(["kept_key", "kept_hash"])
-    hashed = docs.withColumn("kept_text_hash", F.xxhash64(F.coalesce(text, F.lit(""))))
-    joined = hashed.join(verdict, F.col(key).eqNullSafe(F.col("kept_key")) & (F.col("kept_text_hash") == F.col("kept_hash")))
-    lines = F.filter(F.split(text, "\n"), lambda x: ~F.array_contains("frequent", F.xxhash64(normal_line(x))))
-    cleaned = F.when(F.size("frequent") == 0, F.col(text)).otherwise(F.array_join(lines, "\n"))
-    return joined.select(*[cleaned.alias(c) if c == text else F.col(c) for c in docs.columns])
+    body = quoted(text)
+    whole = docs.select(row_struct(docs).alias("row"), quoted(key).alias("row_key"), F.xxhash64(F.coalesce(body, F.lit(""))).alias("text_hash"), body.alias("body"))
+    joined = whole.join(verdict, F.col("row_key").eqNullSafe(F.col("kept_key")) & (F.col("text_hash") == F.col("kept_hash")))
+    lines = F.filter(F.split("body", "\n"), lambda x: ~F.array_contains("frequent", F.xxhash64(normal_line(x))))
+    cleaned = F.when(F.size("frequent") == 0, F.col("body")).otherwise(F.array_join(lines, "\n"))
+    return joined.select(*unpacked(docs, **{text: cleaned}))
 
 
 CHECK = r"""

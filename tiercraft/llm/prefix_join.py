@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tiercraft.llm import _sketch
+from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.llm._graph import components
 from tiercraft.llm._text import U64, Words, bytes_of, mix, signed, slices, window_hashes, words_of
 from tiercraft.session import stage
@@ -294,10 +295,10 @@ def one_each(docs: DataFrame, alike: Similarity = Similarity(), key: str = "doc_
     order = Window.partitionBy("group").orderBy(F.asc_nulls_last(key), "tie")
     stay = made.withColumn("group", name).withColumn("rank", F.row_number().over(order)).where("rank = 1")
     stay = stay.select(F.col(key).cast("long").alias("stay_key"), F.col("tie").alias("stay_tie"))
-    tied = docs.withColumn("row_tie", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
-    kept = tied.join(stay, F.col(key).cast("long").eqNullSafe(F.col("stay_key")) & (F.col("row_tie") == F.col("stay_tie")), "left_semi")
-    once = Window.partitionBy(F.col(key), F.col("row_tie")).orderBy(F.lit(0))
-    return kept.withColumn("row_rank", F.row_number().over(once)).where("row_rank = 1").select(*docs.columns)
+    whole = docs.select(row_struct(docs).alias("row"), quoted(key).cast("long").alias("row_key"), F.xxhash64(F.coalesce(quoted(text), F.lit(""))).alias("tie"))
+    kept = whole.join(stay, F.col("row_key").eqNullSafe(F.col("stay_key")) & (F.col("tie") == F.col("stay_tie")), "left_semi")
+    once = Window.partitionBy("row_key", "tie").orderBy(F.lit(0))
+    return kept.withColumn("rank", F.row_number().over(once)).where("rank = 1").select(*unpacked(docs))
 
 
 CHECK = r"""

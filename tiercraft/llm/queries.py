@@ -70,7 +70,7 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op7_window_dedup", window_dedup.CHECK)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
-    return window_dedup.digests(window_dedup.remove(table(spark, folder, "documents").select("doc_id", "text")))
+    return window_dedup.digests(window_dedup.remove(table(spark, folder, "documents")))
 
 
 @query("op8_prefix_join", prefix_join.CHECK)

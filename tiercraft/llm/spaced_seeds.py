@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiercraft.llm import _sketch
+from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.llm._text import BASES, LOWER, U64, Words, bytes_of, mix, signed, slices
 from tiercraft.session import stage
 
@@ -182,4 +183,5 @@ def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str
 def clean(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, all columns, that overlap with no item. A row without a key goes if any such row overlaps."""
     bad = overlaps(docs, items, seeds, key, text).select(F.col(key).cast("long").alias("bad_key")).distinct()
-    return docs.join(bad, F.col(key).cast("long").eqNullSafe(F.col("bad_key")), "left_anti")
+    whole = docs.select(row_struct(docs).alias("row"), quoted(key).cast("long").alias("row_key"))
+    return whole.join(bad, F.col("row_key").eqNullSafe(F.col("bad_key")), "left_anti").select(*unpacked(docs))

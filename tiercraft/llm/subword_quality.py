@@ -202,7 +202,8 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
         yield pa.RecordBatch.from_pylist([{"model": model.to_bytes()}])
 
     made = stage(rows.repartition(1).mapInArrow(train, "model binary"), "model")
-    return Model.of_bytes(bytes(made.first()["model"]), settings)
+    row = made.first()
+    return Model.of_bytes(bytes(row["model"]), settings) if row else fit([], np.empty(0, dtype=np.int64), settings)
 
 
 def _score(shared: Broadcast):

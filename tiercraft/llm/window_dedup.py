@@ -10,7 +10,7 @@ megabytes only the smallest document of equal windows is sent; the others are kn
 of all documents share is a row per slice and not a row per document. Last, documents and the places to remove meet
 in one shuffle, sorted so that a document's places come before its text.
 
-Defined results: NULL and empty texts have no words; shorter texts have no windows. A NULL key counts as larger than
+Defined results: NULL and empty texts have no words (NULL comes back empty); shorter texts have no windows. A NULL key counts as larger than
 any other. Rows with equal keys, also repeated rows, are not earlier than each other. An empty table gives an empty
 table. Other columns are carried along; they go in one struct, so their names cannot clash.
 """
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tiercraft.llm import _sketch
+from tiercraft.llm._carry import row_struct, unpacked
 from tiercraft.llm._text import mix, signed, slices, window_hashes, words_of
 
 SLICE_BYTES = 4 << 20
@@ -156,11 +157,8 @@ def _remove(n: int, as_it_is: bool):
     return run
 
 
-def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text", as_it_is: bool = False) -> DataFrame:
-    """The documents, all columns but the text, with n_words, n_removed and kept_text.
-
-    kept_text is the kept words joined by one space; with ``as_it_is`` a document that loses nothing keeps its text.
-    """
+def _removed(docs: DataFrame, n: int, key: str, text: str, as_it_is: bool) -> DataFrame:
+    """rest (all columns but the text, as a struct), n_words, n_removed and kept_text of every row."""
     tie = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(2**31 - 1).cast("long"))
     plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("row_key"), tie.alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     size = plain.select(F.sum(F.octet_length("body"))).first()[0] or 0
@@ -170,8 +168,7 @@ def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text"
     rank = F.rank().over(Window.partitionBy("h1", "h2").orderBy("row_key"))
     gone = asked.withColumn("rank", rank).where((F.col("run") > 0) | (F.col("rank") > 1))
     start = F.col("place").bitwiseAND(F.lit(2**32 - 1).cast("long")).cast("int")
-    others = [c for c in docs.columns if c != text]
-    rest = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(others)])
+    rest = row_struct(docs, without=(text,))
     whole = docs.select(rest.alias("rest"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("row_key"), tie.alias("tie"), F.lit(True).alias("is_text"), F.lit(0).alias("start"), F.lit(0).alias("run"), F.col(text).alias("body"))
     none = F.lit(None)
     places = gone.select(none.cast(whole.schema["rest"].dataType).alias("rest"), "row_key", F.shiftright("place", 32).alias("tie"), F.lit(False).alias("is_text"), start.alias("start"), F.greatest("run", F.lit(1)).alias("run"), none.cast("string").alias("body"))
@@ -179,8 +176,21 @@ def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text"
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.repartition(partitions, "row_key", "tie").sortWithinPartitions("row_key", "tie", "is_text")
     kind = whole.schema["rest"].dataType.simpleString()
-    out = met.mapInArrow(_remove(n, as_it_is), f"rest {kind}, n_words long, n_removed long, kept_text string")
-    return out.select(*[F.col("rest")[f"c{i}"].alias(c) for i, c in enumerate(others)], "n_words", "n_removed", "kept_text")
+    return met.mapInArrow(_remove(n, as_it_is), f"rest {kind}, n_words long, n_removed long, kept_text string")
+
+
+def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Key, n_words, n_removed and kept_text (kept words joined by one space) of every row."""
+    return _removed(docs.select(key, text), n, key, text, False).select(F.col("rest")["c0"].alias(key), "n_words", "n_removed", "kept_text")
+
+
+def clean(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents, all columns, without their repeated words; one that loses no word keeps its text as it is.
+
+    A document that loses all its words goes; one that had none stays.
+    """
+    made = _removed(docs, n, key, text, True).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
+    return made.select(*unpacked(docs, "rest", **{text: F.col("kept_text")}))
 
 
 def digests(removed: DataFrame, key: str = "doc_id") -> DataFrame:
