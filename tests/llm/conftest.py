@@ -1,8 +1,13 @@
-import random
+import os
+import sys
 
 import pytest
 from pyspark.sql import types as T
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from texts import prose  # noqa: E402
+
 CLASHING = ["row", "rest", "class", "rank", "frequent", "kept_text", "n_words", "row_key", "tie", "body", "host", "is_text", "bad_key", "with.dot"]
 SCHEMA = T.StructType(
     [T.StructField("doc_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()), T.StructField("n_chars", T.LongType())]
@@ -10,14 +15,6 @@ SCHEMA = T.StructType(
 )
 
 
-def prose(seed, n, words=400):
-    """n words of an invented language, the same for the same seed."""
-    rng = random.Random(seed)
-    parts = ["an", "ber", "cho", "dil", "er", "fu", "gal", "hi", "ino", "ke"]
-    stock = ["".join(parts[int(d)] for d in str(1000 + k)) for k in range(words)]
-    return [rng.choice(stock) for _ in range(n)]
-
-
 def frame(spark, rows):
     """A documents table with extra columns whose names clash with those the operators make."""
     full = [(i, t, "en", s, None if t is None else len(t), *["x"] * len(CLASHING)) for i, t, s in rows]
