@@ -10,7 +10,10 @@ many prefix n-grams as the smaller of their l, and when lengths and places in th
 
 Large groups are not paired off. A first round compares every document of an index entry with one centre, the member
 with the fewest n-grams of its own. What these links join is one component, and a second round compares only
-documents of different components, the exact rest. N-grams proved to occur once never leave their task.
+documents of different components, the exact rest. Of documents that are close to one centre it compares those that
+share what sets them apart from it: if x and y share none of these n-grams, both are at least as similar to the
+centre as to each other, so a link of theirs is in one component already. The shared ones must be so many that a
+prefix of the rare ones shows it (``apart``). N-grams proved to occur once never leave their task.
 
 Candidates are verified on whole texts. The result is one row a document with the smallest key of its group.
 
@@ -43,6 +46,8 @@ PER_GRAM, GRAM_BYTES = 3.0, 7
 #: A verification costs as much as so many index entries.
 VERIFY = 8
 MOST_MATCHES = 4
+#: In index entries with so many members all are compared with the centre, also those that cannot be linked to it.
+CROWD = 24
 
 
 @dataclass(frozen=True)
@@ -184,7 +189,7 @@ def index_of(plain: DataFrame, sketch: Broadcast, alike: Similarity) -> DataFram
     entry = Window.partitionBy("token").orderBy("own", "class")
     centre = F.first(F.struct("class", "size", "place", "own")).over(entry)
     rows = rows.withColumn("centre", centre).withColumn("members", F.count("*").over(Window.partitionBy("token")))
-    return stage(rows.where("members > 1").drop("members"), "index")
+    return stage(rows.where("members > 1"), "index")
 
 
 def _packed(n: int):
@@ -209,7 +214,12 @@ def texts_of(plain: DataFrame, classes: DataFrame, alike: Similarity) -> DataFra
     return stage(some.groupBy("class").agg(F.min("packed").alias("packed")), "texts")
 
 
+PAIRS = "a binary, b binary, linked boolean, size int, gone array<bigint>, added array<bigint>"
+
+
 def _verify(alike: Similarity):
+    """Rows (PAIRS); with half of both or more in common also a's size, and what of a is gone in b and added there."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         recent: dict[bytes, np.ndarray] = {}
 
@@ -223,43 +233,82 @@ def _verify(alike: Similarity):
             return recent[name]
 
         for batch in batches:
-            out = []
+            linked, size, gone, added = [], [], [], []
             a, b, x, y = (batch.column(c).to_pylist() for c in ("a", "b", "packed_a", "packed_b"))
             for k in range(len(a)):
                 one, two = grams(a[k], x[k]), grams(b[k], y[k])
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                out.append(alike.linked(both, len(one), len(two)))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())], ["a", "b", "linked"])
+                both = np.intersect1d(one, two, assume_unique=True)
+                linked.append(alike.linked(len(both), len(one), len(two)))
+                near = 2 * len(both) >= len(one) + len(two) - len(both)
+                size.append(len(one))
+                for out, own in ((gone, one), (added, two)):
+                    out.append(np.setdiff1d(own, both, assume_unique=True).view(np.int64) if near else None)
+            arrays = [pa.array(linked, pa.bool_()), pa.array(size, pa.int32()), pa.array(gone, pa.list_(pa.int64())), pa.array(added, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), *arrays], ["a", "b", "linked", "size", "gone", "added"])
 
     return rows
 
 
 def verified(pairs: DataFrame, texts: DataFrame, alike: Similarity) -> DataFrame:
-    """(a, b, linked) for pairs of classes."""
+    """PAIRS for pairs (a, b) of classes."""
     side = lambda name: texts.select(F.col("class").alias(name), F.col("packed").alias(f"packed_{name}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "packed_a", "packed_b")
-    return stage(met.mapInArrow(_verify(alike), "a binary, b binary, linked boolean"), "verified")
+    return stage(met.mapInArrow(_verify(alike), PAIRS), "verified")
+
+
+def _pair(a: str, b: str) -> tuple[Column, Column]:
+    return F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b")
+
+
+def apart(near: DataFrame, roots: DataFrame, alike: Similarity) -> DataFrame:
+    """(a, b): pairs close to one centre, not in one component, that share enough of what sets them apart from it.
+
+    With d n-grams of the centre gone and e added, let f = (100 d + percent e) / (100 + percent), and S be
+    size * (100 - percent) / (100 + percent): a document is linked to its centre when f <= S, and a linked pair must
+    share f(x) + f(y) - S or more of these n-grams. Documents linked to the centre are in one component, so one of the
+    pair has f > S and the other must share more than its own f: all but its first d + e - f, rare ones first, could
+    be missing. Two that are not linked to the centre must both share more than their f.
+    """
+    p = alike.percent
+    f = (100 * F.size("gone") + p * F.size("added")) / F.lit(100 + p)
+    own = near.where("b <> a").select(F.col("a").alias("c"), F.col("b").alias("class"), "linked", (F.size("gone") + F.size("added") - F.floor(f)).alias("first"), "gone", "added")
+    token = F.concat(F.transform("gone", lambda x: F.struct(x.alias("t"), F.lit(0).alias("side"))), F.transform("added", lambda x: F.struct(x.alias("t"), F.lit(1).alias("side"))))
+    rows = own.select("c", "class", "linked", "first", F.explode(token).alias("token"))
+    often = rows.groupBy(F.col("c").alias("often_c"), F.col("token").alias("often_token")).agg(F.count("*").alias("often"))
+    rows = rows.join(often, (F.col("c") == F.col("often_c")) & (F.col("token") == F.col("often_token")))
+    order = Window.partitionBy("c", "class").orderBy("often", "token")
+    rows = rows.withColumn("strict", F.row_number().over(order) <= F.col("first")).where((F.col("often") > 1) & (F.col("strict") | ~F.col("linked")))
+    rows = rows.join(roots.withColumnRenamed("vertex", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    rows = stage(rows.select("c", "token", "class", "linked", "strict", "root"), "apart")
+    x, y = rows.where("strict").alias("x"), rows.where("NOT linked").alias("y")
+    enough = F.col("x.linked") | (F.col("y.strict") & (F.col("x.class") < F.col("y.class")))
+    met = x.join(y, (F.col("x.c") == F.col("y.c")) & (F.col("x.token") == F.col("y.token")) & (F.col("x.root") != F.col("y.root")) & enough)
+    return met.select(*_pair("x.class", "y.class")).distinct()
 
 
 def links_of(plain: DataFrame, index: DataFrame, alike: Similarity) -> DataFrame:
     """(vertex, root): the components of all links between classes."""
     texts = texts_of(plain, index.select("class").distinct(), alike)
-    pair = lambda a, b: (F.least(F.col(a), F.col(b)).alias("a"), F.greatest(F.col(a), F.col(b)).alias("b"))
-    star = index.select(F.struct("class", "size", "place", "own").alias("m"), F.col("centre").alias("c")).where(F.col("m.class") != F.col("c.class"))
-    near = star.where(possible(alike, "m", "c")).select(*pair("m.class", "c.class")).distinct()
-    first = verified(near, texts, alike)
+    star = index.select("members", F.struct("class", "size", "place", "own").alias("m"), F.col("centre").alias("c")).where(F.col("m.class") != F.col("c.class"))
+    close = star.where(possible(alike, "m", "c") | (F.col("members") >= CROWD)).select(F.col("c.class").alias("a"), F.col("m.class").alias("b")).distinct()
+    first = verified(close, texts, alike)
     joined = components(first.where("linked"))
-    # the exact rest: documents of one entry that are not in one component yet
-    entries = index.drop("centre").join(joined.withColumnRenamed("vertex", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
+    # the exact rest: documents of one entry that are not in one component yet; each was held against the centre
+    entries = index.where(F.col("class") != F.col("centre.class")).withColumn("c", F.col("centre.class")).drop("centre", "members")
+    entries = entries.join(joined.withColumnRenamed("vertex", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     counts = entries.groupBy("token", "root").agg(F.count("*").alias("n"))
     split = counts.groupBy("token").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("token", "main")
-    entries = stage(entries.join(split, "token"), "entries")
+    near = first.where("gone IS NOT NULL")
+    is_near = near.select(F.col("a").alias("c"), F.col("b").alias("class"), F.lit(True).alias("near"))
+    entries = entries.join(split, "token").join(is_near, ["c", "class"], "left").withColumn("near", F.coalesce("near", F.lit(False)))
+    entries = stage(entries, "entries")
     m, r = entries.where(F.col("root") != F.col("main")).alias("m"), entries.alias("r")
     once = (F.col("r.root") == F.col("r.main")) | (F.col("m.class") < F.col("r.class"))
-    met = m.join(r, (F.col("m.token") == F.col("r.token")) & (F.col("m.root") != F.col("r.root")) & once & possible(alike, "m", "r"))
-    met = met.select(*pair("m.class", "r.class"), F.least("m.asked", "r.asked").alias("asked"))
-    met = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where(F.col("shared") >= F.col("asked"))
-    rest = verified(met.join(first, ["a", "b"], "left_anti").select("a", "b"), texts, alike)
+    met = m.join(r, (F.col("m.token") == F.col("r.token")) & (F.col("m.root") != F.col("r.root")) & ~(F.col("m.near") & F.col("r.near")) & once & possible(alike, "m", "r"))
+    met = met.select(*_pair("m.class", "r.class"), F.least("m.asked", "r.asked").alias("asked"))
+    met = met.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where(F.col("shared") >= F.col("asked")).select("a", "b")
+    known = first.select(*_pair("a", "b")).distinct()
+    rest = verified(met.unionByName(apart(near, joined, alike)).distinct().join(known, ["a", "b"], "left_anti"), texts, alike)
     more = rest.where("linked")
     if more.isEmpty():
         return joined
