@@ -330,3 +330,25 @@ def test_digest_columns(spark):
         ids = library.encode(texts[r.doc_id], add_special_tokens=False).ids
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_linked_groups_around_one_text(spark, monkeypatch):
+    """Edits of one text, on either side of the threshold, some of them shared: what is linked only with each other."""
+    monkeypatch.setattr(prefix_join, "CROWD", 2)
+    rng = random.Random(8)
+    base = prose(77, 110)
+    edits = [(rng.randrange(110), f"new{k}") for k in range(12)]
+    texts = [" ".join(base)]
+    for _ in range(70):
+        words = list(base)
+        for at, word in [*rng.sample(edits, rng.randint(0, 5)), *[(rng.randrange(110), f"own{rng.random()}") for _ in range(rng.choice([0, 0, 1, 2]))]]:
+            words[at] = word
+        texts.append(" ".join(words))
+    sets = [{tuple(w[k : k + 4]) for k in range(len(w) - 3)} for w in map(str.split, texts)]
+    group = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]):
+            x, y = group[a], group[b]
+            group = [min(x, y) if g in (x, y) else g for g in group]
+    got = {r.doc_id: r.component_id for r in prefix_join.groups(docs_of(spark, texts), prefix_join.Similarity(4, 85)).collect()}
+    assert len(set(group)) > 5 and got == dict(enumerate(group))
