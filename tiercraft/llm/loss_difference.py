@@ -90,14 +90,14 @@ def _token_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _bigram_counts(vocabulary: Broadcast):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(vocabulary.value)
-        counts = [np.zeros(ids.size**2, dtype=np.int64) for _ in range(2)]
+        counts = [np.zeros(ids.size**2, dtype=np.int32) for _ in range(2)]
         for batch in batches:
             for part in slices(batch, "body", SLICE_BYTES):
                 offsets, at = ids.bigrams(part.column("body"))
                 marked = np.repeat(part.column("marked").to_numpy(zero_copy_only=False).astype(bool), np.diff(offsets))
                 for model, some in enumerate((at, at[marked])):
                     found, n = np.unique(some, return_counts=True)
-                    counts[model][found] += n
+                    counts[model][found] += n.astype(np.int32)
         packer = zstandard.ZstdCompressor(level=1)
         for model, every in enumerate(counts):
             every = every.reshape(ids.size, ids.size)
@@ -119,7 +119,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for at, packed in zip(batch.column("slot").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-            row = np.frombuffer(zstandard.decompress(packed), dtype=np.int64)
+            row = np.frombuffer(zstandard.decompress(packed), dtype=np.int32)
             if at != slot:
                 if slot is not None:
                     yield done()
@@ -162,7 +162,8 @@ def score(docs: DataFrame, marked: DataFrame, settings: Settings = Settings(), k
     vocabulary = spark.sparkContext.broadcast([r["token"] for r in top.collect()])
     size = 1 + SHAPES + len(vocabulary.value)
     target = marked.select(F.col(key).alias("marked_key")).where("marked_key IS NOT NULL").distinct().withColumn("marked", F.lit(True))
-    flagged = plain.join(target, F.col("row_key") == F.col("marked_key"), "left").select("body", F.coalesce("marked", F.lit(False)).alias("marked"))
+    # a merge join at every size: marked documents are as many as the corpus lets them be
+    flagged = plain.join(target.hint("merge"), F.col("row_key") == F.col("marked_key"), "left").select("body", F.coalesce("marked", F.lit(False)).alias("marked"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = flagged.mapInArrow(_bigram_counts(vocabulary), "slot int, counts binary").repartition(partitions, "slot").sortWithinPartitions("slot")
     matrix = np.zeros((2 * size, size), dtype=np.int64)
