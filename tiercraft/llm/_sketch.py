@@ -18,6 +18,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from tiercraft.llm._text import U64
+from tiercraft.llm._tasks import map_arrow
 
 ROWS = 2
 PIECE = 20
@@ -155,6 +156,6 @@ def build(docs: DataFrame, keys_of: Callable[[Iterator[pa.RecordBatch]], Iterato
     spark = docs.sparkSession
     slots = ROWS << (width - PIECE)
     parts = min(slots, max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    merged = docs.mapInArrow(fill, SCHEMA).repartition(parts, "slot").sortWithinPartitions("slot").mapInArrow(_merge, "slot int, bits binary")
+    merged = docs.transform(map_arrow, fill, SCHEMA).repartition(parts, "slot").sortWithinPartitions("slot").transform(map_arrow, _merge, "slot int, bits binary")
     # at most 2 * 2**MAX_LOG_WIDTH bits, whatever the input
     return spark.sparkContext.broadcast(Sketch(width, ((row["slot"], bytes(row["bits"])) for row in merged.toLocalIterator())))

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.llm._pieces import PieceRows, piece_numbers, sums
 from tiercraft.llm._text import slices
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
@@ -157,7 +158,7 @@ def score(docs: DataFrame, marked: DataFrame, settings: Settings = Settings(), k
     """Key, n_tokens, target_loss, background_loss and difference of every row; ``marked`` has the target's keys."""
     spark = docs.sparkSession
     plain = docs.select(F.col(key).alias("row_key"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    counts = plain.select("body").mapInArrow(_token_counts, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counts = plain.select("body").transform(map_arrow, _token_counts, "token string, n long").groupBy("token").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "token").limit(settings.words)  # the vocabulary, a parameter of the model
     vocabulary = spark.sparkContext.broadcast([r["token"] for r in top.collect()])
     size = 1 + SHAPES + len(vocabulary.value)
@@ -165,15 +166,15 @@ def score(docs: DataFrame, marked: DataFrame, settings: Settings = Settings(), k
     # a merge join at every size: marked documents are as many as the corpus lets them be
     flagged = plain.join(target.hint("merge"), F.col("row_key") == F.col("marked_key"), "left").select("body", F.coalesce("marked", F.lit(False)).alias("marked"))
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = flagged.mapInArrow(_bigram_counts(vocabulary), "slot int, counts binary").repartition(partitions, "slot").sortWithinPartitions("slot")
+    rows = flagged.transform(map_arrow, _bigram_counts(vocabulary), "slot int, counts binary").repartition(partitions, "slot").sortWithinPartitions("slot")
     matrix = np.zeros((2 * size, size), dtype=np.int64)
     # two rows for each id of the vocabulary at most
-    for row in stage(rows.mapInArrow(_add, "slot int, counts binary"), "bigrams").toLocalIterator():
+    for row in stage(rows.transform(map_arrow, _add, "slot int, counts binary"), "bigrams").toLocalIterator():
         matrix[row["slot"]] = np.frombuffer(zstandard.decompress(bytes(row["counts"])), dtype=np.int64)
     both = np.empty((size * size, 2), dtype=np.float32)
     both[:, 0], both[:, 1] = losses(matrix[size:], settings.strength).ravel(), losses(matrix[:size], settings.strength).ravel()
     del matrix
     tables = spark.sparkContext.broadcast(both)
     kind = plain.schema["row_key"].dataType.simpleString()
-    out = plain.mapInArrow(_score(vocabulary, tables), f"row_key {kind}, n_tokens long, target_loss double, background_loss double, difference double")
+    out = plain.transform(map_arrow, _score(vocabulary, tables), f"row_key {kind}, n_tokens long, target_loss double, background_loss double, difference double")
     return out.withColumnRenamed("row_key", key)

@@ -42,6 +42,7 @@ from tiercraft.llm import _files
 from tiercraft.llm._pieces import Memo, listed, spread
 from tiercraft.llm._text import slices
 from tiercraft.llm.rank_bpe import byte_characters
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import shared_folder, stage
 
 MAGIC = b"TPS1"
@@ -280,7 +281,7 @@ def write(docs: DataFrame, path: str, end_id: int, folder: str | None = None, ke
 
     taken = docs.select(F.col(key).cast("long").alias("row_key"), F.col(text).alias("piece_text"), F.xxhash64(text).alias("tie"))
     ordered = taken.repartitionByRange("row_key", "tie").sortWithinPartitions("row_key", "tie")
-    return stage(ordered.mapInArrow(run, MANIFEST), "manifest")
+    return stage(ordered.transform(map_arrow, run, MANIFEST), "manifest")
 
 
 def read(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -297,7 +298,7 @@ def read(manifest: DataFrame, key: str = "doc_id") -> DataFrame:
                     yield from _documents(ShardReader(file), row["before"])
 
     partitions = int(manifest.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    read = placed.repartition(partitions, "path").mapInArrow(run, "row_key long, start long, n_tokens long, ids_crc32 long")
+    read = placed.repartition(partitions, "path").transform(map_arrow, run, "row_key long, start long, n_tokens long, ids_crc32 long")
     return read.withColumnRenamed("row_key", key)
 
 

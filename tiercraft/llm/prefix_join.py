@@ -39,6 +39,7 @@ from tiercraft.llm import _sketch
 from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.llm._graph import components
 from tiercraft.llm._text import U64, Words, bytes_of, mix, signed, slices, window_hashes, words_of
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import stage
 
 #: Counters of the sketch for each estimated n-gram; a word and its space take about 7 bytes.
@@ -183,7 +184,7 @@ def possible(alike: Similarity, a: str, b: str) -> Column:
 
 def index_of(plain: DataFrame, sketch: Broadcast, alike: Similarity) -> DataFrame:
     """Index entries with two classes or more, each class once, with the entry's centre."""
-    rows = plain.select("body").mapInArrow(_prefixes(sketch, alike), INDEX)
+    rows = plain.select("body").transform(map_arrow, _prefixes(sketch, alike), INDEX)
     partitions = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = rows.repartition(partitions, "token").distinct()
     entry = Window.partitionBy("token").orderBy("own", "class")
@@ -209,7 +210,7 @@ def _packed(n: int):
 
 def texts_of(plain: DataFrame, classes: DataFrame, alike: Similarity) -> DataFrame:
     """(class, packed): one compressed text for each class in ``classes``."""
-    every = plain.select("body").mapInArrow(_packed(alike.words), "class binary, packed binary")
+    every = plain.select("body").transform(map_arrow, _packed(alike.words), "class binary, packed binary")
     some = every.join(classes, "class", "left_semi")
     return stage(some.groupBy("class").agg(F.min("packed").alias("packed")), "texts")
 
@@ -253,7 +254,7 @@ def verified(pairs: DataFrame, texts: DataFrame, alike: Similarity) -> DataFrame
     """PAIRS for pairs (a, b) of classes."""
     side = lambda name: texts.select(F.col("class").alias(name), F.col("packed").alias(f"packed_{name}"))
     met = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "packed_a", "packed_b")
-    return stage(met.mapInArrow(_verify(alike), PAIRS), "verified")
+    return stage(met.transform(map_arrow, _verify(alike), PAIRS), "verified")
 
 
 def _pair(a: str, b: str) -> tuple[Column, Column]:
@@ -319,7 +320,7 @@ def links_of(plain: DataFrame, index: DataFrame, alike: Similarity) -> DataFrame
 def groups(docs: DataFrame, alike: Similarity = Similarity(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """Key, tie (hash of the text), n_shingles and component_id of every row."""
     plain = docs.select(F.col(key).cast("long").alias("row_key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    rows = stage(plain.mapInArrow(_classes(alike.words), "row_key long, tie long, class binary, size long"), "classes")
+    rows = stage(plain.transform(map_arrow, _classes(alike.words), "row_key long, tie long, class binary, size long"), "classes")
     bytes_in = plain.select(F.sum(F.octet_length("body"))).first()[0] or 0
     sketch = _sketch.build(plain.select("body"), _keys(alike.words), _sketch.log_width(bytes_in / GRAM_BYTES, PER_GRAM), counted=True)
     joined = links_of(plain, index_of(plain, sketch, alike), alike)

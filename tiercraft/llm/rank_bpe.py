@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.llm._pieces import Memo, listed, spread
 from tiercraft.llm._text import slices
+from tiercraft.llm._tasks import map_arrow
 
 SHORT = 64
 NONE = np.int32(2**31 - 1)
@@ -249,7 +250,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
 
     taken = docs.select(F.col(key).alias("row_key"), F.col(text).alias("piece_text"))
     kind = taken.schema["row_key"].dataType.simpleString()
-    return taken.mapInArrow(run, f"row_key {kind}, ids binary, decoded string").withColumnRenamed("row_key", key)
+    return taken.transform(map_arrow, run, f"row_key {kind}, ids binary, decoded string").withColumnRenamed("row_key", key)
 
 
 def n_tokens(ids: Column) -> Column:

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from tiercraft.llm import _sketch
 from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.llm._text import BASES, LOWER, U64, Words, bytes_of, mix, signed, slices
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import stage
 
 PLAIN = LOWER.copy()
@@ -157,7 +158,7 @@ def _verify(seeds: Seeds):
 def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Key, item key, first_word, last_word (after it), equal_words (most of one alignment) and item_words, a row a pair."""
     tests = items.select(F.col(item_key).cast("long").alias("item_key"), F.coalesce(F.col(item_text), F.lit("")).alias("body")).where("item_key IS NOT NULL")
-    index = stage(tests.mapInArrow(_items(seeds), "seed long, item long, item_place int").distinct(), "seeds")
+    index = stage(tests.transform(map_arrow, _items(seeds), "seed long, item long, item_place int").distinct(), "seeds")
     n = index.count()
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
@@ -167,15 +168,15 @@ def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str
 
     known = _sketch.build(index.select("seed"), seen, _sketch.log_width(n, 32))
     plain = docs.select(F.col(key).cast("long").alias("row_key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    regions = stage(plain.mapInArrow(_regions(known, seeds), REGION), "regions")
+    regions = stage(plain.transform(map_arrow, _regions(known, seeds), REGION), "regions")
     name = ["row_key", "tie", "start"]
     hits = regions.select(*name, F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(*name, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place"))
     lined = hits.join(index, "seed").select(*name, "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     words = regions.select(*[F.col(c).alias(f"region_{c}") for c in name], "doc_words").dropDuplicates([f"region_{c}" for c in name])
     same = F.col("row_key").eqNullSafe(F.col("region_row_key")) & (F.col("tie") == F.col("region_tie")) & (F.col("start") == F.col("region_start"))
-    of_items = tests.mapInArrow(_tokens, "item long, item_words binary").distinct()
+    of_items = tests.transform(map_arrow, _tokens, "item long, item_words binary").distinct()
     met = lined.join(words, same).join(of_items, "item").select("row_key", "item", "start", "shift", "doc_words", "item_words")
-    found = met.mapInArrow(_verify(seeds), "row_key long, item long, first_word int, last_word int, equal_words int, item_words int")
+    found = met.transform(map_arrow, _verify(seeds), "row_key long, item long, first_word int, last_word int, equal_words int, item_words int")
     out = found.groupBy("row_key", "item").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"), F.max("equal_words").alias("equal_words"), F.max("item_words").alias("item_words"))
     return out.withColumnRenamed("row_key", key).withColumnRenamed("item", item_key)
 

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.llm._pieces import PieceRows, piece_numbers, sums
 from tiercraft.llm._text import slices
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
@@ -201,7 +202,7 @@ def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), k
         model = fit(table["body"].to_pylist(), table["y"].to_numpy(), settings)
         yield pa.RecordBatch.from_pylist([{"model": model.to_bytes()}])
 
-    made = stage(rows.repartition(1).mapInArrow(train, "model binary"), "model")
+    made = stage(rows.repartition(1).transform(map_arrow, train, "model binary"), "model")
     row = made.first()
     return Model.of_bytes(bytes(row["model"]), settings) if row else fit([], np.empty(0, dtype=np.int64), settings)
 
@@ -234,4 +235,4 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.select(F.col(key).alias("row_key"), F.col(text).alias("body"))
     kind = plain.schema["row_key"].dataType.simpleString()
-    return plain.mapInArrow(_score(shared), f"row_key {kind}, score double").withColumnRenamed("row_key", key)
+    return plain.transform(map_arrow, _score(shared), f"row_key {kind}, score double").withColumnRenamed("row_key", key)

@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from tiercraft.llm import _sketch
 from tiercraft.llm._carry import row_struct, unpacked
 from tiercraft.llm._text import mix, signed, slices, window_hashes, words_of
+from tiercraft.llm._tasks import map_arrow
 
 SLICE_BYTES = 4 << 20
 #: Counters of the sketch for each estimated anchor; about one anchor is made per 80 bytes of text.
@@ -164,7 +165,7 @@ def _removed(docs: DataFrame, n: int, key: str, text: str, as_it_is: bool) -> Da
     size = plain.select(F.sum(F.octet_length("body"))).first()[0] or 0
     width = _sketch.log_width(size / ANCHOR_BYTES, PER_ANCHOR)
     sketch = _sketch.build(plain.select("body"), _anchor_keys(n), width)
-    asked = plain.mapInArrow(_candidates(sketch, n), OPEN)
+    asked = plain.transform(map_arrow, _candidates(sketch, n), OPEN)
     rank = F.rank().over(Window.partitionBy("h1", "h2").orderBy("row_key"))
     gone = asked.withColumn("rank", rank).where((F.col("run") > 0) | (F.col("rank") > 1))
     start = F.col("place").bitwiseAND(F.lit(2**32 - 1).cast("long")).cast("int")
@@ -176,7 +177,7 @@ def _removed(docs: DataFrame, n: int, key: str, text: str, as_it_is: bool) -> Da
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.repartition(partitions, "row_key", "tie").sortWithinPartitions("row_key", "tie", "is_text")
     kind = whole.schema["rest"].dataType.simpleString()
-    return met.mapInArrow(_remove(n, as_it_is), f"rest {kind}, n_words long, n_removed long, kept_text string")
+    return met.transform(map_arrow, _remove(n, as_it_is), f"rest {kind}, n_words long, n_removed long, kept_text string")
 
 
 def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql.window import Window
 
 from tiercraft.llm._pieces import PieceRows, piece_numbers, sums
 from tiercraft.llm._text import slices
+from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
@@ -99,7 +100,7 @@ def learn(labelled: DataFrame, settings: Settings = Settings(), key: str = "doc_
     n = rows.count()
     share = min(1.0, settings.sample_rows / max(n, 1))
     sample = rows.where(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000)).select("lang", "body")
-    words = stage(sample.mapInArrow(_word_counts, "lang string, word string, n long").groupBy("lang", F.col("word").alias("item")).agg(F.sum("n").alias("n")), "words")
+    words = stage(sample.transform(map_arrow, _word_counts, "lang string, word string, n long").groupBy("lang", F.col("word").alias("item")).agg(F.sum("n").alias("n")), "words")
     padded = F.concat(F.lit(" "), F.col("item"), F.lit(" "))
     grams = None
     for size in range(1, settings.longest + 1):
@@ -158,7 +159,7 @@ def predict(docs: DataFrame, model: Model, settings: Settings = Settings(), key:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     plain = docs.select(F.col(key).alias("row_key"), F.col(text).alias("body"))
     kind = plain.schema["row_key"].dataType.simpleString()
-    return plain.mapInArrow(_predict(shared, settings), f"row_key {kind}, lang_pred string, score double").withColumnRenamed("row_key", key)
+    return plain.transform(map_arrow, _predict(shared, settings), f"row_key {kind}, lang_pred string, score double").withColumnRenamed("row_key", key)
 
 
 def remainder(key: str, of: int) -> Column:
