@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tiercraft.workload.registry import INTERACTIONS
 from tiercraft.context import RunContext, frozen_to_skip, month_bounds
 from tiercraft.functions import audit_json, dates, email, interactions
 from tiercraft.functions.columns import (
@@ -113,41 +114,44 @@ def test_keys(spark):
 
 def test_interaction_kinds_and_factors(spark):
     cases = [
-        ("Copilot.Fabric.X", "Analyst", "Power BI / Fabric", "006", "0.70", "2.43"),
-        ("Copilot.Studio.X", None, "Copilot Studio Agent", "004", "1.00", "1.14"),
-        ("MicrosoftAgent.X", "Researcher", "Specialized Agent", "005", "1.00", "1.14"),
-        ("MicrosoftAgent.X", None, "Built-in Agent", "003", "1.00", "1.14"),
-        ("Copilot.M365Copilot.Bizchat", None, "Web Chat", "001", "0.70", "0.066667"),
-        ("Copilot.M365Copilot.Apps", None, "Microsoft 365 App", "002", "0.617", "0.79"),
-        (None, None, "Other", "007", "0.617", "1.69"),
+        ("suite.data.x", "Analyst", "Report", "6", "0.75", "2.5"),
+        ("suite.studio.x", None, "Studio agent", "4", "1.00", "1.3"),
+        ("suiteagent.x", "Researcher", "Named agent", "5", "1.00", "1.4"),
+        ("suiteagent.x", None, "Built-in agent", "3", "1.00", "1.2"),
+        ("suite.chat.firm", None, "Chat", "1", "0.75", "0.083333"),
+        ("suite.office", None, "Office", "2", "0.625", "0.8"),
+        (None, None, "Other", "7", "0.625", "1.7"),
     ]
     df = spark.createDataFrame([c[:2] for c in cases], "app string, agent string")
-    kind = interactions.interaction_kind(F.col("app"), F.col("agent"))
+    kind = INTERACTIONS.kind(F.col("app"), F.col("agent"))
     got = df.select(
-        kind, interactions.use_case_code(kind), interactions.automation_factor(kind),
-        interactions.hours_saved_factor(kind),
+        kind, INTERACTIONS.use_case_code(kind), INTERACTIONS.automation_factor(kind),
+        INTERACTIONS.hours_saved_factor(kind),
     ).collect()
     for row, (_, _, name, code, automation, hours) in zip(got, cases, strict=True):
-        assert row[:] == (name, f"UC-9007-COP-{code}", Decimal(automation), Decimal(hours))
+        assert row[:] == (name, f"CASE-{code}", Decimal(automation), Decimal(hours))
     odd = spark.createDataFrame([("Others",), ("unheard of",), (None,)], "k string")
     k = F.col("k")
-    assert [r[:] for r in odd.select(interactions.use_case_code(k), interactions.automation_factor(k)).collect()] == [
-        ("UC-9007-COP-007", Decimal("0.617")),
-        ("UC-9007-COP-007", None),
-        ("UC-9007-COP-007", None),
+    spelled = interactions.Interactions(factors={**INTERACTIONS.factors, "Others": interactions.Factors(None, "0.5", "1")})
+    assert [r[:] for r in odd.select(spelled.use_case_code(k), spelled.automation_factor(k)).collect()] == [
+        ("CASE-7", Decimal("0.5")),
+        ("CASE-7", None),
+        ("CASE-7", None),
     ]
+    none = interactions.Interactions()
+    assert df.select(none.kind(F.col("app"), F.col("agent")), none.use_case_code(F.col("app"))).distinct().collect() == [("Other", None)]
 
 
 def test_measures_keep_their_decimal_types(spark):
-    df = spark.createDataFrame([("Microsoft 365 App", 3)], "k string, n int")
-    hours = interactions.hours_saved_factor(F.col("k"))
+    df = spark.createDataFrame([("Office", 3)], "k string, n int")
+    hours = INTERACTIONS.hours_saved_factor(F.col("k"))
     one = F.lit("1").cast("decimal(18,8)")
     got = df.select(
         interactions.hours_saved(F.col("n"), hours, one).alias("s"),
-        interactions.hours_total(F.col("n"), hours, interactions.automation_factor(F.col("k"))).alias("t"),
+        interactions.hours_total(F.col("n"), hours, INTERACTIONS.automation_factor(F.col("k"))).alias("t"),
     )
     assert got.dtypes == [("s", "decimal(38,6)"), ("t", "decimal(38,9)")]
-    assert got.first()[:] == (Decimal("2.370000"), Decimal("3.841166937"))
+    assert got.first()[:] == (Decimal("2.400000"), Decimal("3.840000000"))
 
 
 def test_payload_edges(spark):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tiercraft.operators import attach as attaching
 from tiercraft.operators import filters, matching, quality
-from tiercraft.operators.attach import attach, hot_keys, measured, settled
+from tiercraft.operators.attach import attach, measured, settled
 from tiercraft.operators.dedupe import dedupe_by_key, first_present, keep_one, latest_per, unique_lookup
 from tiercraft.operators.enrich import headcount_attach, headcount_of_people, lookup_normalize
 from tiercraft.operators.periods import distinct_months, frozen_months
@@ -60,21 +60,34 @@ def test_attach_equals_brute_force(spark, either_way, how):
     assert got == sorted(want, key=lambda r: [(x is not None, str(x)) for x in r])
 
 
-def test_hot_keys_finds_the_heavy_ones_and_is_bounded(spark):
-    base, _ = hot_base(spark)
-    found = hot_keys(base, ["k"], 0.1)
-    assert "hot" in {r[0] for r in found.collect()}
-    assert found.count() <= 20
-    assert found.filter("k is null").count() == 0
-    assert hot_keys(base.filter("k is null"), ["k"]) is None
-
-
-def test_hot_rows_do_not_go_through_the_shuffle_join(spark, monkeypatch):
+def test_a_large_side_is_joined_in_one_pass_and_hot_keys_are_split(spark, monkeypatch, tmp_path):
     monkeypatch.setattr(attaching, "BROADCAST_ROWS", 0)
-    base, _ = hot_base(spark)
-    side = spark.createDataFrame([("hot", 1)], "k string, s int")
-    plan = attach(base, measured(side), ["k"], "left")._jdf.queryExecution().toString()
-    assert "_hot_key" in plan and "Union" in plan
+    data, _ = hot_base(spark)
+    wide = data.withColumn("pad", F.sha2(F.monotonically_increasing_id().cast("string"), 512))
+    wide.repartition(8).write.parquet(str(tmp_path / "base"))
+    base = spark.read.parquet(str(tmp_path / "base"))
+    side = spark.createDataFrame([("hot", 1), *[(f"k{i}", i) for i in range(900)]], "k string, s int")
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.files.maxPartitionBytes": "64k",
+        "spark.sql.shuffle.partitions": "50",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        joined = attach(base, measured(side), ["k"], "left")
+        assert joined.count() == base.count()
+        rows = joined.select("k", "s", "pad")
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert "skew=true" in plan
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 1
 
 
 def test_settled_measures_while_it_computes(spark, monkeypatch):

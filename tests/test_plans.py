@@ -9,12 +9,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tiercraft.context import RunContext
+from tiercraft.workload.registry import INTERACTIONS
 from tiercraft.plans import audit, core, dimensions, facts, notices, priority, reference, runs, usage
 from tiercraft.plans.dimensions import Exclusions
 from tiercraft.sources.scan import empty_table
 
 LOADED = datetime(2026, 10, 1)
-RUN = RunContext(min_date="2026-09-01", load_ts=LOADED)
+RUN = RunContext(min_date="2026-09-01", load_ts=LOADED, interactions=INTERACTIONS)
 IDENTITY = (
     "OktaUserId string, OktaUserEmail string, OktaUserFullEmail string, OktaUserEmployeeNumber string, "
     "OktaUserFullName string, OktaUserRegion string, OktaUserCountry string, OktaUserUpdatedAt timestamp"
@@ -36,7 +37,7 @@ def audit_row(record, day, user, app, prompts=1, loaded="2026-09-20 00:00:00"):
     return (record, f"{day}T10:00:00", user, text, None, None, None, None, loaded)
 
 
-CHAT, APPS = "Copilot.M365Copilot.WebChat", "Copilot.M365Copilot.Apps"
+CHAT, APPS = "suite.chat.web", "suite.office"
 GOLDEN = [
     audit_row("r1", "2026-09-15", "10jane.doe@corp.com", CHAT),
     audit_row("r2", "2026-09-16", "bob.smith@corp.com", APPS),
@@ -75,8 +76,8 @@ def test_hand_checked_audit_case(spark, identity):
     assert len(split.matched.columns) == 50 and len(split.rejects.columns) == 34
     fact = facts.audit_active_fact(split.matched, RUN)
     assert rows(fact, "userId", "userEmail", "userFullEmail", "Request", "LastModification", "useCaseDisplayName") == [
-        ("okta-bob", "bob.smith@corp.com", "bob.smith@corp.com", 1, date(2026, 9, 16), "Microsoft 365 App"),
-        ("okta-jane", "jane.doe@corp.com", "jane.doe@corp.com", 1, date(2026, 9, 15), "Web Chat"),
+        ("okta-bob", "bob.smith@corp.com", "bob.smith@corp.com", 1, date(2026, 9, 16), "Office"),
+        ("okta-jane", "jane.doe@corp.com", "jane.doe@corp.com", 1, date(2026, 9, 15), "Chat"),
     ]
     assert len(fact.columns) == 40
     assert len(facts.onboard_fact(split.matched, "audit", RUN).columns) == 21
@@ -308,10 +309,78 @@ def test_audit_filters_come_before_parsing_and_rows_shuffle_once(spark, identity
     spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     spark.createDataFrame(GOLDEN, AUDIT).write.parquet(str(tmp_path / "audit"))
     run = RunContext(close_month=202609)
-    bronze = spark.read.parquet(str(tmp_path / "audit")).filter(audit.audit_scan_predicate(run))
-    plan = audit.audit_silver(bronze, identity, headcount, run).matched._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(CreationDate,2026-09-01), LessThan(CreationDate,2026-10-01)" in plan
+    bronze = spark.read.parquet(str(tmp_path / "audit"))
+    bronze = bronze.filter(audit.audit_scan_predicate(run, bronze))
+    plan = audit.audit_base(bronze, run)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(CreationDate,2026-09-01),LessThan(CreationDate,2026-10-01)" in plan.replace("), L", "),L")
     lines = plan.splitlines()
     parse = next(n for n, line in enumerate(lines) if "from_json" in line)
     assert any("Filter" in line and "RLIKE" in line for line in lines[parse:])
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def snake(df, **names):
+    return df.toDF(*[names.get(c, c) for c in df.columns])
+
+
+@pytest.mark.parametrize("close", [None, 202609])
+def test_runs_find_columns_under_other_headers(spark, store, identity, headcount, close):
+    load(store, identity, headcount)
+    run = replace(RUN, close_month=close)
+    bronze = spark.createDataFrame([audit_row("r2", " 2026-09-16", "bob.smith@corp.com", APPS)], AUDIT)
+    runs.run_audit(store, snake(bronze, CreationDate="creation_date", UserId="user_id", RecordId="record_id"), run)
+    assert store.read(runs.AUDIT).count() == 1
+    rows_ = spark.createDataFrame([usage_row("2026-09-10", "bob.smith@corp.com")], USAGE)
+    runs.run_usage(store, snake(rows_, Date="date", User="USER", FileName="file_name"), run)
+    assert store.read(runs.USAGE).count() == 1
+
+
+def test_a_daily_run_needs_its_first_day():
+    with pytest.raises(ValueError, match="min_date"):
+        RunContext().first_day  # noqa: B018
+
+
+def test_rejects_without_a_month_stay_where_a_run_leaves_such_rows_out(spark, store, identity, headcount):
+    load(store, identity, headcount)
+    bronze = spark.createDataFrame([usage_row("no date", "q@corp.com"), usage_row("2026-09-10", "q@corp.com")], USAGE)
+    without = lambda: store.read(runs.USAGE_REJECTS).filter(F.col(usage.MONTH).isNull()).count()
+    runs.run_usage(store, bronze, RUN)
+    assert without() == 1
+    closing = replace(RUN, close_month=202609)
+    runs.run_usage(store, bronze, closing)
+    assert without() == 1
+    runs.run_usage_gold(store, closing)
+    runs.run_usage(store, bronze, RUN)
+    assert without() == 1 and store.frozen_months("cursor") == [202609]
+
+
+def test_usage_is_read_once_for_both_outcomes_and_nothing_stays_staged(spark, store, identity, headcount, tmp_path):
+    import glob
+
+    from tiercraft.session import shared_folder
+
+    load(store, identity, headcount)
+    place = shared_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{place}/stage/*"))
+    runs.run_usage(store, spark.createDataFrame([usage_row("2026-09-10", "bob.smith@corp.com")], USAGE), RUN)
+    runs.run_audit(store, spark.createDataFrame(GOLDEN, AUDIT), RUN)
+    assert set(glob.glob(f"{place}/stage/*")) == before
+
+
+def test_a_close_that_fails_leaves_the_ledger_and_can_be_repeated(spark, store, identity, headcount, monkeypatch):
+    load(store, identity, headcount)
+    bronze = spark.createDataFrame([usage_row("2026-09-10", "bob.smith@corp.com")], USAGE)
+    countries = spark.createDataFrame([("ES", "Spain")], "Country string, DisplayName string")
+    inputs = runs.Inputs(countries, usage=bronze, audit=spark.createDataFrame(GOLDEN, AUDIT))
+    closing = replace(RUN, close_month=202609)
+    with monkeypatch.context() as broken:
+        broken.setattr(runs, "run_audit_gold", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            runs.run_close(store, inputs, closing, Exclusions())
+    assert store.frozen_months("cursor") == [] and store.frozen_months("copilot") == []
+    runs.run_close(store, inputs, closing, Exclusions())
+    assert store.frozen_months("cursor") == [202609] and store.frozen_months("copilot") == [202609]
+    runs.run_daily(store, inputs, RUN, Exclusions())
+    assert store.read(runs.USAGE_ACTIVE).count() == 1 and store.read(runs.AUDIT_ACTIVE).count() == 2
+    assert len(store.read(runs.AUDIT_ONBOARD + "_columns").columns) == 21
+    assert store.read(runs.USAGE_ACTIVE + "_columns").columns[0] == "Month_No" or len(store.read(runs.USAGE_ACTIVE + "_columns").columns) == 40

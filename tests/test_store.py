@@ -163,3 +163,41 @@ def test_scans(spark, store, tmp_path):
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(v,b)" in plan and "ReadSchema: struct<k:int,v:string>" in plan
     assert scan.empty_table(spark, "a int").isEmpty()
+
+
+@pytest.mark.parametrize("month", [None, "m"])
+def test_a_full_load_that_fails_leaves_the_table(spark, store, month):
+    store.overwrite(frame(spark, [(1, 1, "a"), (2, 2, "b")]), T, month)
+    broken = frame(spark, [(9, 1, "z")]).withColumn("v", F.raise_error(F.lit("broken")).cast("string"))
+    for bad in (broken, broken.withColumn("extra", F.lit(1))):
+        with pytest.raises(Exception, match="broken"):
+            store.overwrite(bad, T, month)
+        assert table(store) == [(1, 1, "a"), (2, 2, "b")]
+
+
+@pytest.mark.parametrize("month", [None, "m"])
+def test_a_full_load_may_read_the_table_itself(spark, store, month):
+    store.overwrite(frame(spark, [(1, 1, "a"), (2, 2, "b"), (3, None, "c")]), T, month)
+    store.overwrite(store.read(T).filter("k > 1").withColumn("v", F.upper("v")), T, month)
+    assert table(store) == [(2, 2, "B"), (3, None, "C")]
+    store.overwrite(store.read(T).withColumn("more", F.lit(1)), T, month)
+    assert rows(store.read(T), "k", "more") == [(2, 1), (3, 1)]
+
+
+@pytest.mark.parametrize("limit", [None, 0])
+def test_a_key_of_a_closed_month_stays_there(filled, spark, monkeypatch, limit):
+    if limit is not None:
+        monkeypatch.setattr(attaching, "BROADCAST_ROWS", limit)
+    batch = frame(spark, [(1, 2, "moved"), (3, 3, "moved"), (7, 2, "new")])
+    assert filled.preserve_frozen(batch, T, "m", [1], ["k"], ["v"], fixed_month=False) == 1
+    assert table(filled) == [(1, 1, "a"), (2, 1, "b"), (3, 3, "moved"), (4, 3, "d"), (5, None, "e"), (7, 2, "new")]
+
+
+def test_a_cluster_must_name_its_shared_folder(monkeypatch):
+    from types import SimpleNamespace
+
+    from tiercraft.session import shared_folder as folder_of
+
+    context = SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        folder_of(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda *a: None)))

@@ -6,8 +6,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime
 
-# Fixed value: the earliest activity date a daily audit run takes in unless told otherwise.
-DEFAULT_MIN_DATE = "2026-10-01"
+from tiercraft.functions.interactions import Interactions
 
 
 def month_bounds(month_no: int) -> tuple[date, date]:
@@ -25,13 +24,16 @@ class RunContext:
     min_date: str | None = None
     frozen: tuple[int, ...] = ()
     load_ts: datetime | None = None
+    interactions: Interactions = Interactions()
 
     @property
     def first_day(self) -> str:
-        """Earliest activity date of the run: the closing month's first day, else the daily minimum."""
+        """Earliest activity date of the run: the closing month's first day, else ``min_date``, which a daily run needs."""
         if self.close_month is not None:
             return month_bounds(self.close_month)[0].isoformat()
-        return self.min_date or DEFAULT_MIN_DATE
+        if self.min_date is None:
+            raise ValueError("a daily run needs min_date: earlier rows are left out")
+        return self.min_date
 
     @property
     def months_to_skip(self) -> list[int]:

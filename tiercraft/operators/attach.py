@@ -1,32 +1,26 @@
 """Joining a large table to a smaller one without letting one key decide the run time.
 
 A side is broadcast only after its rows and bytes were counted (for a derived side: while it is computed). A side
-over the limit is joined by shuffle, and then the keys that hold a large share of the rows (and rows without a key)
-are taken out of the shuffle and joined map-side against the few dimension rows they need. Both ways give the same
-rows.
+over the limit is joined by shuffle and merge, where Spark splits the partitions of hot keys while it runs. Both ways
+give the same rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from tiercraft.functions.columns import quoted
 from tiercraft.session import shared_folder
 
 BROADCAST_ROWS = 2_000_000
 BROADCAST_BYTES = 256 * 1024 * 1024
-# A key is hot when it holds at least this share of the rows, so there are at most 1 / HOT_SHARE of them.
-HOT_SHARE = 0.001
 ROW_OVERHEAD_BYTES = 64
 
-_HOT = "_hot_key"
-
-
 class Side(NamedTuple):
     """A table to attach, and whether every executor can hold it."""
 
@@ -34,9 +28,16 @@ class Side(NamedTuple):
     small: bool
 
 
-def _footprint() -> list[Column]:
-    """Aggregates: rows and approximate bytes."""
-    width = F.octet_length(F.to_json(F.struct("*"))) + ROW_OVERHEAD_BYTES
+def _footprint(df: DataFrame) -> list[Column]:
+    """Aggregates: rows and approximate bytes; text counts as it is, nested values by their JSON, others as fixed."""
+    width = F.lit(ROW_OVERHEAD_BYTES)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            width = width + F.coalesce(F.octet_length(quoted(field.name)), F.lit(0))
+        elif isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(quoted(field.name)))), F.lit(0))
+        else:
+            width = width + 16
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(width), F.lit(0)).alias("bytes")]
 
 
@@ -46,14 +47,14 @@ def _is_small(figures: Mapping[str, int]) -> bool:
 
 def measured(df: DataFrame) -> Side:
     """A table that is cheap to read twice, with its size."""
-    return Side(df, _is_small(df.agg(*_footprint()).first().asDict()))
+    return Side(df, _is_small(df.agg(*_footprint(df)).first().asDict()))
 
 
 def settled(df: DataFrame) -> Side:
     """A derived table, computed once to a reliable checkpoint and measured on the way."""
     shared_folder(df.sparkSession)
     seen = Observation()
-    table = df.observe(seen, *_footprint()).checkpoint(eager=True)
+    table = df.observe(seen, *_footprint(df)).checkpoint(eager=True)
     figures = seen.get
     # A plan found to be empty while it runs may report nothing.
     return Side(table, _is_small(figures)) if "rows" in figures else measured(table)
@@ -76,41 +77,7 @@ def attach(
     if side.small:
         joined = base.join(F.broadcast(side.table), on, how)
     else:
-        joined = _shuffle_attach(base, side.table, on, how)
+        # A merge join, which adaptive execution splits where a key of ``base`` (or no key) has a large share of the
+        # rows; ``base`` runs once, and nothing has to be known about its keys beforehand.
+        joined = base.join(side.table.hint("merge"), on, how)
     return joined.select(*map(quoted, names))
-
-
-def _shuffle_attach(base: DataFrame, side: DataFrame, on: list[str], how: str) -> DataFrame:
-    hot = hot_keys(base, on)
-    if hot is None:
-        return base.join(side, on, how)
-    marked = base.join(F.broadcast(hot.withColumn(_HOT, F.lit(True))), on, "left").withColumn(
-        _HOT, F.coalesce(quoted(_HOT), _no_key(on))
-    )
-    hot_rows = marked.filter(quoted(_HOT)).drop(_HOT)
-    cold_rows = marked.filter(~quoted(_HOT)).drop(_HOT)
-    hot_side = side.join(F.broadcast(hot), on, "left_semi")
-    # Few keys, but a key may have many rows in the side as well.
-    if measured(hot_side).small:
-        hot_side = F.broadcast(hot_side)
-    return hot_rows.join(hot_side, on, how).unionByName(cold_rows.join(side, on, how))
-
-
-def _no_key(on: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [quoted(name).isNull() for name in on])
-
-
-def hot_keys(base: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
-    """Every key with at least ``share`` of the rows (and perhaps some with fewer), without NULL keys.
-
-    One pass that keeps at most ``1 / share`` candidates per task; ``None`` when there are none.
-    """
-    key = base.select(F.struct(*[quoted(name) for name in on]).alias("key")).filter(
-        ~reduce(lambda a, b: a | b, [F.col("key").getField(name).isNull() for name in on])
-    )
-    found = key.stat.freqItems(["key"], share).first()[0] or []
-    if not found:
-        return None
-    fields = [base.schema[name] for name in on]
-    schema = ", ".join(f"`{field.name}` {field.dataType.simpleString()}" for field in fields)
-    return base.sparkSession.createDataFrame([tuple(item) for item in found], schema)

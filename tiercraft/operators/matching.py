@@ -143,20 +143,27 @@ def match_fallback(
     base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str = "coalesce"
 ) -> DataFrame:
     """Base rows with the identity columns of the person found by ``email``, else by ``fallback``."""
-    key = "_address_pair"
+    keyed, links = _fallback_sides(base, identity, email, fallback, mode)
+    return attach(keyed, links, [_PAIR], "left").drop(_PAIR)
+
+
+_PAIR = "_address_pair"
+
+
+def _fallback_sides(base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str) -> tuple[DataFrame, Side]:
     pair = F.to_json(F.struct(quoted(email), quoted(fallback)))
     seen = base.select(email, fallback).distinct()
-    links = settled(fallback_links(seen, identity, email, fallback, mode).select(pair.alias(key), *PERSON))
-    return attach(base.withColumn(key, pair), links, [key], "left").drop(key)
+    links = settled(fallback_links(seen, identity, email, fallback, mode).select(pair.alias(_PAIR), *PERSON))
+    return base.withColumn(_PAIR, pair), links
 
 
 def split_fallback(
     base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str = "coalesce"
 ) -> Split:
     """Rows with a person, and the base columns of rows without one."""
-    joined = match_fallback(base, identity, email, fallback, mode)
-    found = quoted(PERSON[0]).isNotNull()
-    return Split(joined.filter(found), joined.filter(~found).select(*map(quoted, base.columns)))
+    keyed, links = _fallback_sides(base, identity, email, fallback, mode)
+    known = Side(links.table.select(_PAIR), links.small)
+    return Split(attach(keyed, links, [_PAIR], "inner").drop(_PAIR), attach(keyed, known, [_PAIR], "left_anti").drop(_PAIR))
 
 
 def priority_links(addresses: DataFrame, identity: DataFrame, email: str) -> DataFrame:

@@ -10,7 +10,7 @@ from tiercraft.functions import audit_json as payloads
 from tiercraft.functions.columns import Headers, quoted, to_ts, to_whole, trim_lower
 from tiercraft.functions.dates import month_no, parse_timestamp
 from tiercraft.functions.email import strip_prefix10, valid_email
-from tiercraft.functions.interactions import interaction_kind
+from tiercraft.functions.interactions import Interactions
 from tiercraft.functions.keys import joined_key
 from tiercraft.operators.attach import Side, attach, settled
 from tiercraft.operators.dedupe import keep_one
@@ -27,6 +27,7 @@ from tiercraft.plans.layouts import (
     AUDIT_SILVER,
 )
 from tiercraft.plans.usage import stamped
+from tiercraft.session import stage
 
 EMAIL = AUDIT_PREFIX + "email"
 FALLBACK = AUDIT_PREFIX + "email_fallback"
@@ -34,15 +35,23 @@ MONTH = AUDIT_PREFIX + "month_no"
 RECORD_ID = AUDIT_PREFIX + "record_id"
 
 
-def audit_scan_predicate(run: RunContext, files: tuple[str, ...] = ()) -> Column | None:
-    """Filter for the raw scan: the closing month, or else the run's earliest date; and the named files."""
+def audit_scan_predicate(run: RunContext, bronze: DataFrame) -> Column | None:
+    """Filter for the raw scan, on the header the table has: the closing month, or else the run's earliest date.
+
+    Dates as text may have spaces before them, which the parser trims, so such rows pass here.
+    """
+    header = Headers(bronze.columns).find("CreationDate", "creation_date")
+    if header is None:
+        return None
     if run.close_month is not None:
         year, month = divmod(run.close_month, 100)
-        return scan_predicate("CreationDate", month=f"{year}-{month:02d}", files=files)
-    return scan_predicate("CreationDate", min_date=run.first_day, files=files)
+        test = scan_predicate(header, month=f"{year}-{month:02d}")
+    else:
+        test = scan_predicate(header, min_date=run.first_day)
+    return test | quoted(header).startswith(" ") if dict(bronze.dtypes)[header] == "string" else test
 
 
-def audit_fields(bronze: DataFrame) -> DataFrame:
+def audit_fields(bronze: DataFrame, interactions: Interactions = Interactions()) -> DataFrame:
     """Every bronze row with its payload flattened to columns; arrays appear as counts and flags."""
     headers = Headers(bronze.columns)
     text = headers.column("AuditData", "audit_data")
@@ -90,7 +99,7 @@ def audit_fields(bronze: DataFrame) -> DataFrame:
         "thread_id": payloads.event_field(parsed, "ThreadId"),
         "copilot_log_version": parsed["CopilotLogVersion"],
         "has_prompt": payloads.prompt_count(F.col("messages")) > 0,
-        "interaction_type": interaction_kind(parsed["AppIdentity"], parsed["AgentName"]),
+        "interaction_type": interactions.kind(parsed["AppIdentity"], parsed["AgentName"]),
         "has_model_info": F.col("model_name").isNotNull() | F.col("model_provider_name").isNotNull(),
         "has_resource_access": payloads.size_or_zero(F.col("resources")) > 0,
         "message_count": payloads.size_or_zero(F.col("messages")),
@@ -114,7 +123,7 @@ def audit_base(bronze: DataFrame, run: RunContext, files: tuple[str, ...] = ())
     file_column = headers.find("FileName", "file_name")
     rows = bronze if file_column is None else from_files(bronze, file_column, files)
     rows = rows.filter(valid_email(headers.column("UserId", "user_id")))
-    rows = from_date(audit_fields(rows), AUDIT_PREFIX + "date", run.first_day)
+    rows = from_date(audit_fields(rows, run.interactions), AUDIT_PREFIX + "date", run.first_day)
     rows = through_month(only_month(rows, MONTH, run.close_month), AUDIT_PREFIX + "date", run.close_month)
     rows = without_months(rows, MONTH, run.months_to_skip)
     newest = [quoted(AUDIT_PREFIX + name).desc_nulls_last() for name in ("ingestion_date", "date")]
@@ -156,7 +165,8 @@ def audit_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run:
 def audit_silver(
     bronze: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext, files: tuple[str, ...] = ()
 ) -> Split:
-    return audit_split(audit_base(bronze, run, files), identity, headcount, run)
+    """Both outcomes from one parse of the payloads, which is staged: they hold the costly work and two tables use them."""
+    return audit_split(stage(audit_base(bronze, run, files), "audit-base"), identity, headcount, run)
 
 
 def reject_ddl() -> str:

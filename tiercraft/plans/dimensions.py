@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tiercraft.context import RunContext
-from tiercraft.functions.columns import project, quoted
+from tiercraft.functions.columns import Headers, project, quoted
 from tiercraft.functions.dates import month_start
 from tiercraft.functions.email import valid_email
 from tiercraft.functions.keys import joined_key
@@ -44,7 +44,7 @@ def headcount_silver(bronze: DataFrame, countries: DataFrame, run: RunContext) -
 
 def identity_silver(bronze: DataFrame, countries: DataFrame, run: RunContext, without: Exclusions) -> DataFrame:
     """Identities with an id and two valid addresses, in a region and tenant that are not excluded."""
-    rows = project(through_month(bronze, "updated_at", run.close_month), IDENTITY_SILVER)
+    rows = project(through_month(bronze, Headers(bronze.columns).find("updated_at") or "updated_at", run.close_month), IDENTITY_SILVER)
     rows = rows.filter(
         quoted("OktaUserId").isNotNull()
         & valid_email(quoted("OktaUserEmail"))

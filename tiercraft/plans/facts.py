@@ -10,13 +10,7 @@ from pyspark.sql import functions as F
 from tiercraft.context import RunContext
 from tiercraft.functions.columns import quoted
 from tiercraft.functions.dates import month_no
-from tiercraft.functions.interactions import (
-    automation_factor,
-    hours_saved,
-    hours_saved_factor,
-    hours_total,
-    use_case_code,
-)
+from tiercraft.functions.interactions import hours_saved, hours_total
 from tiercraft.functions.keys import surrogate_key
 from tiercraft.operators.dedupe import first_present, latest_per
 from tiercraft.operators.filters import only_month, required, through_month, without_months
@@ -91,10 +85,10 @@ def audit_active_fact(silver: DataFrame, run: RunContext) -> DataFrame:
     values = {
         "asset_id": F.lit(asset_id),
         "asset_name": F.lit(asset_name),
-        "use_case_code": use_case_code(kind),
+        "use_case_code": run.interactions.use_case_code(kind),
         "use_case_name": kind,
         "key": surrogate_key(daily, source["day"], source["user_id"], source["kind"]),
-        **_measures(hours_saved_factor(kind), automation_factor(kind)),
+        **_measures(run.interactions.hours_saved_factor(kind), run.interactions.automation_factor(kind)),
     }
     return _active_fact(daily, source, values, run)
 

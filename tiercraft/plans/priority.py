@@ -14,6 +14,16 @@ from tiercraft.plans.usage import stamped
 
 RECORD_ID = PRIORITY_PREFIX + "record_id"
 ADDRESS = PRIORITY_PREFIX + "email_normalized"
+# The identity columns of stream C, in their order.
+PRIORITY_PERSON = (
+    "okta_user_id",
+    "okta_user_country",
+    "okta_user_email",
+    "okta_user_employee_number",
+    "okta_user_full_email",
+    "okta_user_full_name",
+    "okta_user_region",
+)
 
 
 def priority_base(bronze: DataFrame) -> DataFrame:
@@ -30,7 +40,8 @@ def priority_base(bronze: DataFrame) -> DataFrame:
 
 def priority_joined(bronze: DataFrame, identity: DataFrame) -> DataFrame:
     """Every record with the person of the best match, or none."""
-    return match_priority(priority_base(bronze), identity, ADDRESS, RECORD_ID)
+    base = priority_base(bronze)
+    return match_priority(base, identity, ADDRESS, RECORD_ID).select(*base.columns, *PRIORITY_PERSON)
 
 
 def priority_split(joined: DataFrame, run: RunContext) -> Split:

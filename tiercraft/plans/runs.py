@@ -1,5 +1,8 @@
 """Whole runs over a warehouse: read the inputs, build the tables, write them.
 
+``run_daily`` and ``run_close`` do a whole day or month close in order; the other functions are their parts. A stored
+fact has its month as the last column, where partitions are; the view ``<fact>_columns`` has the fact's own columns.
+
 Daily runs upsert into the open months. A month close replaces the month everywhere, and writes the month to the
 ledger as its last step, so a close that fails half-way can simply be run again.
 """
@@ -8,16 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import replace
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
 from tiercraft.context import RunContext
-from tiercraft.functions.columns import Headers
 from tiercraft.operators.enrich import load_lookup
-from tiercraft.operators.periods import distinct_months
 from tiercraft.plans import audit, core, dimensions, facts, notices, priority, reference, usage
 from tiercraft.plans.layouts import ACTIVE_KEY, ONBOARD_KEY
-from tiercraft.session import stage
+from tiercraft.session import stage, staging
 from tiercraft.sources.store import Warehouse
 
 # Table names, and the products the ledger closes months for.
@@ -64,11 +66,15 @@ def run_identity(
 def run_usage(
     store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...] = (), mode: str = "upsert_open"
 ) -> None:
-    """Stream A silver and its rejects."""
-    run = context_for(store, USAGE_PRODUCT, run)
-    split = usage.usage_silver(bronze, store.read(IDENTITY), store.read(HEADCOUNT), run, files)
-    base = usage.usage_base(bronze, run, files)
-    store.replace_months(split.rejects, USAGE_REJECTS, usage.MONTH, _months_of_batch(base, usage.MONTH))
+    """Stream A silver and its rejects, from one read of the rows."""
+    with staging(store.spark):
+        _run_usage(store, bronze, context_for(store, USAGE_PRODUCT, run), files, mode)
+
+
+def _run_usage(store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...], mode: str) -> None:
+    base = stage(usage.usage_base(bronze, run, files), "usage-base")
+    split = usage.usage_split(base, store.read(IDENTITY), store.read(HEADCOUNT), run)
+    store.replace_months(split.rejects, USAGE_REJECTS, usage.MONTH, _months_of_batch(base, usage.MONTH, run))
     if run.close_month is not None:
         store.replace_months(split.matched, USAGE, usage.MONTH, [run.close_month])
     else:
@@ -87,12 +93,16 @@ def run_audit(
     store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...] = (), mode: str = "upsert_open"
 ) -> None:
     """Stream B silver and its rejects, from one parse of the payloads."""
-    run = context_for(store, AUDIT_PRODUCT, run)
-    predicate = audit.audit_scan_predicate(run) if Headers(bronze.columns).find("CreationDate") else None
+    with staging(store.spark):
+        _run_audit(store, bronze, context_for(store, AUDIT_PRODUCT, run), files, mode)
+
+
+def _run_audit(store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...], mode: str) -> None:
+    predicate = audit.audit_scan_predicate(run, bronze)
     scoped = bronze if predicate is None else bronze.filter(predicate)
     base = stage(audit.audit_base(scoped, run, files), "audit-base")
     split = audit.audit_split(base, store.read(IDENTITY), store.read(HEADCOUNT), run)
-    store.replace_months(split.rejects, AUDIT_REJECTS, audit.MONTH, _months_of_batch(base, audit.MONTH))
+    store.replace_months(split.rejects, AUDIT_REJECTS, audit.MONTH, _months_of_batch(base, audit.MONTH, run))
     if run.close_month is not None:
         store.replace_months(split.matched, AUDIT, audit.MONTH, [run.close_month])
     else:
@@ -110,27 +120,28 @@ def run_audit(
 
 def run_priority(store: Warehouse, bronze: DataFrame, run: RunContext) -> None:
     """Stream C silver and its match log, from one match of the records."""
-    joined = stage(priority.priority_joined(bronze, store.read(IDENTITY)), "priority-joined")
-    split = priority.priority_split(joined, run)
-    store.overwrite(split.matched, PRIORITY)
-    store.overwrite(split.rejects, PRIORITY_LOG)
+    with staging(store.spark):
+        joined = stage(priority.priority_joined(bronze, store.read(IDENTITY)), "priority-joined")
+        split = priority.priority_split(joined, run)
+        store.overwrite(split.matched, PRIORITY)
+        store.overwrite(split.rejects, PRIORITY_LOG)
 
 
-def run_usage_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False) -> None:
+def run_usage_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True) -> None:
     run = context_for(store, USAGE_PRODUCT, run)
     silver = store.read(USAGE)
     _write_active(store, facts.usage_active_fact(silver, run), USAGE_ACTIVE, run)
     _write_onboard(store, facts.onboard_fact(silver, "usage", run), USAGE_ONBOARD, run, replace_onboard)
-    if run.close_month is not None:
+    if freeze and run.close_month is not None:
         store.freeze_append(USAGE_PRODUCT, run.close_month, at=run.load_ts)
 
 
-def run_audit_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False) -> None:
+def run_audit_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True) -> None:
     run = context_for(store, AUDIT_PRODUCT, run)
     silver = store.read(AUDIT)
     _write_active(store, facts.audit_active_fact(silver, run), AUDIT_ACTIVE, run)
     _write_onboard(store, facts.onboard_fact(silver, "audit", run), AUDIT_ONBOARD, run, replace_onboard)
-    if run.close_month is not None:
+    if freeze and run.close_month is not None:
         store.freeze_append(AUDIT_PRODUCT, run.close_month, at=run.load_ts)
 
 
@@ -172,13 +183,60 @@ def run_core(store: Warehouse, bronze: Mapping[str, DataFrame], without: dimensi
         store.overwrite(core.dim_project(*[store.read(part) for part in parts]), "silver.dim_project")
 
 
-def _months_of_batch(base: DataFrame, month_col: str) -> list[int | None]:
-    """Months whose rejects are replaced: those of the whole batch, matched or not, and rows without a month.
+class Inputs(NamedTuple):
+    """The bronze tables of a run; a part whose table is None is left out."""
 
-    A month whose rows all match loses its old rejects.
+    countries: DataFrame
+    headcount: DataFrame | None = None
+    identity: DataFrame | None = None
+    usage: DataFrame | None = None
+    audit: DataFrame | None = None
+    priority: DataFrame | None = None
+
+
+def run_daily(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+    """Dimensions, streams and facts of one day, in the order in which they read each other."""
+    if run.close_month is not None:
+        raise ValueError("a daily run closes no month; use run_close")
+    _run_all(store, inputs, run, without)
+
+
+def run_close(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+    """Everything for the closing month, then the ledger entries: a close that fails before them can be repeated."""
+    if run.close_month is None:
+        raise ValueError("which month is closed? set close_month")
+    _run_all(store, inputs, run, without)
+    for product, rows in ((USAGE_PRODUCT, inputs.usage), (AUDIT_PRODUCT, inputs.audit)):
+        if rows is not None:
+            store.freeze_append(product, run.close_month, at=run.load_ts)
+
+
+def _run_all(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+    if inputs.headcount is not None:
+        run_headcount(store, inputs.headcount, inputs.countries, run)
+    if inputs.identity is not None:
+        run_identity(store, inputs.identity, inputs.countries, run, without)
+    if inputs.usage is not None:
+        run_usage(store, inputs.usage, run)
+    if inputs.audit is not None:
+        run_audit(store, inputs.audit, run)
+    if inputs.priority is not None:
+        run_priority(store, inputs.priority, run)
+    if inputs.usage is not None:
+        run_usage_gold(store, run, freeze=False)
+    if inputs.audit is not None:
+        run_audit_gold(store, run, freeze=False)
+
+
+def _months_of_batch(base: DataFrame, month_col: str, run: RunContext) -> list[int | None]:
+    """Months whose rejects are replaced: those of the whole batch, matched or not.
+
+    A month whose rows all match loses its old rejects. Rows without a month are replaced only by a run that takes
+    such rows in: neither a close nor a run that skips closed months does.
     """
-    months = distinct_months(base, month_col)
-    return [*months, None] if months else []
+    found = {row[0] for row in base.select(month_col).distinct().collect()}
+    takes_rows_without = run.close_month is None and not run.months_to_skip
+    return [*(found - {None}), *([None] if found and takes_rows_without else [])]
 
 
 def _write_active(store: Warehouse, fact: DataFrame, table: str, run: RunContext) -> None:
@@ -186,6 +244,7 @@ def _write_active(store: Warehouse, fact: DataFrame, table: str, run: RunContext
         store.replace_months(fact, table, "Month_No", [run.close_month])
     else:
         store.upsert(fact, table, [ACTIVE_KEY], ["LastModification"], "Month_No")
+    store.view(f"{table}_columns", table, fact.columns)
 
 
 def _write_onboard(store: Warehouse, fact: DataFrame, table: str, run: RunContext, replace_month: bool) -> None:
@@ -195,3 +254,4 @@ def _write_onboard(store: Warehouse, fact: DataFrame, table: str, run: RunContex
         store.replace_months(rows, table, "Month_No", [run.close_month])
     else:
         store.upsert(rows, table, [ONBOARD_KEY], ["LastModification"], "Month_No")
+    store.view(f"{table}_columns", table, fact.columns)

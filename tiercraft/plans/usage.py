@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiercraft.context import RunContext
-from tiercraft.functions.columns import project, quoted
+from tiercraft.functions.columns import Headers, project, quoted
 from tiercraft.functions.dates import month_no
 from tiercraft.functions.email import valid_email
 from tiercraft.functions.keys import joined_key, surrogate_key
@@ -23,8 +23,10 @@ _ON = ["_month", USER]
 
 def usage_base(bronze: DataFrame, run: RunContext, files: tuple[str, ...] = ()) -> DataFrame:
     """Typed usage rows of valid addresses in the run's months."""
-    rows = through_month(from_files(bronze, "FileName", files), "Date", run.close_month)
-    rows = project(rows.filter(valid_email(quoted("User"))), USAGE)
+    headers = Headers(bronze.columns)
+    rows = from_files(bronze, headers.find("FileName", "file_name") or "FileName", files)
+    rows = through_month(rows, headers.find("Date") or "Date", run.close_month)
+    rows = project(rows.filter(valid_email(headers.column("User"))), USAGE)
     rows = rows.withColumn(MONTH, month_no(quoted("CursorUsageDate")))
     rows = through_month(only_month(rows, MONTH, run.close_month), "CursorUsageDate", run.close_month)
     return without_months(rows, MONTH, run.months_to_skip)
@@ -53,7 +55,11 @@ def usage_silver(
 
     The usage rows themselves take part in one join only, broadcast when the people fit.
     """
-    base = usage_base(bronze, run, files)
+    return usage_split(usage_base(bronze, run, files), identity, headcount, run)
+
+
+def usage_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
+    """The same from typed rows; a caller that needs both outcomes stages those first."""
     people = usage_people(base, identity, headcount, run)
     matched = attach(_keyed(base.distinct()), people, _ON, "inner").drop("_month")
     matched = matched.withColumn(ACTIVE_KEY, surrogate_key(matched, *USAGE_KEY_PARTS))

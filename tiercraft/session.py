@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +36,9 @@ def build_session(app: str = "tiercraft", cores: str = "*", partitions: int = 8)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a session without that setting and without a
-    checkpoint folder (a local test) gets a temporary one.
+    The cluster names it in ``spark.checkpoint.dir``. Only a local session without that setting and without a
+    checkpoint folder (a test) gets a temporary one; on a cluster that is an error, as no folder of the driver's
+    machine can be read by the executors.
     """
     context = spark.sparkContext
     folder = spark.conf.get(CHECKPOINT_SETTING, None)
@@ -42,10 +47,31 @@ def shared_folder(spark: SparkSession) -> str:
             context.setCheckpointDir(folder)
         return folder
     if not context.getCheckpointDir():
+        if not re.match(r"local(\[|$)", context.master):
+            raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tiercraft-"))
     return context.getCheckpointDir()
 
 
+#: Folders staged within the innermost ``staging``.
+_until_end: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """What is staged within is removed at the end, also after an error: for runs that write their tables themselves."""
+    paths: list[str] = []
+    token = _until_end.set(paths)
+    try:
+        yield
+    finally:
+        _until_end.reset(token)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for text in paths:
+            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(hadoop).delete(path, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
@@ -53,5 +79,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage/{label}-{uuid.uuid4().hex}"
+    if (kept := _until_end.get()) is not None:
+        kept.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

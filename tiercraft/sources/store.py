@@ -6,6 +6,7 @@ and Spark swaps them in when the job commits; other months are neither read nor
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import UTC, datetime
@@ -14,11 +15,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted
-from tiercraft.operators.attach import attach, measured
+from tiercraft.operators.attach import attach, measured, settled
 from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.filters import without_months
 from tiercraft.operators.periods import frozen_months
-from tiercraft.session import stage
+from tiercraft.session import stage, staging
 
 # The ledger of closed months, and the note on months closed by a run.
 LEDGER = "ingest_freeze_control"
@@ -65,10 +66,46 @@ class Warehouse:
     # -- whole tables -------------------------------------------------------------------------------------
 
     def overwrite(self, df: DataFrame, table: str, month_col: str | None = None) -> None:
-        """Full load; the new columns replace the old ones."""
+        """Full load; the new columns replace the old ones. ``df`` may read the table itself.
+
+        The rows are complete before the table changes, so a failing job leaves it as it was. Without months they
+        are written aside and renamed. By month and with unchanged columns, Spark swaps the months in on commit and
+        months without rows are dropped after it, a second step. By month with other columns, the rows are staged,
+        and the table is dropped and made from the staged files.
+        """
+        if not self.exists(table):
+            self._save(df, self.name(table), month_col)
+        elif month_col is None:
+            self._switch(df, table)
+        elif self._has_columns(table, df, month_col):
+            before = self.stored_months(table)
+            self._drop_months(table, month_col, before - self._write_months(df, table, month_col))
+        else:
+            self._save(stage(df, "load"), self.name(table), month_col)
+
+    def _save(self, df: DataFrame, name: str, month_col: str | None) -> None:
         rows = df if month_col is None else df.hint("rebalance", month_col)
         writer = rows.write.mode("overwrite")
-        (writer.partitionBy(month_col) if month_col else writer).saveAsTable(self.name(table))
+        (writer.partitionBy(month_col) if month_col else writer).saveAsTable(name)
+
+    def _switch(self, df: DataFrame, table: str) -> None:
+        """A new table beside the old one, then two renames; the old one goes last."""
+        name, tag = self.name(table), uuid.uuid4().hex[:12]
+        new, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
+        self._save(df, new, None)
+        self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+        try:
+            self.spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
+        except Exception:
+            self.spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
+            raise
+        self.spark.sql(f"DROP TABLE {old}")
+
+    def _has_columns(self, table: str, df: DataFrame, month_col: str) -> bool:
+        """Partitioned by the month, with the columns and types of ``df`` in any order."""
+        kinds = lambda rows: {f.name.lower(): f.dataType for f in rows.schema.fields}
+        columns = self.spark.catalog.listColumns(self.name(table))
+        return kinds(self.read(table)) == kinds(df) and [c.name for c in columns if c.isPartition] == [month_col]
 
     def append(self, df: DataFrame, table: str, month_col: str | None = None) -> None:
         """Add rows; the first call creates the table."""
@@ -104,8 +141,8 @@ class Warehouse:
         order: Sequence[str] = (),
         mode: str = "upsert_open",
         fixed_month: bool = True,
-    ) -> None:
-        """A daily write that leaves closed months as they are.
+    ) -> int:
+        """A daily write that leaves closed months as they are; returns how many keys :meth:`upsert` left out.
 
         ``mode="rebuild_open"``: all but the closed months becomes exactly ``df``, so open rows it lacks disappear.
         ``mode="upsert_open"``: ``df`` is upserted into the open months, for batches that hold only some rows.
@@ -113,11 +150,11 @@ class Warehouse:
         frozen = [int(m) for m in frozen]
         open_rows = df.filter(~quoted(month_col).isin(frozen)) if frozen else df
         if mode == "upsert_open" or not frozen:
-            self.upsert(open_rows, table, keys, order, month_col, fixed_month=fixed_month, frozen=frozen)
-            return
+            return self.upsert(open_rows, table, keys, order, month_col, fixed_month=fixed_month, frozen=frozen)
         before = self.stored_months(table)
         written = self._write_months(open_rows, table, month_col)
         self._drop_months(table, month_col, before - set(frozen) - written)
+        return 0
 
     def overwrite_preserve_frozen(self, df: DataFrame, table: str, month_col: str, frozen: Iterable[int]) -> None:
         """Full load of the open months; closed months come from the table itself."""
@@ -145,20 +182,34 @@ class Warehouse:
         month_col: str,
         fixed_month: bool = True,
         frozen: Sequence[int] = (),
-    ) -> None:
+    ) -> int:
         """Rows of ``df`` replace the table's rows with the same key; new keys are added.
 
         Of several source rows with one key the last by ``order`` counts. A NULL key fails the job. Only months
         that hold affected rows are rewritten: those of ``df``, and, unless a key determines its month
         (``fixed_month``), those where the table has the keys now, found by a scan of key and month alone.
+
+        A key that lies in a ``frozen`` month stays there as it is: an arriving row with that key is left out, so no
+        key is stored twice. Returns how many keys were left out.
         """
         source = upsert_source(df, keys, order)
         if not self.exists(table):
             self.overwrite(source, table, month_col)
-            return
-        source = stage(source, "upsert")
+            return 0
+        with staging(self.spark):
+            return self._upsert(stage(source, "upsert"), table, keys, month_col, fixed_month, frozen)
+
+    def _upsert(
+        self, source: DataFrame, table: str, keys: Sequence[str], month_col: str, fixed_month: bool, frozen: Sequence[int]
+    ) -> int:
         target = self.read(table)
         new_keys = measured(source.select(*keys))
+        left_out = 0
+        if frozen and not fixed_month:
+            closed = attach(target.filter(_in_months(month_col, frozen)).select(*keys), new_keys, keys, "left_semi")
+            closed = settled(closed.distinct())
+            left_out = closed.table.count()
+            source = attach(source, closed, keys, "left_anti")
         touched = {row[0] for row in source.select(month_col).distinct().collect()}
         if not fixed_month:
             held = attach(target.select(*keys, month_col), new_keys, keys, "left_semi")
@@ -168,6 +219,7 @@ class Warehouse:
         # A key that has left its month may leave that month empty.
         written = self._write_months(kept.unionByName(source, allowMissingColumns=True), table, month_col)
         self._drop_months(table, month_col, touched - written)
+        return left_out
 
     # -- closed months ------------------------------------------------------------------------------------
 
@@ -192,6 +244,11 @@ class Warehouse:
         by_month = f" PARTITIONED BY (`{month_col}`)" if month_col else ""
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet{by_month}")
 
+    def view(self, view: str, table: str, columns: Sequence[str]) -> None:
+        """A view of some columns of a table, in this order."""
+        names = ", ".join(f"`{c}`" for c in columns)
+        self.spark.sql(f"CREATE OR REPLACE VIEW {self.name(view)} AS SELECT {names} FROM {self.name(table)}")
+
     # -- helpers ------------------------------------------------------------------------------------------
 
     def _write_months(self, df: DataFrame, table: str, month_col: str) -> set[int | None]:
@@ -212,9 +269,10 @@ class Warehouse:
         return months | {None} if seen.get.get("without_month") else months
 
     def _drop_months(self, table: str, month_col: str, months: Iterable[int | None]) -> None:
-        for month in months:
-            value = "null" if month is None else int(month)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS PARTITION (`{month_col}` = {value})")
+        """In one statement; it is not one commit with the write before it."""
+        parts = [f"PARTITION (`{month_col}` = {'null' if month is None else int(month)})" for month in months]
+        if parts:
+            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(parts)}")
 
     def _aligned(self, df: DataFrame, table: str) -> DataFrame:
         """``df`` in the table's column order: columns it lacks are NULL, columns new to the table are added."""

@@ -129,10 +129,10 @@ SELECT conv_id AS c, turn AS t, role, text, copy,
        WHEN conv_id % 6 = 3 THEN '10ghost' || CAST(conv_id AS STRING) || '@corp.example'
        WHEN conv_id % 6 = 4 THEN 'user' || CAST(conv_id AS STRING) || '@other.example'
        ELSE CAST(conv_id AS STRING) || '@corp.example' END AS user_text,
-  CASE (conv_id + turn) % 8 WHEN 0 THEN 'Copilot.Fabric.Report' WHEN 1 THEN 'Copilot.Studio.Helper'
-       WHEN 2 THEN 'MicrosoftAgent.Planner' WHEN 3 THEN 'Copilot.M365Copilot.WebChat'
-       WHEN 4 THEN 'Copilot.M365Copilot.Bizchat' WHEN 5 THEN 'Copilot.M365Copilot.Apps'
-       WHEN 6 THEN 'Copilot.Unlisted' END AS app,
+  CASE (conv_id + turn) % 8 WHEN 0 THEN 'suite.data.report' WHEN 1 THEN 'suite.studio.helper'
+       WHEN 2 THEN 'suiteagent.planner' WHEN 3 THEN 'suite.chat.web'
+       WHEN 4 THEN 'suite.chat.firm' WHEN 5 THEN 'suite.office'
+       WHEN 6 THEN 'suite.unlisted' END AS app,
   CASE (conv_id + turn) % 5 WHEN 0 THEN 'Analyst' WHEN 1 THEN 'Researcher' WHEN 2 THEN 'Helper' END AS agent,
   CASE WHEN turn % 2 = 0 THEN 'Target' END AS target_agent,
   CAST((conv_id + turn) % 4 AS INT) AS n_messages,

@@ -31,7 +31,7 @@ from tiercraft.plans.usage import stamped, usage_base
 from tiercraft.sources import scan as scans
 from tiercraft.workload.adapters import Bronze
 from tiercraft.workload.expected import FACTOR_ROWS, HOURS_SAVED, HOURS_TOTAL, A, key_
-from tiercraft.workload.registry import RUN, headcount, identity, query
+from tiercraft.workload.registry import INTERACTIONS, RUN, headcount, identity, query
 
 FIRST_DAY = "1997-01-01"
 LAST_DAY = "1998-01-01"
@@ -315,8 +315,10 @@ def _ledger(b: Bronze) -> DataFrame:
     product = (
         F.when(F.col("o_orderstatus") == "F", "Cursor").when(F.col("o_orderstatus") == "O", " copilot").otherwise("ALL")
     )
-    orders = b.rows("monthly").filter(F.col("o_totalprice") > 499000)
-    return orders.select(product.alias("product"), F.col("month_no").alias("Month_No"))
+    largest = b.rows("monthly").groupBy(product.alias("product"), F.col("month_no").alias("Month_No")).agg(
+        F.max("o_totalprice").alias("largest")
+    )
+    return largest.filter(F.col("largest") > 499000).drop("largest")
 
 
 _FROZEN = """SELECT DISTINCT month_no FROM b_monthly
@@ -480,9 +482,9 @@ def _factor_query(name: str, output: str, function, check: str) -> None:
         return _kinds(b).select("record_id", function(F.col("kind")).alias(output))
 
 
-_factor_query("use_case_code", "code", interactions.use_case_code, "'UC-9007-COP-' || code")
-_factor_query("automation_factor", "factor", interactions.automation_factor, "CAST(automation AS DECIMAL(18,8))")
-_factor_query("hours_saved_factor", "factor", interactions.hours_saved_factor, "CAST(hours AS DECIMAL(18,8))")
+_factor_query("use_case_code", "code", INTERACTIONS.use_case_code, "'CASE-' || code")
+_factor_query("automation_factor", "factor", INTERACTIONS.automation_factor, "CAST(automation AS DECIMAL(18,8))")
+_factor_query("hours_saved_factor", "factor", INTERACTIONS.hours_saved_factor, "CAST(hours AS DECIMAL(18,8))")
 
 
 @query(
@@ -494,12 +496,12 @@ _factor_query("hours_saved_factor", "factor", interactions.hours_saved_factor, "
 def hours_saved_measures(b: Bronze) -> DataFrame:
     rows = audit_base(b.table("audit"), RUN)
     kind, requests = F.col(f"{A}interaction_type"), F.col(f"{A}message_count")
-    hours = interactions.hours_saved_factor(kind)
+    hours = INTERACTIONS.hours_saved_factor(kind)
     one = F.lit("1").cast("decimal(18,8)")
     return rows.select(
         F.col(f"{A}record_id").alias("record_id"),
         interactions.hours_saved(requests, hours, one).alias("saved"),
-        interactions.hours_total(requests, hours, interactions.automation_factor(kind)).alias("total"),
+        interactions.hours_total(requests, hours, INTERACTIONS.automation_factor(kind)).alias("total"),
     )
 
 
@@ -526,9 +528,18 @@ def decimal_to_double(b: Bronze) -> DataFrame:
 
 
 # --- JSON -------------------------------------------------------------------------------------------------
-@query("json_path_extract", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+_PATHS = [
+    A + name
+    for name in (
+        "app_identity application_name agent_name copilot_log_version app_host target_agent_name license_type "
+        "conversation_id thread_id"
+    ).split()
+]
+
+
+@query("json_path_extract", f"SELECT {A}record_id, {', '.join(_PATHS)} FROM a_base")
 def json_path_extract(b: Bronze) -> DataFrame:
-    return b.given("events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    return audit_base(b.table("audit"), RUN).select(f"{A}record_id", *_PATHS)
 
 
 def _audit_rows(b: Bronze) -> DataFrame:

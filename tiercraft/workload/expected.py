@@ -104,19 +104,19 @@ def coalesced(*aliases: str) -> str:
 
 FALLBACK = f"CASE WHEN regexp_matches({address_('user_text')}, '^10[^@]*@') THEN substr({address_('user_text')}, 3) END"
 KIND = (
-    "CASE WHEN app LIKE 'Copilot.Fabric.%' THEN 'Power BI / Fabric' "
-    "WHEN app LIKE 'Copilot.Studio.%' THEN 'Copilot Studio Agent' "
-    "WHEN agent IN ('Analyst', 'Researcher') THEN 'Specialized Agent' "
-    "WHEN app LIKE 'MicrosoftAgent.%' THEN 'Built-in Agent' "
-    "WHEN app IN ('Copilot.M365Copilot.WebChat', 'Copilot.M365Copilot.Bizchat') THEN 'Web Chat' "
-    "WHEN app = 'Copilot.M365Copilot.Apps' THEN 'Microsoft 365 App' ELSE 'Other' END"
+    "CASE WHEN app LIKE 'suite.data.%' THEN 'Report' "
+    "WHEN app LIKE 'suite.studio.%' THEN 'Studio agent' "
+    "WHEN agent IN ('Analyst', 'Researcher') THEN 'Named agent' "
+    "WHEN app LIKE 'suiteagent.%' THEN 'Built-in agent' "
+    "WHEN app IN ('suite.chat.web', 'suite.chat.firm') THEN 'Chat' "
+    "WHEN app = 'suite.office' THEN 'Office' ELSE 'Other' END"
 )
 # kind -> code, automation, hours
 FACTOR_ROWS = (
-    "(VALUES ('Web Chat', '001', 0.70, 0.066667), ('Microsoft 365 App', '002', 0.617, 0.79), "
-    "('Built-in Agent', '003', 1.00, 1.14), ('Copilot Studio Agent', '004', 1.00, 1.14), "
-    "('Specialized Agent', '005', 1.00, 1.14), ('Power BI / Fabric', '006', 0.70, 2.43), "
-    "('Other', '007', 0.617, 1.69)) AS factors(kind, code, automation, hours)"
+    "(VALUES ('Chat', '1', 0.75, 0.083333), ('Office', '2', 0.625, 0.8), "
+    "('Built-in agent', '3', 1.00, 1.2), ('Studio agent', '4', 1.00, 1.3), "
+    "('Named agent', '5', 1.00, 1.4), ('Report', '6', 0.75, 2.5), "
+    "('Other', '7', 0.625, 1.7)) AS factors(kind, code, automation, hours)"
 )
 _D8 = "DECIMAL(18,8)"
 HOURS_SAVED = "CAST(round(requests * hours, 6) AS DECIMAL(38,6))"
@@ -434,7 +434,7 @@ FROM (SELECT "CursorUsageDate" AS day, "OktaUserId" AS user_id, "Request" AS req
       FROM u_daily) d
 WHERE month_no IS NOT NULL AND day IS NOT NULL""",
     "g_audit_active": f"""
-SELECT {_FACT_HEAD} 'M365 Copilot' AS "assetName", 'UC-9007-COP-' || code AS "useCaseCode",
+SELECT {_FACT_HEAD} 'M365 Copilot' AS "assetName", 'CASE-' || code AS "useCaseCode",
   d.kind AS "useCaseDisplayName", {HOURS_SAVED} AS "UseCaseHoursSaved", {HOURS_TOTAL} AS "UseCaseTotalHours",
   {_FACT_TAIL} {_NULLS}, CAST(1 AS {_D8}) AS "useCaseMultiplier", CAST(automation AS {_D8}) AS automation_poc,
   CAST(hours AS {_D8}) AS "totalHoursSaved_poc", {key_('day', 'user_id', 'd.kind')} AS "RecordSurrogateKey"

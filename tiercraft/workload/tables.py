@@ -92,8 +92,8 @@ def identity_fallback_split(b: Bronze) -> DataFrame:
       SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""",
 )
 def anti_rejects(b: Bronze) -> DataFrame:
-    large = b.given("orders").filter(F.col("o_totalprice") > 400000)
-    buyers = large.select(F.col("o_custkey").alias("c_custkey")).distinct()
+    largest = b.given("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.max("o_totalprice").alias("largest"))
+    buyers = largest.filter(F.col("largest") > 400000).select("c_custkey")
     return attach(b.given("customer").select("c_custkey", "c_name"), settled(buyers), ["c_custkey"], "left_anti")
 
 
@@ -145,50 +145,14 @@ def best_priority(b: Bronze) -> DataFrame:
 
 @query(
     "tie_lowest_id",
-    "SELECT rec, rule, min(okta_user_id) AS lowest_id, count(DISTINCT okta_user_id) AS candidates "
-    "FROM p_rules GROUP BY rec, rule",
+    """SELECT DISTINCT b.codex_usage_email_normalized AS address, CAST(r.rule AS INTEGER) AS match_rule, r.okta_user_id
+    FROM (SELECT rec, rule, min(okta_user_id) AS okta_user_id FROM p_rules GROUP BY rec, rule
+      QUALIFY rule = min(rule) OVER (PARTITION BY rec)) r JOIN p_base b ON r.rec = b.codex_usage_record_id""",
 )
 def tie_lowest_id(b: Bronze) -> DataFrame:
-    """Every rule's candidates per record. The library itself never forms these pairs; this shows the tie rule."""
-    from tiercraft.functions.email import email_variants
-    from tiercraft.operators.matching import PRIORITY_RULES, identity_slim
-
-    rows = b.rows("usage_digits").select("event_id", "user_text").distinct()
-    variants = email_variants(quoted("user_text"))
-    probes = rows.select(
-        F.col("event_id").alias("rec"),
-        F.explode(
-            F.array(
-                *[
-                    F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), variants[name].alias("key"))
-                    for rule, name, kind in PRIORITY_RULES
-                ]
-            )
-        ).alias("probe"),
-    ).select("rec", "probe.*")
-    slim = identity_slim(identity(b))
-    entries = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(kind).alias("kind"), quoted(name).alias("key"))
-                for kind, name in (
-                    ("address", "okta_user_email"),
-                    ("address", "okta_user_full_email"),
-                    ("local", "okta_user_email_without_domain"),
-                    ("local", "okta_user_full_email_without_domain"),
-                )
-            ]
-        )
-    )
-    # Two ids at most matter per key and rule here, so the key table carries the lowest id and the distinct count.
-    book = (
-        slim.select("okta_user_id", entries.alias("entry"))
-        .select("okta_user_id", "entry.*")
-        .groupBy("kind", "key")
-        .agg(F.min("okta_user_id").alias("lowest_id"), F.count_distinct("okta_user_id").alias("candidates"))
-    )
-    hits = attach(probes.filter(F.col("key").isNotNull()), settled(book), ["kind", "key"], "inner")
-    return hits.select("rec", F.col("rule").cast("int").alias("rule"), "lowest_id", "candidates")
+    """Of the people that the best rule leads to, the one with the lowest id."""
+    addresses = priority_base(b.table("usage_digits")).select(F.col(ADDRESS).alias("address")).distinct()
+    return priority_links(addresses, identity(b), "address").select("address", "match_rule", "okta_user_id")
 
 
 @query(
@@ -278,15 +242,9 @@ def active_by_type(b: Bronze) -> DataFrame:
     return facts.active_by_type(audit(b).matched)
 
 
-@query(
-    "having_min_requests",
-    f"""SELECT {A}date AS day, {A}email AS address, sum({A}prompt_count)::BIGINT AS requests FROM a_base
-    GROUP BY 1, 2 HAVING sum({A}prompt_count) >= 1""",
-)
+@query("having_min_requests", 'SELECT * FROM a_daily WHERE "Request" >= 2')
 def having_min_requests(b: Bronze) -> DataFrame:
-    rows = audit_base(b.table("audit"), RUN)
-    grouped = rows.groupBy(F.col(f"{A}date").alias("day"), F.col(f"{A}email").alias("address"))
-    return grouped.agg(F.sum(f"{A}prompt_count").alias("requests")).filter(F.col("requests") >= 1)
+    return facts.active_by_type(audit(b).matched, at_least=2)
 
 
 @query("distinct_rows", "SELECT DISTINCT * FROM u_base")

@@ -216,7 +216,7 @@ def _run_context(b: Bronze) -> tuple[Warehouse, RunContext]:
     store = fresh_warehouse(b)
     store.overwrite(identity(b).withColumn("OktaUserUpdatedAt", F.lit(datetime(2023, 12, 1))), runs.IDENTITY)
     store.overwrite(headcount(b), runs.HEADCOUNT, "Month_No")
-    return store, RunContext(min_date="2024-01-01", load_ts=LOAD_TIME)
+    return store, replace(RUN, load_ts=LOAD_TIME)
 
 
 @query(
