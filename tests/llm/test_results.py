@@ -175,14 +175,15 @@ def test_more_matches_cost_less_only_where_prefixes_are_frequent():
     assert prefix_join.matches(np.array([5000, 1, 1, 1.0]), 1, 4) == 4
 
 
-def test_overlaps_with_replaced_words(spark):
+@pytest.mark.parametrize("first,step", [(4, 9), (4, 5), (2, 6), (40, 1)])
+def test_overlaps_with_replaced_words(spark, first, step):
     tests = [(k, " ".join(prose(2000 + k, 30))) for k in range(20)]
     texts, planted = [], set()
     for k in range(60):
         words = prose(3000 + k, 60)
         if k % 3 == 0:
             quote = tests[k // 3][1].split()
-            for at in range(4, 30, 9):
+            for at in range(first, 30, step):
                 quote[at] = "other"
             words[20:20] = [w.upper() + "," for w in quote]
             planted.add((k, k // 3))

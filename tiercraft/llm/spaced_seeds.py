@@ -37,7 +37,9 @@ PLAIN[[b for b in range(33, 128) if not chr(b).isalnum()]] = 0x20
 
 @dataclass(frozen=True)
 class Seeds:
-    masks: tuple[str, ...] = ("11111111", "1101100101011", "1110010110101")
+    #: All have eight ones. The first finds quotes as they are, the next two words replaced at every fifth or sixth place,
+    #: the last two replacements without a rhythm.
+    masks: tuple[str, ...] = ("11111111", "111101111", "11111000111", "1101100101011", "1110010110101")
     window: int = 13
     percent: int = 80
 
