@@ -149,6 +149,15 @@ def test_repeated_windows_go(spark, monkeypatch, slice_bytes):
         assert r.kept_text == " ".join(x for k, x in enumerate(w) if k not in gone)
 
 
+def test_kept_words_stay_spaced_as_they_were():
+    body = b" a  b\nc d\ne f\tg"
+    assert window_dedup.keep(body, [(2, 1)], 2, True) == (7, 2, b" a  b\ne f\tg")
+    assert window_dedup.keep(body, [(0, 2)], 2, True) == (7, 3, b"d\ne f\tg")
+    assert window_dedup.keep(body, [(4, 1)], 2, False) == (7, 2, b"a b c d g")
+    assert window_dedup.keep(body, [(0, 6)], 2, True) == (7, 7, b"")
+    assert window_dedup.keep(body, [], 2, True) == (7, 0, body)
+
+
 @pytest.mark.parametrize("words,percent", [(2, 70), (4, 85), (5, 80)])
 def test_linked_groups(spark, words, percent):
     texts = copied(2)

@@ -17,6 +17,7 @@ table. Other columns are carried along; they go in one struct, so their names ca
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -121,17 +122,43 @@ def _slice_candidates(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> p
     )
 
 
+WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def gone(n_words: int, places: list[tuple[int, int]], n: int) -> np.ndarray:
+    """Which words go; places are (window, run of windows)."""
+    edge = np.zeros(n_words + 1, dtype=np.int64)
+    at = np.array(places, dtype=np.int64).reshape(-1, 2)
+    np.add.at(edge, at[:, 0], 1)
+    np.add.at(edge, at[:, 0] + at[:, 1] + n - 1, -1)
+    return np.cumsum(edge[:-1]) > 0
+
+
 def keep(body: bytes, places: list[tuple[int, int]], n: int, as_it_is: bool) -> tuple[int, int, bytes]:
-    """Number of words, number removed, and the kept words joined by a space; places are (window, run of windows)."""
+    """Number of words, number removed, and the kept words: joined by a space, or ``as_it_is`` spaced as they were."""
     words = body.split()
     if not places:
         return len(words), 0, body if as_it_is else b" ".join(words)
-    edge = np.zeros(len(words) + 1, dtype=np.int64)
-    at = np.array(places, dtype=np.int64)
-    np.add.at(edge, at[:, 0], 1)
-    np.add.at(edge, at[:, 0] + at[:, 1] + n - 1, -1)
-    gone = np.cumsum(edge[:-1]) > 0
-    return len(words), int(gone.sum()), b" ".join([w for w, x in zip(words, gone.tolist(), strict=True) if not x])
+    lost = gone(len(words), places, n)
+    if as_it_is:
+        kept = _spaced(body, lost.tolist())
+    else:
+        kept = b" ".join([w for w, x in zip(words, lost.tolist(), strict=True) if not x])
+    return len(words), int(lost.sum()), kept
+
+
+def _spaced(body: bytes, lost: list[bool]) -> bytes:
+    """The kept words with the white space between them; where words went, a line feed if there was one, else a space."""
+    out, end, cut = [], 0, False
+    for found, x in zip(WORD.finditer(body), lost, strict=True):
+        if not x:
+            between = body[end : found.start()]
+            if cut:
+                between = (b"\n" if b"\n" in between else b" ") if out else b""
+            out += [between, found.group()]
+            end = found.end()
+        cut = x
+    return b"".join(out)
 
 
 def _remove(n: int, as_it_is: bool):
@@ -186,7 +213,7 @@ def remove(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text"
 
 
 def clean(docs: DataFrame, n: int = 50, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, without their repeated words; one that loses no word keeps its text as it is.
+    """The documents, all columns, without their repeated words; the words that stay keep the white space between them.
 
     A document that loses all its words goes; one that had none stays.
     """
