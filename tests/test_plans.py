@@ -291,6 +291,9 @@ def test_alerts_and_security(spark, store):
     data = [tuple(["NULL"] + ["x"] * 10 + ["bad"]), tuple([" a@b.c "] + ["x"] * 11), tuple([" a@b.c "] + ["x"] * 11), tuple([None] + ["x"] * 11)]
     bronze = spark.createDataFrame(data, ", ".join(f"`{c}` string" for c in columns))
     runs.run_security(store, bronze)
+    figures = {(r.table_name, r.figure): r.value for r in store.read(runs.METRICS).collect()}
+    assert figures[runs.ALERTS, "rows_in"] == alerts.count() and figures[runs.SECURITY, "rows_in"] == bronze.count()
+    assert figures[runs.ALERTS, "row_count"] == figures[runs.ALERTS, "distinct_ids"] == store.read(runs.ALERTS).count()
     assert rows(store.read(runs.SECURITY_DIM), "email") == [("NULL",), ("a@b.c",), ("a@b.c",)]
     assert notices.security_silver(bronze).filter(F.col("security_execution_date").isNotNull()).count() == 0
 

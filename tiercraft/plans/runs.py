@@ -11,11 +11,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import replace
+from datetime import UTC, datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 
 from tiercraft.context import RunContext
+from tiercraft.operators import quality
 from tiercraft.operators.enrich import load_lookup
 from tiercraft.plans import audit, core, dimensions, facts, notices, priority, reference, usage
 from tiercraft.plans.layouts import ACTIVE_KEY, ONBOARD_KEY
@@ -39,6 +41,8 @@ AUDIT_ACTIVE = "gold.fact_copilot_active"
 AUDIT_ONBOARD = "gold.fact_copilot_onboard"
 ALERTS_DIM = "gold.dim_dynamic_alerts"
 SECURITY_DIM = "gold.dim_security"
+METRICS = "gold.run_quality"
+METRICS_SCHEMA = "measured_at timestamp not null, table_name string not null, figure string not null, value long"
 USAGE_PRODUCT = "cursor"
 AUDIT_PRODUCT = "copilot"
 
@@ -147,14 +151,25 @@ def run_audit_gold(store: Warehouse, run: RunContext, replace_onboard: bool = Fa
 
 def run_alerts(store: Warehouse, bronze: DataFrame) -> None:
     store.overwrite(notices.alerts_silver(bronze), ALERTS)
+    silver = store.read(ALERTS)
+    _record(store, ALERTS, quality.row_delta(bronze, silver), quality.unique_id(silver, "dynamic_alerts_notification_id"))
     store.overwrite(notices.alerts_gold(store.read(ALERTS)), ALERTS_DIM)
 
 
 def run_security(store: Warehouse, bronze: DataFrame) -> None:
     store.overwrite(notices.security_silver(bronze), SECURITY)
+    silver = store.read(SECURITY)
+    _record(store, SECURITY, quality.row_delta(bronze, silver), quality.text_null(silver, "security_email"))
     store.overwrite(notices.security_gold(store.read(SECURITY)), SECURITY_DIM)
 
 
+def _record(store: Warehouse, table: str, *figures: DataFrame) -> None:
+    """Quality figures of a run: a row a figure in the metrics table."""
+    now = datetime.now(UTC)
+    rows = [(now, table, name, int(value)) for one in figures for name, value in one.first().asDict().items()]
+    store.append(store.spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1), METRICS)
+
+
 def run_reference(store: Warehouse, bronze: Mapping[str, DataFrame]) -> None:
     """Every reference table there is bronze data for."""
     for name, (silver, plan) in reference.REFERENCE_TABLES.items():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,14 +116,14 @@ def scan_empty_typed(b: Bronze) -> DataFrame:
 
 @query("scan_json_lines", "SELECT conv_id, turn, role, text FROM conversations")
 def scan_json_lines(b: Bronze) -> DataFrame:
-    path = scans.snapshot_path(b.spark, "conversation-lines", b.folder)
+    path = scans.snapshot_path(b.spark, f"conversation-lines-{uuid.uuid4().hex}", b.folder)
     b.given("conversations").write.mode("overwrite").json(path)
     return scans.read_json_lines(b.spark, path, "conv_id long, turn long, role string, text string")
 
 
 @query("snapshot_save", "SELECT count(*) AS row_count, sum(o_custkey)::BIGINT AS key_sum FROM orders")
 def snapshot_save(b: Bronze) -> DataFrame:
-    path = scans.snapshot_save(b.given("orders"), "orders", b.folder)
+    path = scans.snapshot_save(b.given("orders"), f"orders-{uuid.uuid4().hex}", b.folder)
     kept = scans.read_path(b.spark, path)
     return kept.agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_custkey").alias("key_sum"))
 
@@ -130,8 +132,9 @@ def snapshot_save(b: Bronze) -> DataFrame:
 def snapshot_load(b: Bronze) -> DataFrame:
     late = b.given("orders").filter(F.col("o_orderdate") >= F.lit(FIRST_DAY).cast("timestamp_ntz"))
     predicate = f"{b.folder} o_orderdate >= {FIRST_DAY}"
-    scans.snapshot_save(late, "late-orders", predicate)
-    return scans.snapshot_load(b.spark, "late-orders", predicate, late.schema)
+    name = f"late-orders-{uuid.uuid4().hex}"
+    scans.snapshot_save(late, name, predicate)
+    return scans.snapshot_load(b.spark, name, predicate, late.schema)
 
 
 # --- columns ----------------------------------------------------------------------------------------------
