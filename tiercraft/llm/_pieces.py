@@ -31,7 +31,7 @@ class Memo:
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
-        self.ids = np.empty(1 << 20, dtype=np.uint32)
+        self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.starts, self.counts = np.empty(1 << 16, dtype=np.int64), np.empty(1 << 16, dtype=np.int64)
         self.used = 0
         self.notes: list = []

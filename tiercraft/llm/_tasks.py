@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
 import uuid
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tiercraft.session import shared_folder
@@ -32,6 +35,23 @@ def ship(spark: SparkSession) -> None:
     context._tiercraft_shipped = True
 
 
+def _release() -> None:
+    """Give freed memory back; Spark keeps its Python workers for later tasks of any kind."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, task: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow``, on executors that may not have this package, in workers that give memory back afterwards."""
     ship(df.sparkSession)
-    return df.mapInArrow(task, schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from task(batches)
+        finally:
+            _release()
+
+    return df.mapInArrow(run, schema)

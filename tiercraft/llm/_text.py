@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and base**-k modulo 2**64 for k below n; kept in the worker, at most 2**21 of each."""
+    """base**k and base**-k modulo 2**64 for k below n; kept in the worker, at most 2**20 of each."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
@@ -47,7 +47,7 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
                     done *= 2
             made.append(p)
         have = (made[0], made[1])
-        if size <= 1 << 21:
+        if size <= 1 << 20:
             _powers[base] = have
     return have
 
@@ -116,7 +116,7 @@ def bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[rows[0] : rows[-1]], rows - rows[0]
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Runs of rows whose text has about ``limit`` bytes (a longer text is a run of its own)."""
     if not batch.num_rows:
         return

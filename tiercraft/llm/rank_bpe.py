@@ -240,6 +240,13 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     """Key, ``ids`` (binary: little-endian unsigned 32-bit numbers) and ``decoded`` text of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from encoded(batches)
+        finally:
+            if path in _open:
+                _open[path][1].clear()  # what this task has encoded; the next may be of another kind
+
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "piece_text", SLICE_BYTES):
                 texts = pc.fill_null(part.column("piece_text"), "")

@@ -83,19 +83,26 @@ def _candidates(sketch: Broadcast, n: int):
     return rows
 
 
-def _slice_candidates(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> pa.RecordBatch | None:
+def _repeated(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> list[np.ndarray]:
+    """Two hashes, row and place of the windows that may repeat."""
     words = words_of(part, "body")
     first, row = words.rows_of(n)
-    if not len(first):
-        return None
     hashes = words.hashes()
-    some = sketch.repeated(anchors(hashes, first, n))
+    some = sketch.repeated(anchors(hashes, first, n)) if len(first) else np.empty(0, dtype=bool)
     first, row = first[some], row[some]
-    if not len(first):
+    return [window_hashes(hashes, first, n, 1), window_hashes(hashes, first, n, 2), row, (first - words.first[row]).astype(np.int64)]
+
+
+def _slice_candidates(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> pa.RecordBatch | None:
+    found, before = [], 0
+    for small in slices(part, "body"):
+        h1, h2, row, place = _repeated(small, sketch, n)
+        found.append((h1, h2, row + before, place))
+        before += small.num_rows
+    h1, h2, row, place = (np.concatenate(x) for x in zip(*found, strict=True))
+    if not len(h1):
         return None
-    h1, h2 = window_hashes(hashes, first, n, 1), window_hashes(hashes, first, n, 2)
     key, tie = part.column("row_key").to_numpy()[row], part.column("tie").to_numpy()[row]
-    place = (first - words.first[row]).astype(np.int64)
     order = np.lexsort((key, h2, h1))
     a, b, k = h1[order], h2[order], key[order]
     new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
