@@ -49,7 +49,7 @@ def test_cleaning_rules(spark):
     assert values(spark, [" 1.5 ", "x", None], to_decimal) == [Decimal("1.50000000"), None, None]
     assert values(spark, ["2024-01-31 10:00:00", "soon", None], to_ts) == [datetime(2024, 1, 31, 10), None, None]
     assert values(spark, ["true", "no", "1", "maybe", None], to_bool) == [True, False, True, None, None]
-    assert values(spark, ["7", "7.9", "-3.0", "x", "", None, " 8 "], to_whole) == [7, 7, -3, None, None, None, 8]
+    assert values(spark, ["7", "7.9", "-3.0", "x", "", None, " 8 ", ".5", "."], to_whole) == [7, 7, -3, None, None, None, 8, 0, None]
 
 
 def test_cleaning_rules_do_not_depend_on_ansi(spark):

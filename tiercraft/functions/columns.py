@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Texts that count as numbers and booleans.
 WHOLE_NUMBER = r"^\s*([+-]?\d+)(?:\.\d*)?\s*$"
+ONLY_FRACTION = r"^\s*[+-]?\.\d+\s*$"
 TRUE_TEXT = r"(?i)^\s*(t|true|y|yes|1)\s*$"
 FALSE_TEXT = r"(?i)^\s*(f|false|n|no|0)\s*$"
 
@@ -72,12 +73,14 @@ def nonempty(value: Column) -> Column:
 
 
 def to_whole(value: Column, dtype: str = "int") -> Column:
-    """Whole number; text such as ``7.9`` is cut to ``7``, other text is NULL.
+    """Whole number; text such as ``7.9`` is cut to ``7`` and ``.5`` to ``0``, as a lenient cast does; other text is NULL.
 
     Text is taken apart first, because a cast that fails costs far more than one that succeeds.
     """
-    digits = F.regexp_extract(value.cast("string"), WHOLE_NUMBER, 1)
+    text = value.cast("string")
+    digits = F.regexp_extract(text, WHOLE_NUMBER, 1)
     from_text = F.nullif(digits, F.lit("")).try_cast(dtype)
+    from_text = F.coalesce(from_text, F.when(text.rlike(ONLY_FRACTION), F.lit(0).cast(dtype)))
     return F.when(F.typeof(value) == "string", from_text).otherwise(value.try_cast(dtype))
 
 
