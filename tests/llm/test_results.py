@@ -362,3 +362,32 @@ def test_linked_groups_around_one_text(spark, monkeypatch):
             group = [min(x, y) if g in (x, y) else g for g in group]
     got = {r.doc_id: r.component_id for r in prefix_join.groups(docs_of(spark, texts), prefix_join.Similarity(4, 85)).collect()}
     assert len(set(group)) > 5 and got == dict(enumerate(group))
+
+
+def test_losses_over_every_token(spark, monkeypatch):
+    """More tokens than a fixed vocabulary holds, in several slices; rare words tell documents apart."""
+    monkeypatch.setattr(loss_difference, "SLICE_BYTES", 3000)
+    texts = [" ".join(f"w{(k * 70 + j) % 3900}" for j in range(90)) for k in range(60)] + ["the rarest", "the scarce", "the scarce", ""]
+    target_keys = {*range(0, 60, 4), 61}
+
+    def model(some):
+        pairs, first, second = Counter(), Counter(), Counter()
+        for i in some:
+            for a, b in itertools.pairwise(["<s>", *texts[i].split()]):
+                pairs[a, b] += 1
+                first[a] += 1
+                second[b] += 1
+        n, ids = sum(second.values()), 17 + len({x for t in texts for x in t.split()})
+        return lambda a, b: -math.log2((pairs[a, b] + 100 * (second[b] + 1) / (n + ids)) / (first[a] + 100))
+
+    assert len({x for t in texts for x in t.split()}) > 3000
+    both = model(target_keys), model(range(len(texts)))
+    docs = docs_of(spark, texts)
+    got = {r.doc_id: r for r in loss_difference.score(docs, spark.createDataFrame([(k,) for k in target_keys], "doc_id long")).collect()}
+    assert len(got) == len(texts) and got[63].difference is None
+    for i, text in enumerate(texts[:63]):
+        line = ["<s>", *text.split()]
+        want = [sum(m(a, b) for a, b in itertools.pairwise(line)) / (len(line) - 1) for m in both]
+        assert got[i].n_tokens == len(line) - 1
+        assert abs(got[i].target_loss - want[0]) < 1e-9 and abs(got[i].background_loss - want[1]) < 1e-9
+    assert got[61].difference < got[60].difference - 0.1
