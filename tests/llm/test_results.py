@@ -391,3 +391,29 @@ def test_losses_over_every_token(spark, monkeypatch):
         assert got[i].n_tokens == len(line) - 1
         assert abs(got[i].target_loss - want[0]) < 1e-9 and abs(got[i].background_loss - want[1]) < 1e-9
     assert got[61].difference < got[60].difference - 0.1
+
+
+def test_trust_flows_until_it_stands(spark):
+    """Paths longer than the least number of steps, and loops, against the solved equations."""
+    rng = random.Random(9)
+    links = [("h1.org", "bad.net")] + [(f"h{k + 1}.org", f"h{k}.org") for k in range(1, 14)]
+    links += [("good.com", "g1.org")] + [(f"g{k}.org", f"g{k + 1}.org") for k in range(1, 11)] + [("g11.org", "h13.org"), ("g11.org", "g1.org"), ("g5.org", "bad.net")]
+    links += [(f"r{rng.randrange(12)}.org", f"{rng.choice('rrrgh')}{rng.randrange(1, 12)}.org") for _ in range(40)]
+    links = [(a, b) for a, b in links if a != b]
+    hosts = sorted({h for pair in links for h in pair})
+    at = {h: k for k, h in enumerate(hosts)}
+
+    def solved(seed, pairs):
+        flow = np.zeros((len(hosts), len(hosts)))
+        for a, b in pairs:
+            flow[at[b], at[a]] += 1 / sum(x == a for x, _ in pairs)
+        start = np.zeros(len(hosts))
+        start[at[seed]] = 0.15
+        return np.linalg.solve(np.eye(len(hosts)) - 0.85 * flow, start)
+
+    trust, distrust = solved("good.com", links), solved("bad.net", [(b, a) for a, b in links])
+    rows = [(k, f"http://{h}/es/x", "".join(f"<a href='http://{b}/'>" for a, b in links if a == h)) for k, h in enumerate(hosts)]
+    got = {r.host: r.verdict for r in link_trust.judge(spark.createDataFrame(rows, "page_id long, url string, html string"), queries.URL_RULES, queries.STANDING).collect()}
+    assert min(abs(trust - distrust)[distrust + trust > 0]) > 1e-6
+    want = {h: "block" if distrust[k] > 1e-12 and distrust[k] >= trust[k] else "allow" for h, k in at.items()}
+    assert got == want and got["h14.org"] == "block"
