@@ -393,6 +393,16 @@ def test_losses_over_every_token(spark, monkeypatch):
     assert got[61].difference < got[60].difference - 0.1
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_a_quote_takes_no_other_text_of_its_key(spark, key):
+    item = prose(4000, 30)
+    quote, other, plain = [" ".join([*prose(4001, a), *item, *prose(4002, 20)]) for a in (10, 40)] + [" ".join(prose(4003, 60))]
+    docs = spark.createDataFrame([(key, quote, 1), (key, other, 2), (key, plain, 3), (key, None, 4), (8, plain, 5), (key, quote, 6)], "doc_id long, text string, n int")
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert sorted(r.n for r in spaced_seeds.clean(docs, items).collect()) == [3, 4, 5]
+    assert sorted((r.doc_id, r.first_word, r.last_word) for r in spaced_seeds.overlaps(docs, items).collect()) == [(key, 10, 40), (key, 40, 70)]
+
+
 def test_trust_flows_until_it_stands(spark):
     """Paths longer than the least number of steps, and loops, against the solved equations."""
     rng = random.Random(9)

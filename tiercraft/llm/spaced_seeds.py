@@ -11,7 +11,7 @@ words around those, and no others, leave the task. The joins are Spark's, on eit
 of all documents quote is one row on the side of the tests.
 
 Defined results: NULL and empty texts overlap with nothing. Rows with a NULL key are reported under it. Repeated
-documents or items are reported once. An empty table on either side gives an empty table. Other columns are not read.
+documents or items are reported once; different texts of one key are reported, and cleaned, each for itself. An empty table on either side gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tiercraft.llm import _sketch
@@ -149,16 +149,21 @@ def _verify(seeds: Seeds):
                 doc, item = np.frombuffer(x["doc_words"], dtype=np.uint64), np.frombuffer(x["item_words"], dtype=np.uint64)
                 span = overlap(doc, item, x["shift"], seeds)
                 if span is not None:
-                    out.append((x["row_key"], x["item"], x["start"] + span[0], x["start"] + span[1], span[2], len(item)))
+                    out.append((x["row_key"], x["tie"], x["item"], x["start"] + span[0], x["start"] + span[1], span[2], len(item)))
             if out:
-                types = [pa.int64(), pa.int64(), *[pa.int32()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["row_key", "item", "first_word", "last_word", "equal_words", "item_words"])
+                types = [pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 4]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["row_key", "tie", "item", "first_word", "last_word", "equal_words", "item_words"])
 
     return rows
 
 
-def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
-    """Key, item key, first_word, last_word (after it), equal_words (most of one alignment) and item_words, a row a pair."""
+def _tie(text: str) -> Column:
+    """Tells the texts of one key apart."""
+    return F.xxhash64(F.coalesce(quoted(text), F.lit("")))
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
+    """row_key, tie, item, first_word, last_word, equal_words and item_words, a row for each text of a key and item."""
     tests = items.select(F.col(item_key).cast("long").alias("item_key"), F.coalesce(F.col(item_text), F.lit("")).alias("body")).where("item_key IS NOT NULL")
     index = stage(tests.transform(map_arrow, _items(seeds), "seed long, item long, item_place int").distinct(), "seeds")
     n = index.count()
@@ -169,7 +174,7 @@ def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str
             yield np.concatenate((found, found))  # twice, as the sketch answers for keys that occur twice
 
     known = _sketch.build(index.select("seed"), seen, _sketch.log_width(n, 32))
-    plain = docs.select(F.col(key).cast("long").alias("row_key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    plain = docs.select(F.col(key).cast("long").alias("row_key"), _tie(text).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
     regions = stage(plain.transform(map_arrow, _regions(known, seeds), REGION), "regions")
     name = ["row_key", "tie", "start"]
     hits = regions.select(*name, F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(*name, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place"))
@@ -177,14 +182,20 @@ def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str
     words = regions.select(*[F.col(c).alias(f"region_{c}") for c in name], "doc_words").dropDuplicates([f"region_{c}" for c in name])
     same = F.col("row_key").eqNullSafe(F.col("region_row_key")) & (F.col("tie") == F.col("region_tie")) & (F.col("start") == F.col("region_start"))
     of_items = tests.transform(map_arrow, _tokens, "item long, item_words binary").distinct()
-    met = lined.join(words, same).join(of_items, "item").select("row_key", "item", "start", "shift", "doc_words", "item_words")
-    found = met.transform(map_arrow, _verify(seeds), "row_key long, item long, first_word int, last_word int, equal_words int, item_words int")
-    out = found.groupBy("row_key", "item").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"), F.max("equal_words").alias("equal_words"), F.max("item_words").alias("item_words"))
+    met = lined.join(words, same).join(of_items, "item").select("row_key", "tie", "item", "start", "shift", "doc_words", "item_words")
+    found = met.transform(map_arrow, _verify(seeds), "row_key long, tie long, item long, first_word int, last_word int, equal_words int, item_words int")
+    return found.groupBy("row_key", "tie", "item").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"), F.max("equal_words").alias("equal_words"), F.max("item_words").alias("item_words"))
+
+
+def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Key, item key, first_word, last_word (after it), equal_words (most of one alignment) and item_words, a row for each text of a key and item."""
+    out = _overlaps(docs, items, seeds, key, text, item_key, item_text).drop("tie")
     return out.withColumnRenamed("row_key", key).withColumnRenamed("item", item_key)
 
 
 def clean(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents, all columns, that overlap with no item. A row without a key goes if any such row overlaps."""
-    bad = overlaps(docs, items, seeds, key, text).select(F.col(key).cast("long").alias("bad_key")).distinct()
-    whole = docs.select(row_struct(docs).alias("row"), quoted(key).cast("long").alias("row_key"))
-    return whole.join(bad, F.col("row_key").eqNullSafe(F.col("bad_key")), "left_anti").select(*unpacked(docs))
+    """The documents, all columns, that overlap with no item; other texts of the same key, or without a key, stay."""
+    bad = _overlaps(docs, items, seeds, key, text, "item_id", "text").select(F.col("row_key").alias("bad_key"), F.col("tie").alias("bad_tie")).distinct()
+    whole = docs.select(row_struct(docs).alias("row"), quoted(key).cast("long").alias("row_key"), _tie(text).alias("tie"))
+    same = F.col("row_key").eqNullSafe(F.col("bad_key")) & (F.col("tie") == F.col("bad_tie"))
+    return whole.join(bad, same, "left_anti").select(*unpacked(docs))
