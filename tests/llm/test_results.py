@@ -427,3 +427,11 @@ def test_trust_flows_until_it_stands(spark):
     assert min(abs(trust - distrust)[distrust + trust > 0]) > 1e-6
     want = {h: "block" if distrust[k] > 1e-12 and distrust[k] >= trust[k] else "allow" for h, k in at.items()}
     assert got == want and got["h14.org"] == "block"
+
+
+def test_seeds_hit_every_window_that_counts():
+    seeds = spaced_seeds.Seeds()
+    replaced = seeds.window - -(-seeds.percent * seeds.window // 100)
+    places = [[first + k for k, one in enumerate(m) if one == "1"] for m in seeds.masks for first in range(seeds.window - len(m) + 1)]
+    missed = [x for n in range(replaced + 1) for x in itertools.combinations(range(seeds.window), n) if all(set(x) & set(p) for p in places)]
+    assert replaced == 2 and missed == []

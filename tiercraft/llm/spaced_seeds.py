@@ -38,8 +38,8 @@ PLAIN[[b for b in range(33, 128) if not chr(b).isalnum()]] = 0x20
 @dataclass(frozen=True)
 class Seeds:
     #: All have eight ones. The first finds quotes as they are, the next two words replaced at every fifth or sixth place,
-    #: the last two replacements without a rhythm.
-    masks: tuple[str, ...] = ("11111111", "111101111", "11111000111", "1101100101011", "1110010110101")
+    #: the others replacements without a rhythm. Together they hit a 13-word window whichever two of its words are replaced.
+    masks: tuple[str, ...] = ("11111111", "111101111", "11111000111", "1101100101011", "1110010110101", "11100110111", "110101011011")
     window: int = 13
     percent: int = 80
 
