@@ -20,9 +20,3 @@ def spark():
 def store(spark, tmp_path):
     tag = tmp_path.name.replace("-", "_")
     return Warehouse(spark, f"silver_{tag}", f"gold_{tag}", str(tmp_path))
-
-
-def rows(df, *names):
-    """Rows as sorted tuples, NULLs first."""
-    picked = df.select(*names) if names else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, str(v)) for v in r])

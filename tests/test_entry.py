@@ -9,33 +9,6 @@ import __spark_entry__ as contract
 from compare import TABLES, compare
 
 FOLDER = "/root/testdata/sf0.001"
-# One query per family; `python compare.py` runs them all.
-SAMPLE = [
-    "scan_predicate_build",
-    "resolve_column",
-    "valid_email",
-    "filter_through_month",
-    "frozen_to_skip",
-    "surrogate_key",
-    "json_flatten",
-    "identity_split_rejects",
-    "identity_fallback",
-    "identity_priority",
-    "headcount_attach",
-    "active_by_type",
-    "dedupe_by_key",
-    "dq_reject_rate",
-    "dim_project",
-    "ref_avg_hours",
-    "silver_usage",
-    "silver_audit",
-    "gold_usage_active",
-    "gold_audit_onboard",
-    "upsert",
-    "write_preserve_frozen",
-    "replace_one_month",
-    "freeze_append",
-]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the given tables are not here")
 
@@ -48,7 +21,7 @@ def database():
     return connection
 
 
-@pytest.mark.parametrize("name", SAMPLE)
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query_equals_its_sql(spark, database, name):
     verdict, count, _ = compare(spark, database, FOLDER, name)
     assert verdict == "same"

@@ -3,7 +3,7 @@ from decimal import Decimal
 from hashlib import sha256
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tiercraft.workload.registry import INTERACTIONS

@@ -3,7 +3,7 @@ from collections import defaultdict
 from datetime import date
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tiercraft.operators import attach as attaching

@@ -5,7 +5,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from rows import rows
 from pyspark.sql import functions as F
 
 from tiercraft.context import RunContext

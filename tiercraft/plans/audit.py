@@ -51,7 +51,7 @@ def audit_scan_predicate(run: RunContext, bronze: DataFrame) -> Column | None:
     return test | quoted(header).startswith(" ") if dict(bronze.dtypes)[header] == "string" else test
 
 
-def audit_fields(bronze: DataFrame, interactions: Interactions = Interactions()) -> DataFrame:
+def audit_fields(bronze: DataFrame, interactions: Interactions) -> DataFrame:
     """Every bronze row with its payload flattened to columns; arrays appear as counts and flags."""
     headers = Headers(bronze.columns)
     text = headers.column("AuditData", "audit_data")

@@ -644,7 +644,7 @@ def array_exists(b: Bronze) -> DataFrame:
 )
 def derived_flags(b: Bronze) -> DataFrame:
     rows = b.table("audit")
-    rows = audit_fields(rows.filter(email.valid_email(F.col("UserId"))))
+    rows = audit_fields(rows.filter(email.valid_email(F.col("UserId"))), RUN.interactions)
     return rows.select(
         F.col(f"{A}record_id").alias("record_id"),
         F.col(f"{A}operation").alias("operation"),
@@ -696,5 +696,5 @@ def dedupe_pairs(b: Bronze) -> DataFrame:
 
 @query("dedupe_on_id", "SELECT * FROM a_base")
 def dedupe_on_id(b: Bronze) -> DataFrame:
-    rows = audit_fields(b.table("audit").filter(email.valid_email(F.col("UserId"))))
+    rows = audit_fields(b.table("audit").filter(email.valid_email(F.col("UserId"))), RUN.interactions)
     return keep_one(rows, [F.col(f"{A}record_id")], [F.col(f"{A}ingestion_date").desc_nulls_last()])
