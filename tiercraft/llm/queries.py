@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercraft.llm import line_rules, link_trust, loss_difference, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
+from tiercraft.llm import hadamard_codes, line_rules, link_trust, loss_difference, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -96,6 +96,11 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return rank_bpe.digests(rank_bpe.encode(documents, public_tokenizers.path("word_bpe_49k.json")))
 
 
+@query("op11_hadamard_codes", hadamard_codes.CHECK)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return hadamard_codes.digests(table(spark, folder, "embeddings"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
