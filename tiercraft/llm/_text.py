@@ -52,12 +52,27 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the runs of bytes from ``start`` to ``end``."""
+    up, down = powers(BASES[0], max(1, len(data)))
+    with np.errstate(over="ignore"):
+        sums = np.empty(len(data) + 1, dtype=np.uint64)
+        sums[0] = 0
+        np.cumsum(BYTE_VALUE[data] * up[: len(data)], out=sums[1:])
+        # An empty run may begin behind the last byte, where there is no power to divide by.
+        own = (sums[end] - sums[start]) * down[np.minimum(start, max(0, len(data) - 1))]
+    return mix(own ^ (end - start).astype(np.uint64))
+
+
 class Words:
-    """Words of several texts: row r has the words ``first[r]`` to ``first[r + 1]``; ``start`` and ``end`` are bytes."""
+    """Words of several texts: row r has the words ``first[r]`` to ``first[r + 1]``; ``start`` and ``end`` are bytes.
+
+    ``space`` says which bytes are between words.
+    """
 
-    def __init__(self, data: np.ndarray, rows: np.ndarray):
+    def __init__(self, data: np.ndarray, rows: np.ndarray, space: np.ndarray = SPACE):
         self.data = data
-        full = ~SPACE[data]
+        full = ~space[data]
         begins, ends = full.copy(), full.copy()
         begins[1:] &= ~full[:-1]
         ends[:-1] &= ~full[1:]
@@ -70,13 +85,7 @@ class Words:
     def hashes(self) -> np.ndarray:
         if not len(self.start):
             return np.empty(0, dtype=np.uint64)
-        up, down = powers(BASES[0], len(self.data))
-        with np.errstate(over="ignore"):
-            sums = np.empty(len(self.data) + 1, dtype=np.uint64)
-            sums[0] = 0
-            np.cumsum(BYTE_VALUE[self.data] * up[: len(self.data)], out=sums[1:])
-            own = (sums[self.end] - sums[self.start]) * down[self.start]
-        return mix(own ^ (self.end - self.start).astype(np.uint64))
+        return byte_hashes(self.data, self.start, self.end)
 
     def rows_of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """For every window of n words within a row: its first word and its row."""

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tiercraft.llm import hadamard_codes, line_rules, link_trust, loss_difference, plane_shards, prefix_join, rank_bpe, spaced_seeds, subword_quality, window_dedup, word_language
+from tiercraft.llm import hadamard_codes, iceberg_terms, line_rules, link_trust, loss_difference, plane_shards, prefix_join, rank_bpe, slot_shards, spaced_seeds, subword_quality, window_dedup, word_language
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
@@ -101,6 +101,16 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return hadamard_codes.digests(table(spark, folder, "embeddings"))
 
 
+@query("op12_slot_shards", slot_shards.CHECK)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return slot_shards.digests(table(spark, folder, "documents"))
+
+
+@query("op13_iceberg_terms", iceberg_terms.CHECK)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return iceberg_terms.audit(table(spark, folder, "documents"))
+
+
 @query("pipeline")
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
