@@ -10,9 +10,10 @@ megabytes only the smallest document of equal windows is sent; the others are kn
 of all documents share is a row per slice and not a row per document. Last, documents and the places to remove meet
 in one shuffle, sorted so that a document's places come before its text.
 
-Defined results: NULL and empty texts have no words (NULL comes back empty); shorter texts have no windows. A NULL key counts as larger than
-any other. Rows with equal keys, also repeated rows, are not earlier than each other. An empty table gives an empty
-table. Other columns are carried along; they go in one struct, so their names cannot clash.
+Defined results: NULL and empty texts have no words (NULL comes back empty); shorter texts have no windows. Keys
+are numbers, or text of numbers (other text counts as NULL, or is an error in ANSI mode). A NULL key counts as 2**63 - 1,
+no smaller than any other. Rows with equal keys, also repeated rows, are not earlier than each other; their texts are
+told apart by 96 bits of hashes. An empty table gives an empty table. Other columns are carried along; they go in one struct, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -25,18 +26,18 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tiercraft.llm import _sketch
 from tiercraft.llm._carry import row_struct, unpacked
-from tiercraft.llm._text import mix, signed, slices, window_hashes, words_of
+from tiercraft.llm._text import signed, slices, window_hashes, words_of
 from tiercraft.llm._tasks import map_arrow
+from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
 #: Counters of the sketch for each estimated anchor; about one anchor is made per 80 bytes of text.
 PER_ANCHOR, ANCHOR_BYTES = 8.0, 80
 LAST = 2**63 - 1
-OPEN = "h1 long, h2 long, row_key long, place long, run int"
+OPEN = "h1 long, h2 long, row_key long, tie long, tie2 int, place int, run int"
 
 
 def anchors(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -102,30 +103,29 @@ def _slice_candidates(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> p
     h1, h2, row, place = (np.concatenate(x) for x in zip(*found, strict=True))
     if not len(h1):
         return None
-    key, tie = part.column("row_key").to_numpy()[row], part.column("tie").to_numpy()[row]
+    own = {c: part.column(c).to_numpy() for c in ("row_key", "tie", "tie2")}
+    key = own["row_key"][row]
     order = np.lexsort((key, h2, h1))
     a, b, k = h1[order], h2[order], key[order]
     new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
     least = k[np.flatnonzero(new)][np.cumsum(new) - 1]
     known = np.zeros(len(order), dtype=bool)
     known[order] = k > least
-    where = tie << np.int64(32) | place
     # known windows as runs, for each row of the table
     go = np.flatnonzero(known)
     begin, length = _runs(row[go] * (1 << 40) + place[go]) if len(go) else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
-    at = begin >> 40
-    keys, ties = part.column("row_key").to_numpy()[at], part.column("tie").to_numpy()[at]
-    starts = ties << np.int64(32) | begin & ((1 << 40) - 1)
     stay = ~known
+    rows = np.concatenate((row[stay], begin >> 40))
+    none = np.zeros(len(begin), dtype=np.uint64)
     return pa.RecordBatch.from_arrays(
         [
-            signed(np.concatenate((h1[stay], mix(keys.astype(np.uint64) ^ mix(starts.astype(np.uint64)))))),
-            signed(np.concatenate((h2[stay], np.zeros(len(at), dtype=np.uint64)))),
-            pa.array(np.concatenate((key[stay], keys))),
-            pa.array(np.concatenate((where[stay], starts))),
+            signed(np.concatenate((h1[stay], none))),
+            signed(np.concatenate((h2[stay], none))),
+            *[pa.array(own[c][rows]) for c in ("row_key", "tie", "tie2")],
+            pa.array(np.concatenate((place[stay], begin & ((1 << 40) - 1))).astype(np.int32)),
             pa.array(np.concatenate((np.zeros(int(stay.sum()), dtype=np.int32), length.astype(np.int32)))),
         ],
-        ["h1", "h2", "row_key", "place", "run"],
+        ["h1", "h2", "row_key", "tie", "tie2", "place", "run"],
     )
 
 
@@ -173,14 +173,15 @@ def _remove(n: int, as_it_is: bool):
         now, places = None, []
         for batch in batches:
             kept = []
-            keys, ties, starts, runs = (batch.column(c).to_pylist() for c in ("row_key", "tie", "start", "run"))
+            names = list(zip(*(batch.column(c).to_pylist() for c in ("row_key", "tie", "tie2")), strict=True))
+            starts, runs = (batch.column(c).to_pylist() for c in ("place", "run"))
             bodies = batch.column("body")
             is_text = batch.column("is_text").to_numpy(zero_copy_only=False)
             rest = batch.column("rest")
             texts = np.flatnonzero(is_text)
-            for k in range(len(keys)):
-                if (keys[k], ties[k]) != now:
-                    now, places = (keys[k], ties[k]), []
+            for k, name in enumerate(names):
+                if name != now:
+                    now, places = name, []
                 if not is_text[k]:
                     places.append((starts[k], runs[k]))
                 else:
@@ -194,22 +195,27 @@ def _remove(n: int, as_it_is: bool):
 
 def _removed(docs: DataFrame, n: int, key: str, text: str, as_it_is: bool) -> DataFrame:
     """rest (all columns but the text, as a struct), n_words, n_removed and kept_text of every row."""
-    tie = F.xxhash64(F.coalesce(F.col(text), F.lit(""))).bitwiseAND(F.lit(2**31 - 1).cast("long"))
-    plain = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("row_key"), tie.alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
+    body = F.coalesce(F.col(text), F.lit(""))
+    # Two hashes, 96 bits, tell the texts of one key apart.
+    name = [F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("row_key"), F.xxhash64(body).alias("tie"), F.hash(body).alias("tie2")]
+    plain = docs.select(*name, body.alias("body"))
     size = plain.select(F.sum(F.octet_length("body"))).first()[0] or 0
     width = _sketch.log_width(size / ANCHOR_BYTES, PER_ANCHOR)
     sketch = _sketch.build(plain.select("body"), _anchor_keys(n), width)
-    asked = plain.transform(map_arrow, _candidates(sketch, n), OPEN)
-    rank = F.rank().over(Window.partitionBy("h1", "h2").orderBy("row_key"))
-    gone = asked.withColumn("rank", rank).where((F.col("run") > 0) | (F.col("rank") > 1))
-    start = F.col("place").bitwiseAND(F.lit(2**32 - 1).cast("long")).cast("int")
+    asked = stage(plain.transform(map_arrow, _candidates(sketch, n), OPEN), "windows")
+    # The smallest key of a window is found by sums that combine before they are shuffled, and joined back where some
+    # key is larger: a window that a third of all documents share is no task of its own, as merge joins are split.
+    open_ = asked.where("run = 0")
+    least = open_.groupBy("h1", "h2").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most")).where("least < most").select("h1", "h2", "least")
+    gone = open_.join(least.hint("merge"), ["h1", "h2"]).where("row_key > least").select("row_key", "tie", "tie2", "place", F.lit(1).alias("run"))
+    gone = gone.unionByName(asked.where("run > 0").select("row_key", "tie", "tie2", "place", "run"))
     rest = row_struct(docs, without=(text,))
-    whole = docs.select(rest.alias("rest"), F.coalesce(F.col(key).cast("long"), F.lit(LAST)).alias("row_key"), tie.alias("tie"), F.lit(True).alias("is_text"), F.lit(0).alias("start"), F.lit(0).alias("run"), F.col(text).alias("body"))
+    whole = docs.select(rest.alias("rest"), *name, F.lit(True).alias("is_text"), F.lit(0).alias("place"), F.lit(0).alias("run"), F.col(text).alias("body"))
     none = F.lit(None)
-    places = gone.select(none.cast(whole.schema["rest"].dataType).alias("rest"), "row_key", F.shiftright("place", 32).alias("tie"), F.lit(False).alias("is_text"), start.alias("start"), F.greatest("run", F.lit(1)).alias("run"), none.cast("string").alias("body"))
+    places = gone.select(none.cast(whole.schema["rest"].dataType).alias("rest"), "row_key", "tie", "tie2", F.lit(False).alias("is_text"), "place", "run", none.cast("string").alias("body"))
     met = whole.unionByName(places)
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = met.repartition(partitions, "row_key", "tie").sortWithinPartitions("row_key", "tie", "is_text")
+    met = met.repartition(partitions, "row_key", "tie").sortWithinPartitions("row_key", "tie", "tie2", "is_text")
     kind = whole.schema["rest"].dataType.simpleString()
     return met.transform(map_arrow, _remove(n, as_it_is), f"rest {kind}, n_words long, n_removed long, kept_text string")
 
