@@ -1,10 +1,11 @@
 """Language identification, words first: a known word is scored by its frequency in each language, an unknown one by
 the longest character n-grams of it that are known.
 
-Learning counts words, and n-grams of words between spaces, per language in Spark, over a sample of the labelled rows
-whose expected size is a parameter (``sample_rows``; rows are taken by a hash of their key, so the sample does not
-depend on order). Of the counts the most frequent words and n-grams of each language make the model, which bounds
-what is broadcast. A frequency that is not known in a language costs ``penalty``. A text's cost in a language is the
+Learning counts words, and n-grams of words between spaces, per language in Spark, over a sample of each language's
+labelled rows: those with the smallest hashes of key and text, ``sample_rows`` at most, whatever the language's share of
+the table and the size of the table. The sample does not depend on order. Of the counts the most frequent words and
+n-grams of each language make the model: at most ``most_words + longest * most_grams`` rows a language, which is what
+the driver holds and broadcasts; a word beyond them is unknown and goes to its n-grams, as the method has it. A frequency that is not known in a language costs ``penalty``. A text's cost in a language is the
 mean over its words; the score is the share of the best language when costs are turned into probabilities.
 
 Defined results: ``und`` and score 0 for NULL, empty texts and texts without a letter, and for all texts when nothing
@@ -28,6 +29,7 @@ from pyspark.sql.window import Window
 from tiercraft.llm._pieces import PieceRows, piece_numbers, sums
 from tiercraft.llm._text import slices
 from tiercraft.llm._tasks import map_arrow
+from tiercraft.operators.attach import attach, settled
 from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
@@ -35,7 +37,8 @@ SLICE_BYTES = 4 << 20
 
 @dataclass(frozen=True)
 class Settings:
-    sample_rows: int = 8_000
+    #: Labelled rows of one language that are learned from.
+    sample_rows: int = 2_000
     most_words: int = 30_000
     most_grams: int = 5_000
     longest: int = 5
@@ -94,17 +97,37 @@ def _frequent(counts: DataFrame, kind: str, most: int) -> DataFrame:
     return top.join(total, on).withColumn("cost", -F.log10(F.col("n") / F.col("total")))
 
 
+def below(hashed: Column, share: Column) -> Column:
+    """Whether a 64-bit hash is in the lowest ``share`` of its whole range, however small that is."""
+    return hashed.cast("double") / 2.0**64 + 0.5 < share
+
+
+def sampled(rows: DataFrame, most: int) -> DataFrame:
+    """Of each language the ``most`` rows with the smallest hashes of ``k`` and ``body``; (k, lang, body).
+
+    A share that is expected to hold twice as many is taken first, so that few rows are ranked.
+    """
+    sizes = settled(rows.groupBy("lang").agg(F.count("*").alias("rows")))
+    hashed = attach(rows, sizes, ["lang"], "inner").withColumn("hashed", F.xxhash64("k", "body", F.lit("sample")))
+    some = hashed.where(below(F.col("hashed"), (F.lit(2.0 * most) + 100) / F.col("rows")))
+    least = Window.partitionBy("lang").orderBy("hashed", "k")
+    return some.withColumn("rank", F.row_number().over(least)).where(F.col("rank") <= most).select("k", "lang", "body")
+
+
+def _cuts(padded: Column, size: int) -> Column:
+    """All n-grams of one size."""
+    return F.transform(F.sequence(F.lit(1), F.length(padded) - size + 1), lambda i: F.substring(padded, i, F.lit(size)))
+
+
 def learn(labelled: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """The model of (key, text, lang) rows; rows without a language or text are left out."""
     rows = labelled.where(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(key).cast("string").alias("k"), F.col(lang).cast("string").alias("lang"), F.col(text).alias("body"))
-    n = rows.count()
-    share = min(1.0, settings.sample_rows / max(n, 1))
-    sample = rows.where(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000)).select("lang", "body")
+    sample = sampled(rows, settings.sample_rows).select("lang", "body")
     words = stage(sample.transform(map_arrow, _word_counts, "lang string, word string, n long").groupBy("lang", F.col("word").alias("item")).agg(F.sum("n").alias("n")), "words")
     padded = F.concat(F.lit(" "), F.col("item"), F.lit(" "))
     grams = None
     for size in range(1, settings.longest + 1):
-        cut = F.transform(F.sequence(F.lit(1), F.length(padded) - size + 1), lambda i, k=size: F.substring(padded, i, F.lit(k)))
+        cut = _cuts(padded, size)
         part = words.where(F.length(padded) >= size).select("lang", F.lit(size).alias("size"), "n", F.explode(cut).alias("item"))
         grams = part if grams is None else grams.unionByName(part)
     counted = grams.groupBy("lang", "size", "item").agg(F.sum("n").alias("n"))
