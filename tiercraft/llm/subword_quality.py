@@ -2,9 +2,10 @@
 the vectors of its hashed form and hashed character n-grams; softmax on top, trained by numpy stochastic gradient
 descent. Repetition is seen through two added words, one for a word said twice, one for words that go round in a loop.
 
-The labelled rows used for training are a sample whose expected size is a parameter (``sample_rows``; rows are taken
-by a hash of their key). Training runs in one task on that sample; scoring reads every whole text, and a word's vector
-is made once for each different word of a batch.
+The labelled rows used for training are a sample: those with the smallest hashes of their key, at most ``sample_rows``
+rows and ``sample_bytes`` bytes of whole texts (a single text over ``longest_text`` bytes is not trained on), whatever
+the size of the table. Training runs in one task on that sample; scoring reads every whole text, and a word's vector is
+made once for each different word of a batch.
 
 Defined results: NULL, empty and wordless texts get the score of a document without words (the model's bias). With no
 labelled rows every score is 0.5. Labels other than 0 and 1, and NULL labels, are left out. Repeated rows get the same
@@ -20,12 +21,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiercraft.llm._pieces import PieceRows, piece_numbers, sums
 from tiercraft.llm._text import slices
 from tiercraft.llm._tasks import map_arrow
+from tiercraft.llm.word_language import below
 from tiercraft.session import stage
 
 SLICE_BYTES = 4 << 20
@@ -38,6 +40,8 @@ SAME, LOOP, LAG = "\x01", "\x02", 24
 @dataclass(frozen=True)
 class Settings:
     sample_rows: int = 6_000
+    sample_bytes: int = 64 << 20
+    longest_text: int = 1 << 20
     buckets: int = 1 << 16
     dim: int = 8
     shortest: int = 2
@@ -190,11 +194,16 @@ def softmax(x: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), key: str = "doc_id", text: str = "text", label: str = "quality") -> Model:
     """The model of the labelled documents; ``labels`` has (key, label)."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(key).agg(F.max(label).cast("int").alias("y"))
-    share = min(1.0, settings.sample_rows / max(marked.count(), 1))
-    some = marked.where(F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("sample")), F.lit(1_000_000)) < int(share * 1_000_000))
-    plain = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    # the sample is bounded by sample_rows, so its keys may go to every task
-    rows = plain.join(F.broadcast(some), key).select(F.col(key).cast("string").alias("k"), "body", "y")
+    hashed = marked.withColumn("hashed", F.xxhash64(F.col(key).cast("string"), F.lit("sample")))
+    # A key has one row here, so twice the rows are expected to be enough; they may go to every task.
+    some = hashed.where(below(F.col("hashed"), F.lit((2.0 * settings.sample_rows + 100) / max(marked.count(), 1))))
+    plain = docs.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias("body")).where(F.octet_length("body") <= settings.longest_text)
+    rows = plain.join(F.broadcast(some), key).select(F.col(key).cast("string").alias("k"), "body", "y", "hashed")
+    # Only what fits into the sample leaves its task; bytes are added up over those rows.
+    order = ["hashed", "k", "body"]
+    first = rows.orderBy(*order).limit(settings.sample_rows)
+    running = F.sum(F.octet_length("body")).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = first.withColumn("bytes", running).where(F.col("bytes") <= settings.sample_bytes).select("k", "body", "y")
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches([*batches] or [pa.RecordBatch.from_pylist([], schema=pa.schema([("k", pa.string()), ("body", pa.string()), ("y", pa.int32())]))])
