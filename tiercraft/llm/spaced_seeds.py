@@ -4,14 +4,20 @@ Texts become words in lower case, with ASCII punctuation as white space. A seed
 at its ones and ignores the others, so words replaced at the ignored places do not hide a match. Seeds of the test
 items and of the training documents are joined on their hash; around every hit the words of both are compared on the
 same alignment, and an overlap counts when, in a window of ``window`` words (or the whole item, when shorter), at
-least ``percent`` of 100 are equal. Items of fewer words than the shortest mask are not searched for.
+least ``percent`` of 100 are equal.
+
+Items shorter than the window are cut into one block more than words may differ: some block is then equal, so blocks
+are their seeds, masks without a gap, and every alignment that counts is found. Documents are looked through with the
+block lengths that some item has. Items of fewer than ``shortest`` words are not searched for: they are phrases.
 
 Documents are read once. A filter of the test hashes (a sketch of bounded size, none is lost) leaves few places; the
 words around those, and no others, leave the task. The joins are Spark's, on either side's size: an item that a third
 of all documents quote is one row on the side of the tests.
 
-Defined results: NULL and empty texts overlap with nothing. Rows with a NULL key are reported under it. Repeated
-documents or items are reported once; different texts of one key are reported, and cleaned, each for itself. An empty table on either side gives an empty table. Other columns are not read.
+Defined results: NULL and empty texts overlap with nothing. Rows with a NULL key, and items with a NULL id, are reported
+under it. Keys and ids are numbers. Repeated documents or items are reported once; different texts of one key are
+reported, and cleaned, each for itself; items of one id are one item of several texts. An empty table on either side
+gives an empty table. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -42,6 +48,15 @@ class Seeds:
     masks: tuple[str, ...] = ("11111111", "111101111", "11111000111", "1101100101011", "1110010110101", "11100110111", "110101011011")
     window: int = 13
     percent: int = 80
+    shortest: int = 5
+
+    def block(self, words: int) -> int:
+        """Length of the blocks of an item of so many words, one block more than words may differ."""
+        return words // (words * (100 - self.percent) // 100 + 1)
+
+    def all_masks(self) -> list[str]:
+        """The spaced masks, then the blocks of every length that short items can have."""
+        return [*self.masks, *["1" * n for n in sorted({max(1, self.block(m)) for m in range(self.shortest, self.window)})]]
 
 
 def words_of(part: pa.RecordBatch) -> Words:
@@ -60,17 +75,28 @@ def seed_hashes(hashes: np.ndarray, first: np.ndarray, mask: str, which: int) ->
 
 
 def _items(seeds: Seeds):
+    """The seeds of items: all places of the spaced masks, or the disjoint blocks of a short item."""
+    masks = seeds.all_masks()
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "body"):
                 words = words_of(part)
                 hashes = words.hashes()
-                ids = part.column("item_key").to_numpy()
-                for which, mask in enumerate(seeds.masks):
+                ids = part.column("item").to_numpy()
+                size = np.diff(words.first)
+                own = np.array([max(1, seeds.block(n)) if seeds.shortest <= n < seeds.window else 0 for n in size.tolist()], dtype=np.int64)
+                for which, mask in enumerate(masks):
                     first, row = words.rows_of(len(mask))
+                    place = first - words.first[row]
+                    if which < len(seeds.masks):
+                        some = size[row] >= seeds.window
+                    else:
+                        some = (own[row] == len(mask)) & (place % len(mask) == 0)
+                    first, row, place = first[some], row[some], place[some]
                     if len(first):
-                        place = (first - words.first[row]).astype(np.int32)
-                        yield pa.RecordBatch.from_arrays([signed(seed_hashes(hashes, first, mask, which)), pa.array(ids[row]), pa.array(place)], ["seed", "item", "item_place"])
+                        seed = signed(seed_hashes(hashes, first, mask, which))
+                        yield pa.RecordBatch.from_arrays([seed, pa.array(ids[row]), pa.array(place.astype(np.int32)), pa.array(np.full(len(first), which, dtype=np.int32))], ["seed", "item", "item_place", "which"])
 
     return rows
 
@@ -81,14 +107,18 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words = words_of(part)
             hashes = words.hashes()
             cuts = [hashes[a:b].tobytes() for a, b in zip(words.first[:-1], words.first[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([part.column("item_key"), pa.array(cuts, pa.binary())], ["item", "item_words"])
+            yield pa.RecordBatch.from_arrays([part.column("item"), part.column("item_key"), pa.array(cuts, pa.binary())], ["item", "item_key", "item_words"])
 
 
 REGION = "row_key long, tie long, start int, doc_words binary, seeds array<bigint>, places array<int>"
 
 
-def _regions(known: Broadcast, seeds: Seeds):
-    """Rows (REGION): the words around the places that may be hits, close ones together, and the seeds there."""
+def _regions(known: Broadcast, seeds: Seeds, used: list[int]):
+    """Rows (REGION): the words around the places that may be hits, close ones together, and the seeds there.
+
+    ``used`` are the masks that some item has.
+    """
+    masks = [(which, mask) for which, mask in enumerate(seeds.all_masks()) if which in used]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -97,7 +127,7 @@ def _regions(known: Broadcast, seeds: Seeds):
                 words = words_of(part)
                 hashes = words.hashes()
                 at, row, seed = [], [], []
-                for which, mask in enumerate(seeds.masks):
+                for which, mask in masks:
                     first, of = words.rows_of(len(mask))
                     if len(first):
                         made = seed_hashes(hashes, first, mask, which)
@@ -149,10 +179,10 @@ def _verify(seeds: Seeds):
                 doc, item = np.frombuffer(x["doc_words"], dtype=np.uint64), np.frombuffer(x["item_words"], dtype=np.uint64)
                 span = overlap(doc, item, x["shift"], seeds)
                 if span is not None:
-                    out.append((x["row_key"], x["tie"], x["item"], x["start"] + span[0], x["start"] + span[1], span[2], len(item)))
+                    out.append((x["row_key"], x["tie"], x["item_key"], x["start"] + span[0], x["start"] + span[1], span[2], len(item)))
             if out:
                 types = [pa.int64(), pa.int64(), pa.int64(), *[pa.int32()] * 4]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["row_key", "tie", "item", "first_word", "last_word", "equal_words", "item_words"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["row_key", "tie", "item_key", "first_word", "last_word", "equal_words", "item_words"])
 
     return rows
 
@@ -163,10 +193,14 @@ def _tie(text: str) -> Column:
 
 
 def _overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds, key: str, text: str, item_key: str, item_text: str) -> DataFrame:
-    """row_key, tie, item, first_word, last_word, equal_words and item_words, a row for each text of a key and item."""
-    tests = items.select(F.col(item_key).cast("long").alias("item_key"), F.coalesce(F.col(item_text), F.lit("")).alias("body")).where("item_key IS NOT NULL")
-    index = stage(tests.transform(map_arrow, _items(seeds), "seed long, item long, item_place int").distinct(), "seeds")
+    """row_key, tie, item_key, first_word, last_word, equal_words and item_words, a row for each text of a key and item."""
+    body = F.coalesce(F.col(item_text), F.lit(""))
+    tests = items.select(F.col(item_key).cast("long").alias("item_key"), body.alias("body")).distinct()
+    # A number of its own for each id and text, as an id may be NULL or have several texts.
+    tests = tests.withColumn("item", F.xxhash64(F.col("item_key").isNull(), "item_key", "body"))
+    index = stage(tests.transform(map_arrow, _items(seeds), "seed long, item long, item_place int, which int").distinct(), "seeds")
     n = index.count()
+    used = [r["which"] for r in index.select("which").distinct().collect()]
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in batches:
@@ -175,22 +209,22 @@ def _overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds, key: str, text: s
 
     known = _sketch.build(index.select("seed"), seen, _sketch.log_width(n, 32))
     plain = docs.select(F.col(key).cast("long").alias("row_key"), _tie(text).alias("tie"), F.coalesce(F.col(text), F.lit("")).alias("body"))
-    regions = stage(plain.transform(map_arrow, _regions(known, seeds), REGION), "regions")
+    regions = stage(plain.transform(map_arrow, _regions(known, seeds, used), REGION), "regions")
     name = ["row_key", "tie", "start"]
     hits = regions.select(*name, F.explode(F.arrays_zip("seeds", "places")).alias("hit")).select(*name, F.col("hit.seeds").alias("seed"), F.col("hit.places").alias("place"))
-    lined = hits.join(index, "seed").select(*name, "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
+    lined = hits.join(index.drop("which"), "seed").select(*name, "item", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     words = regions.select(*[F.col(c).alias(f"region_{c}") for c in name], "doc_words").dropDuplicates([f"region_{c}" for c in name])
     same = F.col("row_key").eqNullSafe(F.col("region_row_key")) & (F.col("tie") == F.col("region_tie")) & (F.col("start") == F.col("region_start"))
-    of_items = tests.transform(map_arrow, _tokens, "item long, item_words binary").distinct()
-    met = lined.join(words, same).join(of_items, "item").select("row_key", "tie", "item", "start", "shift", "doc_words", "item_words")
-    found = met.transform(map_arrow, _verify(seeds), "row_key long, tie long, item long, first_word int, last_word int, equal_words int, item_words int")
-    return found.groupBy("row_key", "tie", "item").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"), F.max("equal_words").alias("equal_words"), F.max("item_words").alias("item_words"))
+    of_items = tests.transform(map_arrow, _tokens, "item long, item_key long, item_words binary")
+    met = lined.join(words, same).join(of_items, "item").select("row_key", "tie", "item_key", "start", "shift", "doc_words", "item_words")
+    found = met.transform(map_arrow, _verify(seeds), "row_key long, tie long, item_key long, first_word int, last_word int, equal_words int, item_words int")
+    return found.groupBy("row_key", "tie", "item_key").agg(F.min("first_word").alias("first_word"), F.max("last_word").alias("last_word"), F.max("equal_words").alias("equal_words"), F.max("item_words").alias("item_words"))
 
 
 def overlaps(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """Key, item key, first_word, last_word (after it), equal_words (most of one alignment) and item_words, a row for each text of a key and item."""
     out = _overlaps(docs, items, seeds, key, text, item_key, item_text).drop("tie")
-    return out.withColumnRenamed("row_key", key).withColumnRenamed("item", item_key)
+    return out.withColumnRenamed("row_key", key).withColumnRenamed("item_key", item_key)
 
 
 def clean(docs: DataFrame, items: DataFrame, seeds: Seeds = Seeds(), key: str = "doc_id", text: str = "text") -> DataFrame:
