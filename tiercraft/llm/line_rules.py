@@ -1,14 +1,15 @@
 """Quality rules from a document's own text and from lines that many documents of a host share. DataFrame code only.
 
 Own rules: too few words, or too many words inside 3-word windows that occur again. Cross-document rule: lines are
-normalised (lower case, white space runs to one space, digits to 0) and hashed; the different texts of a host that
-hold a line are counted; a line is frequent in a host when more than ``least`` texts and more than ``share`` of the
-host's texts hold it. Frequent lines are removed, and a document left with too few words, or too small a part of its
-words, is depleted and rejected. Exact copies of a text count once, so a text that was copied is not held against
-itself.
+normalised (lower case, white space runs to one space, digits to 0) and hashed; the documents of a host that hold a
+line are counted. Two limits make a line frequent in a host: more than ``least`` documents that are more than ``share``
+of the host's, or, for lines of ``long_words`` words or more, more than ``many`` documents however large the host is.
+Frequent lines are removed, and a document left with too few words, or too small a part of its words, is depleted and
+rejected.
 
 Defined results: NULL text is an empty text and fails for want of words; a NULL host is a host of its own; NULL keys
-are kept. Repeated rows get the same answer each. An empty table gives an empty table. Other columns stay out of the
+are kept. A document is a key with its text: repeated rows count once and get the same answer each, copies under other
+keys count each. An empty table gives an empty table. Other columns stay out of the
 work; names that clash with columns made here do no harm, as the inputs are renamed first.
 """
 
@@ -31,6 +32,8 @@ class LineRules:
     max_repeat_percent: int = 50
     least: int = 20
     share: float = 0.1
+    many: int = 1000
+    long_words: int = 8
     min_left: int = 50
     min_left_percent: int = 30
 
@@ -100,11 +103,14 @@ def measured(docs: DataFrame, key: str = "doc_id", text: str = "text", host: str
 
 
 def frequent_lines(rows: DataFrame, rules: LineRules) -> DataFrame:
-    """(host, line) above the limits; ``rows`` from ``measured``. Distinct texts are counted after partial aggregation."""
-    texts = rows.groupBy("host").agg(F.count_distinct("text_hash").alias("host_texts"))
-    held = rows.select("host", "text_hash", F.explode(F.array_distinct(F.col("line_hashes.line"))).alias("line"))
-    counts = held.groupBy("host", "line").agg(F.count_distinct("text_hash").alias("texts")).where(F.col("texts") > rules.least)
-    return counts.join(texts, "host").where(F.col("texts") > rules.share * F.col("host_texts")).select("host", "line")
+    """(host, line) above the limits; ``rows`` from ``measured``. Distinct documents are counted after partial aggregation."""
+    document = F.struct("row_key", "text_hash")
+    hosts = rows.groupBy("host").agg(F.count_distinct(document).alias("host_documents"))
+    held = rows.select("host", document.alias("document"), F.explode(F.array_distinct("line_hashes")).alias("held"))
+    counts = held.groupBy("host", "held.line").agg(F.count_distinct("document").alias("documents"), F.max("held.n").alias("n")).where(F.col("documents") > min(rules.least, rules.many))
+    share = (F.col("documents") > rules.least) & (F.col("documents") > rules.share * F.col("host_documents"))
+    many = (F.col("documents") > rules.many) & (F.col("n") >= rules.long_words)
+    return counts.join(hosts, "host").where(share | many).select("host", "line")
 
 
 def judge(docs: DataFrame, rules: LineRules = LineRules(), key: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
@@ -148,10 +154,10 @@ line AS (
   FROM (SELECT doc_id, host, body, unnest(string_split(body, chr(10))) AS l FROM doc)
   WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM line GROUP BY doc_id),
-hosts AS (SELECT host, count(DISTINCT body) AS texts FROM doc GROUP BY host),
+hosts AS (SELECT host, count(DISTINCT doc_id) AS documents FROM doc GROUP BY host),
 frequent AS (
-  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT body) AS n FROM line GROUP BY host, norm) JOIN hosts USING (host)
-  WHERE n > {least} AND n > {share} * texts),
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT doc_id) AS held, max(n) AS words FROM line GROUP BY host, norm) JOIN hosts USING (host)
+  WHERE held > {least} AND held > {share} * documents OR held > {many} AND words >= {long_words}),
 removed AS (SELECT doc_id, sum(n) AS n FROM line JOIN frequent USING (host, norm) GROUP BY doc_id),
 figures AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
