@@ -40,6 +40,7 @@ from tiercraft.llm._carry import quoted, row_struct, unpacked
 from tiercraft.llm._graph import components
 from tiercraft.llm._text import U64, Words, bytes_of, mix, signed, slices, window_hashes, words_of
 from tiercraft.llm._tasks import map_arrow
+from tiercraft.operators.attach import attach, settled
 from tiercraft.session import stage
 
 #: Counters of the sketch for each estimated n-gram; a word and its space take about 7 bytes.
@@ -184,13 +185,13 @@ def possible(alike: Similarity, a: str, b: str) -> Column:
 
 def index_of(plain: DataFrame, sketch: Broadcast, alike: Similarity) -> DataFrame:
     """Index entries with two classes or more, each class once, with the entry's centre."""
-    rows = plain.select("body").transform(map_arrow, _prefixes(sketch, alike), INDEX)
-    partitions = int(plain.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(partitions, "token").distinct()
-    entry = Window.partitionBy("token").orderBy("own", "class")
-    centre = F.first(F.struct("class", "size", "place", "own")).over(entry)
-    rows = rows.withColumn("centre", centre).withColumn("members", F.count("*").over(Window.partitionBy("token")))
-    return stage(rows.where("members > 1"), "index")
+    made = plain.select("body").transform(map_arrow, _prefixes(sketch, alike), INDEX)
+    rows = stage(made.distinct(), "entries")
+    # Centre and number combine before they are shuffled, and the merge join is split: an n-gram that a third of the
+    # documents have in their prefix is no task of its own.
+    heads = rows.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("own", "class", "size", "place")).alias("head")).where("members > 1")
+    heads = heads.select("token", "members", F.struct("head.class", "head.size", "head.place", "head.own").alias("centre"))
+    return stage(rows.join(heads.hint("merge"), "token").select(*rows.columns, "centre", "members"), "index")
 
 
 def _packed(n: int):
@@ -211,8 +212,8 @@ def _packed(n: int):
 def texts_of(plain: DataFrame, classes: DataFrame, alike: Similarity) -> DataFrame:
     """(class, packed): one compressed text for each class in ``classes``."""
     every = plain.select("body").transform(map_arrow, _packed(alike.words), "class binary, packed binary")
-    some = every.join(classes, "class", "left_semi")
-    return stage(some.groupBy("class").agg(F.min("packed").alias("packed")), "texts")
+    # One text a class and task first, so that a class of many copies meets no shuffle with all of them.
+    return stage(every.groupBy("class").agg(F.min("packed").alias("packed")).join(classes, "class", "left_semi"), "texts")
 
 
 PAIRS = "a binary, b binary, linked boolean, size int, gone array<bigint>, added array<bigint>"
@@ -327,7 +328,7 @@ def groups(docs: DataFrame, alike: Similarity = Similarity(), key: str = "doc_id
     least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("row_key").alias("least"))
     named = least.join(joined.withColumnRenamed("vertex", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     roots = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.join(roots, "root").select("class", "component_id")
+    ids = attach(named, settled(roots), ["root"], "inner").select("class", "component_id")
     out = rows.join(ids, "class", "left")
     own = F.when(F.col("class").isNull(), F.col("row_key")).otherwise(F.col("component_id"))
     return out.select(F.col("row_key").alias(key), "tie", F.col("size").alias("n_shingles"), own.alias("component_id"))
