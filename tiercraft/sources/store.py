@@ -1,18 +1,19 @@
 """Writing warehouse tables: overwrite, append, keyed upsert, month replacement, closed months.
 
-Tables are catalog tables. Those kept by month are partitioned by it, so a write rewrites the months it touches
-and Spark swaps them in when the job commits; other months are neither read nor written. One writer per table.
+Tables are versioned (``sources/versions``): a write makes new files for the months it touches, and one change of the
+table's view commits all of them. Other months are neither read nor written. One writer per table.
 """
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterable, Iterator, Sequence
-from contextlib import contextmanager
+import json
+from collections.abc import Iterable, Sequence
+from dataclasses import replace
 from datetime import UTC, datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tiercraft.functions.columns import quoted
 from tiercraft.operators.attach import attach, measured, settled
@@ -20,6 +21,7 @@ from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.filters import without_months
 from tiercraft.operators.periods import frozen_months
 from tiercraft.session import stage, staging
+from tiercraft.sources.versions import Manifest, Versions, schema_json
 
 # The ledger of closed months, and the note on months closed by a run.
 LEDGER = "ingest_freeze_control"
@@ -28,19 +30,6 @@ LEDGER_SCHEMA = (
 )
 CLOSE_NOTE = "Month-close auto-freeze"
 
-_OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
-
-
-@contextmanager
-def _touched_partitions_only(spark: SparkSession) -> Iterator[None]:
-    """Overwrites replace the partitions they write, no others."""
-    before = spark.conf.get(_OVERWRITE_MODE, None)
-    spark.conf.set(_OVERWRITE_MODE, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.unset(_OVERWRITE_MODE) if before is None else spark.conf.set(_OVERWRITE_MODE, before)
-
 
 class Warehouse:
     """The silver and gold tables, in one schema (database) each."""
@@ -48,6 +37,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, silver: str = "silver", gold: str = "gold", location: str | None = None):
         self.spark = spark
         self.schemas = {"silver": silver, "gold": gold}
+        self.versions = Versions(spark)
         for schema in dict.fromkeys(self.schemas.values()):
             place = f" LOCATION '{location}/{schema}'" if location else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`{place}")
@@ -61,75 +51,138 @@ class Warehouse:
         return self.spark.catalog.tableExists(self.name(table))
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.table(self.name(table))
+        """The table as it is now; a frame made before a write goes on reading what it read."""
+        manifest = self.versions.current(self.name(table))
+        return self.spark.table(self.name(table)) if manifest is None else self.versions.read(self.name(table), manifest)
+
+    def version(self, table: str) -> int:
+        """The number of the last write; 0 while there is none."""
+        manifest = self.versions.current(self.name(table))
+        return 0 if manifest is None else manifest.version
+
+    def changed_months(self, table: str, since: int | None) -> set[int | None] | None:
+        """Months written or dropped after version ``since``; None where that version is not known: any may have changed."""
+        now = self.versions.current(self.name(table))
+        old = None if since is None else self.versions.load(self.name(table), since)
+        if now is None or old is None:
+            return None
+        return {p.month for p in set(now.pieces) ^ set(old.pieces)}
+
+    def notes(self, table: str) -> dict:
+        """What writers have noted down with the table's current version."""
+        manifest = self.versions.current(self.name(table))
+        return {} if manifest is None else manifest.notes
 
     # -- whole tables -------------------------------------------------------------------------------------
 
-    def overwrite(self, df: DataFrame, table: str, month_col: str | None = None) -> None:
+    def overwrite(self, df: DataFrame, table: str, month_col: str | None = None, notes: dict | None = None) -> None:
         """Full load; the new columns replace the old ones. ``df`` may read the table itself.
 
-        The rows are complete before the table changes, so a failing job leaves it as it was. Without months they
-        are written aside and renamed. By month and with unchanged columns, Spark swaps the months in on commit and
-        months without rows are dropped after it, a second step. By month with other columns, the rows are staged,
-        and the table is dropped and made from the staged files.
+        The rows are complete before the table changes, so a failing job leaves it as it was, whatever its columns.
         """
-        if not self.exists(table):
-            self._save(df, self.name(table), month_col)
-        elif month_col is None:
-            self._switch(df, table)
-        elif self._has_columns(table, df, month_col):
-            before = self.stored_months(table)
-            self._drop_months(table, month_col, before - self._write_months(df, table, month_col))
-        else:
-            self._save(stage(df, "load"), self.name(table), month_col)
-
-    def _save(self, df: DataFrame, name: str, month_col: str | None) -> None:
-        rows = df if month_col is None else df.hint("rebalance", month_col)
-        writer = rows.write.mode("overwrite")
-        (writer.partitionBy(month_col) if month_col else writer).saveAsTable(name)
-
-    def _switch(self, df: DataFrame, table: str) -> None:
-        """A new table beside the old one, then two renames; the old one goes last."""
-        name, tag = self.name(table), uuid.uuid4().hex[:12]
-        new, old = f"{name}__new_{tag}", f"{name}__old_{tag}"
-        self._save(df, new, None)
-        self.spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-        try:
-            self.spark.sql(f"ALTER TABLE {new} RENAME TO {name}")
-        except Exception:
-            self.spark.sql(f"ALTER TABLE {old} RENAME TO {name}")
-            raise
-        self.spark.sql(f"DROP TABLE {old}")
-
-    def _has_columns(self, table: str, df: DataFrame, month_col: str) -> bool:
-        """Partitioned by the month, with the columns and types of ``df`` in any order."""
-        kinds = lambda rows: {f.name.lower(): f.dataType for f in rows.schema.fields}
-        columns = self.spark.catalog.listColumns(self.name(table))
-        return kinds(self.read(table)) == kinds(df) and [c.name for c in columns if c.isPartition] == [month_col]
+        old = self._adopted(table)
+        made = Manifest(old.version + 1 if old else 1, schema_json(df.schema, month_col), month_col, notes={**(old.notes if old else {}), **(notes or {})})
+        if old and old.keys and month_col and set(old.keys) <= set(df.columns):
+            made = replace(made, keys=old.keys)
+        pieces = self.versions.write(self.name(table), _guarded(df.select(*map(quoted, made.columns.names)), made), made)
+        self.versions.commit(self.name(table), replace(made, pieces=tuple(pieces)))
+
+    def _adopted(self, table: str) -> Manifest | None:
+        """The current manifest; a plain table under this name is copied and takes part from then on."""
+        name = self.name(table)
+        manifest = self.versions.current(name)
+        if manifest is not None or not self.spark.catalog.tableExists(name):
+            return manifest
+        months = [c.name for c in self.spark.catalog.listColumns(name) if c.isPartition]
+        rows = self.spark.table(name)
+        month_col = months[0] if months else None
+        made = Manifest(1, schema_json(rows.schema, month_col), month_col)
+        made = replace(made, pieces=tuple(self.versions.write(name, rows, made)))
+        self.spark.sql(f"ALTER TABLE {name} RENAME TO {name}__before")
+        self.versions.commit(name, made)
+        return made
 
     def append(self, df: DataFrame, table: str, month_col: str | None = None) -> None:
         """Add rows; the first call creates the table."""
-        if not self.exists(table):
+        old = self._adopted(table)
+        if old is None:
             self.overwrite(df, table, month_col)
             return
-        self._aligned(df, table).write.mode("append").insertInto(self.name(table))
+        rows, made = self._aligned(df, old)
+        pieces = self.versions.write(self.name(table), rows, made)
+        self.versions.commit(self.name(table), replace(made, version=old.version + 1, pieces=(*old.pieces, *pieces)))
 
     # -- months -------------------------------------------------------------------------------------------
 
-    def replace_months(self, df: DataFrame, table: str, month_col: str, months: Iterable[int | None]) -> None:
-        """The listed months become what ``df`` holds for them, perhaps nothing; other months stay.
+    def replace_months(
+        self,
+        df: DataFrame,
+        table: str,
+        month_col: str,
+        months: Iterable[int | None],
+        keys: Sequence[str] = (),
+        frozen: Iterable[int] = (),
+        notes: dict | None = None,
+    ) -> int:
+        """The listed months become what ``df`` holds for them, perhaps nothing; other months stay. One commit.
 
         ``None`` stands for the rows without a month. ``df`` may hold no month that is not listed: a stray row
         fails the job before anything is replaced.
+
+        With ``keys`` no key is stored twice: a row whose key lies in a ``frozen`` month that is not listed is left
+        out, and a key that lies in another month goes from there. Returns how many keys were left out.
         """
         months = list(dict.fromkeys(months))
         if not months:
-            return
+            return 0
         listed = _in_months(month_col, months)
         stray = F.raise_error(F.concat(F.lit("month outside the replaced ones: "), _text(quoted(month_col))))
         checked = df.withColumn(month_col, F.when(listed, quoted(month_col)).otherwise(stray.cast("int")))
-        written = self._write_months(checked, table, month_col)
-        self._drop_months(table, month_col, [m for m in months if m not in written])
+        if not keys or not self.exists(table):
+            self._change(checked, table, month_col, months, notes=notes)
+            return 0
+        with staging(self.spark):
+            return self._move_in(stage(checked, "replace"), table, month_col, keys, set(months), set(frozen) - set(months), notes)
+
+    def _move_in(
+        self, source: DataFrame, table: str, month_col: str, keys: Sequence[str], months: set, frozen: set, notes: dict | None
+    ) -> int:
+        """``months`` become ``source`` without the keys of ``frozen`` months; other months lose the keys of ``source``."""
+        held = self._holding(source, table, keys) - months
+        source, left_out = self._without_closed(source, table, month_col, keys, held & frozen)
+        others = held - frozen
+        kept = attach(self.read(table).filter(_in_months(month_col, others)), measured(source.select(*keys)), keys, "left_anti")
+        self._change(kept.unionByName(source, allowMissingColumns=True), table, month_col, months | others, notes=notes)
+        return left_out
+
+    def _holding(self, source: DataFrame, table: str, keys: Sequence[str]) -> set[int | None]:
+        """Months that hold keys of ``source``, from the key index; a table gets it when it is first asked for.
+
+        Keys are looked up by hash, so a month may be named that holds none of them.
+        """
+        name = self.name(table)
+        manifest = self._adopted(table)
+        if not manifest.pieces:
+            return set()
+        if manifest.keys != tuple(keys):
+            manifest = self.versions.index_all(name, manifest, keys)
+            manifest = replace(manifest, version=manifest.version + 1)
+            self.versions.commit(name, manifest)
+        kinds = {f.name: f.dataType for f in manifest.columns.fields}
+        asked = source.select(*[quoted(k).cast(kinds[k]).alias(k) for k in keys]).select(self.versions.key_hash(keys))
+        index = self.versions.read_keys(name, manifest)
+        found = attach(index, measured(asked), asked.columns, "left_semi").select(manifest.month_col).distinct()
+        return {row[0] for row in found.collect()}
+
+    def _without_closed(
+        self, source: DataFrame, table: str, month_col: str, keys: Sequence[str], closed: set
+    ) -> tuple[DataFrame, int]:
+        """``source`` without the keys that do lie in the ``closed`` months, and how many those are."""
+        if not closed:
+            return source, 0
+        there = self.read(table).filter(_in_months(month_col, closed)).select(*keys)
+        found = settled(attach(there, measured(source.select(*keys)), keys, "left_semi").distinct())
+        return attach(source, found, keys, "left_anti"), found.table.count()
 
     def preserve_frozen(
         self,
@@ -141,20 +194,27 @@ class Warehouse:
         order: Sequence[str] = (),
         mode: str = "upsert_open",
         fixed_month: bool = True,
+        notes: dict | None = None,
     ) -> int:
-        """A daily write that leaves closed months as they are; returns how many keys :meth:`upsert` left out.
+        """A daily write that leaves closed months as they are; returns how many keys were left out.
 
         ``mode="rebuild_open"``: all but the closed months becomes exactly ``df``, so open rows it lacks disappear.
         ``mode="upsert_open"``: ``df`` is upserted into the open months, for batches that hold only some rows.
+        In both a key that lies in a closed month, unless its month is fixed, stays there and is not stored again.
         """
         frozen = [int(m) for m in frozen]
         open_rows = df.filter(~quoted(month_col).isin(frozen)) if frozen else df
         if mode == "upsert_open" or not frozen:
-            return self.upsert(open_rows, table, keys, order, month_col, fixed_month=fixed_month, frozen=frozen)
-        before = self.stored_months(table)
-        written = self._write_months(open_rows, table, month_col)
-        self._drop_months(table, month_col, before - set(frozen) - written)
-        return 0
+            return self.upsert(open_rows, table, keys, order, month_col, fixed_month=fixed_month, frozen=frozen, notes=notes)
+        if not keys or fixed_month or not self.exists(table):
+            self._change(open_rows, table, month_col, self.stored_months(table) - set(frozen), notes=notes)
+            return 0
+        with staging(self.spark):
+            source = stage(upsert_source(open_rows, keys, order), "rebuild")
+            closed = self._holding(source, table, keys) & set(frozen)
+            source, left_out = self._without_closed(source, table, month_col, keys, closed)
+            self._change(source, table, month_col, self.stored_months(table) - set(frozen), notes=notes)
+            return left_out
 
     def overwrite_preserve_frozen(self, df: DataFrame, table: str, month_col: str, frozen: Iterable[int]) -> None:
         """Full load of the open months; closed months come from the table itself."""
@@ -165,11 +225,9 @@ class Warehouse:
             self.overwrite(without_months(df, month_col, frozen), table, month_col)
 
     def stored_months(self, table: str) -> set[int | None]:
-        """The months a table has, from the catalog alone; None stands for rows without a month."""
-        if not self.exists(table):
-            return set()
-        found = [row[0].rpartition("=")[2] for row in self.spark.sql(f"SHOW PARTITIONS {self.name(table)}").collect()]
-        return {int(month) if month.lstrip("-").isdigit() else None for month in found}
+        """The months a table has, from its manifest alone; None stands for rows without a month."""
+        manifest = self._adopted(table)
+        return set() if manifest is None else manifest.months
 
     # -- keys ---------------------------------------------------------------------------------------------
 
@@ -182,43 +240,34 @@ class Warehouse:
         month_col: str,
         fixed_month: bool = True,
         frozen: Sequence[int] = (),
+        notes: dict | None = None,
     ) -> int:
         """Rows of ``df`` replace the table's rows with the same key; new keys are added.
 
         Of several source rows with one key the last by ``order`` counts. A NULL key fails the job. Only months
-        that hold affected rows are rewritten: those of ``df``, and, unless a key determines its month
-        (``fixed_month``), those where the table has the keys now, found by a scan of key and month alone.
+        that hold affected rows are read and rewritten: those of ``df``, and, unless a key determines its month
+        (``fixed_month``), those where the table has the keys now, found in its key index.
 
         A key that lies in a ``frozen`` month stays there as it is: an arriving row with that key is left out, so no
         key is stored twice. Returns how many keys were left out.
         """
         source = upsert_source(df, keys, order)
         if not self.exists(table):
-            self.overwrite(source, table, month_col)
+            self.overwrite(source, table, month_col, notes=notes)
             return 0
         with staging(self.spark):
-            return self._upsert(stage(source, "upsert"), table, keys, month_col, fixed_month, frozen)
+            return self._upsert(stage(source, "upsert"), table, keys, month_col, fixed_month, set(frozen), notes)
 
     def _upsert(
-        self, source: DataFrame, table: str, keys: Sequence[str], month_col: str, fixed_month: bool, frozen: Sequence[int]
+        self, source: DataFrame, table: str, keys: Sequence[str], month_col: str, fixed_month: bool, frozen: set, notes: dict | None
     ) -> int:
-        target = self.read(table)
-        new_keys = measured(source.select(*keys))
-        left_out = 0
-        if frozen and not fixed_month:
-            closed = attach(target.filter(_in_months(month_col, frozen)).select(*keys), new_keys, keys, "left_semi")
-            closed = settled(closed.distinct())
-            left_out = closed.table.count()
-            source = attach(source, closed, keys, "left_anti")
-        touched = {row[0] for row in source.select(month_col).distinct().collect()}
-        if not fixed_month:
-            held = attach(target.select(*keys, month_col), new_keys, keys, "left_semi")
-            touched |= {row[0] for row in held.select(month_col).distinct().collect()}
-        touched -= set(frozen)
-        kept = attach(target.filter(_in_months(month_col, touched)), new_keys, keys, "left_anti")
+        held = set() if fixed_month else self._holding(source, table, keys)
+        source, left_out = self._without_closed(source, table, month_col, keys, held & frozen)
+        touched = {row[0] for row in source.select(month_col).distinct().collect()} | held
+        touched -= frozen
+        kept = attach(self.read(table).filter(_in_months(month_col, touched)), measured(source.select(*keys)), keys, "left_anti")
         # A key that has left its month may leave that month empty.
-        written = self._write_months(kept.unionByName(source, allowMissingColumns=True), table, month_col)
-        self._drop_months(table, month_col, touched - written)
+        self._change(kept.unionByName(source, allowMissingColumns=True), table, month_col, touched, notes=notes)
         return left_out
 
     # -- closed months ------------------------------------------------------------------------------------
@@ -240,9 +289,10 @@ class Warehouse:
         return True
 
     def create(self, table: str, ddl: str, month_col: str | None = None) -> None:
-        """An empty table from its column list, if it is absent."""
-        by_month = f" PARTITIONED BY (`{month_col}`)" if month_col else ""
-        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name(table)} ({ddl}) USING parquet{by_month}")
+        """An empty table from its column list, if it is absent; rows that lack a NOT NULL column fail their write."""
+        if not self.exists(table):
+            columns = StructType.fromDDL(ddl)
+            self.versions.commit(self.name(table), Manifest(1, schema_json(columns, month_col, nullable=False), month_col))
 
     def view(self, view: str, table: str, columns: Sequence[str]) -> None:
         """A view of some columns of a table, in this order."""
@@ -251,43 +301,36 @@ class Warehouse:
 
     # -- helpers ------------------------------------------------------------------------------------------
 
-    def _write_months(self, df: DataFrame, table: str, month_col: str) -> set[int | None]:
-        """Replace the months ``df`` holds; returns them. A hot month is split over several files."""
-        if not self.exists(table):
-            self.overwrite(df.limit(0), table, month_col)
-        seen = Observation()
-        rows = self._aligned(df, table).hint("rebalance", month_col)
-        rows = rows.observe(
-            seen,
-            F.collect_set(quoted(month_col)).alias("months"),
-            F.count_if(quoted(month_col).isNull()).alias("without_month"),
-        )
-        with _touched_partitions_only(self.spark):
-            rows.write.mode("overwrite").insertInto(self.name(table))
-        # A plan found to be empty while it runs may report nothing: then it wrote nothing.
-        months = set(seen.get.get("months") or ())
-        return months | {None} if seen.get.get("without_month") else months
-
-    def _drop_months(self, table: str, month_col: str, months: Iterable[int | None]) -> None:
-        """In one statement; it is not one commit with the write before it."""
-        parts = [f"PARTITION (`{month_col}` = {'null' if month is None else int(month)})" for month in months]
-        if parts:
-            self.spark.sql(f"ALTER TABLE {self.name(table)} DROP IF EXISTS {', '.join(parts)}")
-
-    def _aligned(self, df: DataFrame, table: str) -> DataFrame:
-        """``df`` in the table's column order: columns it lacks are NULL, columns new to the table are added."""
-        have = {name.lower() for name in self.read(table).columns}
-        new = [f for f in df.schema.fields if f.name.lower() not in have]
-        if new:
-            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-            self.spark.sql(f"ALTER TABLE {self.name(table)} ADD COLUMNS ({columns})")
+    def _change(self, df: DataFrame, table: str, month_col: str, months: Iterable[int | None], notes: dict | None = None) -> None:
+        """In one commit: the listed months, and any that ``df`` holds, become the rows of ``df``; others stay."""
+        old = self._adopted(table)
+        if old is None:
+            self.overwrite(df, table, month_col, notes=notes)
+            return
+        rows, made = self._aligned(df, old)
+        pieces = self.versions.write(self.name(table), rows, made)
+        gone = set(months) | {p.month for p in pieces}
+        kept = [p for p in old.pieces if p.month not in gone]
+        made = replace(made, version=old.version + 1, pieces=(*kept, *pieces), notes={**old.notes, **(notes or {})})
+        self.versions.commit(self.name(table), made)
+
+    def _aligned(self, df: DataFrame, old: Manifest) -> tuple[DataFrame, Manifest]:
+        """``df`` in the table's columns, those it lacks NULL, and the manifest with columns that are new to the table."""
+        fields = old.columns.fields
+        have = {f.name.lower() for f in fields}
+        new = [StructField(f.name, f.dataType) for f in df.schema.fields if f.name.lower() not in have]
         given = {name.lower() for name in df.columns}
-        return df.select(
-            *[
-                (quoted(f.name) if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name)
-                for f in self.read(table).schema.fields
-            ]
-        )
+        merged = StructType([*[f for f in fields if f.name != old.month_col], *new, *[f for f in fields if f.name == old.month_col]])
+        made = replace(old, schema=json.dumps(merged.jsonValue()))
+        values = [(quoted(f.name) if f.name.lower() in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in merged.fields]
+        return _guarded(df.select(*values), made), made
+
+
+def _guarded(df: DataFrame, manifest: Manifest) -> DataFrame:
+    """NULL in a column that may hold none fails the job."""
+    strict = [f for f in manifest.columns.fields if not f.nullable]
+    empty = lambda f: F.raise_error(F.lit(f"NULL in column {f.name}")).cast(f.dataType)
+    return df.withColumns({f.name: F.when(quoted(f.name).isNull(), empty(f)).otherwise(quoted(f.name)) for f in strict}) if strict else df
 
 
 def upsert_source(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
