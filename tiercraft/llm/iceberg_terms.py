@@ -40,6 +40,8 @@ MAX_LOG_BITS = 30
 PIECE_BITS = 1 << 15
 #: Bytes of text worked on at once, terms of a block, and shares of the terms of a tile.
 SLICE, BLOCK, SHARES = 4_000_000, 512, 64
+#: Rows of sums that a task holds before it sends them.
+HELD = 1_500_000
 
 
 @dataclass(frozen=True)
@@ -73,15 +75,15 @@ class Terms:
         coded = values.dictionary_encode()
         self.code, self.dictionary = coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
-    def hashes(self, langs: pa.Array) -> np.ndarray:
-        """Of language and key, for every term."""
-        own, lang = hashes_of(self.dictionary), hashes_of(langs)
+    def hashes(self, langs: pa.Array, longest: int | None = None) -> np.ndarray:
+        """Of language and key, or the key's first bytes, for every term."""
+        own, lang = hashes_of(self.dictionary, longest), hashes_of(langs)
         return combined(lang[self.row], own[self.code])
 
 
-def hashes_of(texts: pa.Array) -> np.ndarray:
+def hashes_of(texts: pa.Array, longest: int | None = None) -> np.ndarray:
     data, at = bytes_of(texts)
-    return byte_hashes(data, at[:-1], at[1:])
+    return byte_hashes(data, at[:-1], at[1:] if longest is None else np.minimum(at[1:], at[:-1] + longest))
 
 
 def combined(lang: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -94,6 +96,38 @@ def codes_of(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
 
 
+def distinct(numbers: np.ndarray) -> np.ndarray:
+    """The different numbers in order; a sort, which is several times faster than hashing them."""
+    if not len(numbers):
+        return numbers
+    numbers = np.sort(numbers)
+    return numbers[np.concatenate(([True], numbers[1:] != numbers[:-1]))]
+
+
+def added_up(parts: Iterator[pa.RecordBatch], number: str) -> Iterator[pa.RecordBatch]:
+    """The sums of ``number`` over equal rows of several slices, at most HELD rows at a time."""
+    held: list[pa.RecordBatch] = []
+    rows = 0
+    for part in parts:
+        held.append(part)
+        rows += part.num_rows
+        if rows < HELD:
+            continue
+        summed = _summed(held, number)
+        rows = summed.num_rows
+        held = summed.to_batches()
+        if rows > HELD // 2:
+            yield from held
+            held, rows = [], 0
+    if held:
+        yield from _summed(held, number).to_batches()
+
+
+def _summed(held: list[pa.RecordBatch], number: str) -> pa.Table:
+    table = pa.Table.from_batches(held)
+    return table.group_by([c for c in table.column_names if c != number], use_threads=False).aggregate([(number, "sum")]).rename_columns({f"{number}_sum": number}).select(table.column_names)
+
+
 def documents_of(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     named = {"text": text, "lang": lang, "source": source}
     return docs.select(*[F.coalesce(quoted(c).cast("string"), F.lit("")).alias(name) for name, c in named.items()])
@@ -109,7 +143,7 @@ def prefix_counts(rows: DataFrame, longest: int, over: int) -> DataFrame:
                 langs, names = codes_of(batch.column("lang"))
                 keys = 2 * max(1, len(terms.dictionary))
                 key = 2 * terms.code + terms.open
-                once = np.unique(terms.row * keys + key)
+                once = distinct(terms.row * keys + key)
                 found, docs = np.unique(langs[once // keys] * keys + once % keys, return_counts=True)
                 key = found % keys
                 yield pa.RecordBatch.from_arrays(
@@ -117,7 +151,7 @@ def prefix_counts(rows: DataFrame, longest: int, over: int) -> DataFrame:
                     ["lang", "key", "open", "docs"],
                 )
 
-    found = map_arrow(rows.select("lang", "text"), task, "lang string, key binary, open boolean, docs long")
+    found = map_arrow(rows.select("lang", "text"), lambda batches: added_up(task(batches), "docs"), "lang string, key binary, open boolean, docs long")
     return found.groupBy("lang", "key", "open").agg(F.sum("docs").alias("docs"))
 
 
@@ -155,11 +189,10 @@ def longer_terms(rows: DataFrame, longest: int, over: int, stays: Broadcast) ->
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", SLICE):
-                cut = Terms(batch, longest, over)
-                left = cut.open & stays.value.has(cut.hashes(batch.column("lang")))
                 terms = Terms(batch, None, over)
                 size = max(1, len(terms.dictionary))
-                once = np.unique(terms.row[left] * size + terms.code[left])
+                left = (np.diff(bytes_of(terms.dictionary)[1]) > longest)[terms.code] & stays.value.has(terms.hashes(batch.column("lang"), longest))
+                once = distinct(terms.row[left] * size + terms.code[left])
                 row = once // size
                 data, at = bytes_of(terms.dictionary)
                 start, length = at[:-1][once % size], np.diff(at)[once % size]
@@ -218,7 +251,7 @@ def occurrences(rows: DataFrame, kept: DataFrame, n: int) -> DataFrame:
                     ["lang", "source", "key", "n"],
                 )
 
-    found = map_arrow(rows.select("lang", "source", "text"), task, "lang string, source string, key binary, n long")
+    found = map_arrow(rows.select("lang", "source", "text"), lambda batches: added_up(task(batches), "n"), "lang string, source string, key binary, n long")
     counted = found.groupBy("lang", "source", "key").agg(F.sum("n").alias("n"))
     return attach(counted, settled(kept.select("lang", "key")), ["lang", "key"], "left_semi")
 
