@@ -37,6 +37,13 @@ def without_months(df: DataFrame, column: str, months: Iterable[int]) -> DataFra
     return df.filter(~quoted(column).isin(months)) if months else df
 
 
+def in_months(column: str, months: Iterable[int | None]) -> Column:
+    """Always true or false: a NULL month is in the list when ``None`` is."""
+    months = list(months)
+    named = quoted(column).isin([int(m) for m in months if m is not None])
+    return F.coalesce(named, F.lit(None in months))
+
+
 def _month(df: DataFrame, column: str) -> Column:
     # An integer column is compared as it is, so the filter can prune partitions.
     return quoted(column) if dict(df.dtypes)[column] in ("int", "bigint") else to_whole(quoted(column))

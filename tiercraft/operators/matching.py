@@ -1,8 +1,9 @@
 """Matching usage rows to people by e-mail address.
 
-The outcome depends on the address alone. So every matcher works on the distinct addresses of the usage table
-(which combine map-side: a mailbox with a third of all rows is one row per task), joins those to the identity
-table on equal keys, and the result is attached to the usage rows in one join.
+The outcome depends on the address alone. Whether a row has a person is a look-up in the addresses of the identity
+table, so rows with and without one come out of a single pass over the usage table (``outcomes``). Who that is, is
+worked out for the distinct addresses of the matched rows (which combine map-side: a mailbox with a third of all rows
+is one row per task) and attached to them in one join.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import functions as F
 from tiercraft.functions.columns import Headers, quoted, trim_lower
 from tiercraft.functions.email import email_variants, local_part
 from tiercraft.operators.attach import Side, attach, settled
+from tiercraft.operators.quality import Figures
+from tiercraft.session import stage
 
 # Identity columns in their two spellings.
 PERSON = (
@@ -91,19 +94,42 @@ def either_links(addresses: DataFrame, identity: DataFrame, email: str) -> DataF
     return addresses.join(known, [email], "inner")
 
 
+_FOUND = "_found"
+
+
+def known_addresses(identity: DataFrame, with_id: bool = False) -> Side:
+    """Every address of the identity table once; ``with_id`` takes those of people who have an id."""
+    rows = _addresses(identity)
+    rows = rows.filter(F.col("person.OktaUserId").isNotNull()) if with_id else rows
+    return settled(rows.select("address").distinct())
+
+
+def outcomes(base: DataFrame, known: Side, columns: Sequence[str], label: str, seen: Figures | None = None) -> Split:
+    """The rows of ``base`` with a known address in one of ``columns``, and the others, from one pass.
+
+    The flag is computed once and one job writes both outcomes, a folder for each; it counts them for ``seen``.
+    """
+    flagged, flags = base, []
+    for i, column in enumerate(columns):
+        flags.append(f"{_FOUND}{i}")
+        side = known.table.select(F.col("address").alias(column), F.lit(True).alias(flags[-1]))
+        flagged = attach(flagged, Side(side, known.small), [column], "left")
+    found = F.coalesce(*map(quoted, flags), F.lit(False))
+    flagged = flagged.select(*map(quoted, base.columns), found.alias(_FOUND))
+    rows = stage(flagged if seen is None else seen.outcomes(flagged, quoted(_FOUND)), label, by=_FOUND)
+    return Split(rows.filter(quoted(_FOUND)).drop(_FOUND), rows.filter(~quoted(_FOUND)).drop(_FOUND))
+
+
 def match_either(base: DataFrame, identity: DataFrame, email: str) -> DataFrame:
     """Distinct base rows x people whose short or full address is ``email``; several people give several rows."""
-    return split_either(base, identity, email).matched
+    links = settled(either_links(base.select(email).distinct(), identity, email))
+    return attach(base.distinct(), links, [email], "inner")
 
 
 def split_either(base: DataFrame, identity: DataFrame, email: str) -> Split:
-    """Matched rows as :func:`match_either`; rejects are the base rows whose address nobody has."""
-    links = settled(either_links(base.select(email).distinct(), identity, email))
-    known = Side(links.table.select(email).distinct(), links.small)
-    return Split(
-        attach(base.distinct(), links, [email], "inner"),
-        attach(base, known, [email], "left_anti"),
-    )
+    """Matched rows as :func:`match_either`; rejects are the base rows whose address nobody has. ``base`` runs once."""
+    rows = outcomes(base, known_addresses(identity), [email], "either")
+    return Split(match_either(rows.matched, identity, email), rows.rejects)
 
 
 def fallback_links(
@@ -115,23 +141,26 @@ def fallback_links(
     one address the lowest id counts. ``mode="coalesce"`` takes each attribute from the first candidate that has
     it; ``mode="winner"`` takes all of them from the first candidate.
     """
-    book = (
-        _addresses(identity)
-        .filter(F.col("person.OktaUserId").isNotNull())
-        .groupBy("address")
-        .agg(*[_least("person", F.col("position") == p).alias(f"person_{p}") for p in (0, 1)])
-    )
+    book = _person_book(identity)
     probe = F.posexplode(F.array(quoted(email), quoted(fallback))).alias("attempt", "address")
     hits = addresses.select("*", probe).filter(F.col("address").isNotNull()).join(book, ["address"], "inner")
     order = [(attempt, position) for attempt in (0, 1) for position in (0, 1)]
     found = hits.groupBy(*addresses.columns).agg(
         *[_least(f"person_{p}", F.col("attempt") == a).alias(f"candidate_{a}{p}") for a, p in order]
     )
-    candidates = [F.col(f"candidate_{a}{p}") for a, p in order]
+    return found.select(*addresses.columns, *_chosen([F.col(f"candidate_{a}{p}") for a, p in order], mode))
+
+
+def _person_book(identity: DataFrame) -> DataFrame:
+    """(address, person_0, person_1): the person with the lowest id whose short, or full, address it is."""
+    rows = _addresses(identity).filter(F.col("person.OktaUserId").isNotNull())
+    return rows.groupBy("address").agg(*[_least("person", F.col("position") == p).alias(f"person_{p}") for p in (0, 1)])
+
+
+def _chosen(candidates: Sequence[Column], mode: str) -> list[Column]:
     if mode == "winner":
         candidates = [F.coalesce(*candidates)]
-    chosen = [F.coalesce(*[c.getField(name) for c in candidates]).alias(name) for name in PERSON]
-    return found.select(*addresses.columns, *chosen)
+    return [F.coalesce(*[c.getField(name) for c in candidates]).alias(name) for name in PERSON]
 
 
 def _least(person: str, test: Column) -> Column:
@@ -142,28 +171,25 @@ def _least(person: str, test: Column) -> Column:
 def match_fallback(
     base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str = "coalesce"
 ) -> DataFrame:
-    """Base rows with the identity columns of the person found by ``email``, else by ``fallback``."""
-    keyed, links = _fallback_sides(base, identity, email, fallback, mode)
-    return attach(keyed, links, [_PAIR], "left").drop(_PAIR)
-
-
-_PAIR = "_address_pair"
+    """Base rows with the identity columns of the person found by ``email``, else by ``fallback``.
 
-
-def _fallback_sides(base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str) -> tuple[DataFrame, Side]:
-    pair = F.to_json(F.struct(quoted(email), quoted(fallback)))
-    seen = base.select(email, fallback).distinct()
-    links = settled(fallback_links(seen, identity, email, fallback, mode).select(pair.alias(_PAIR), *PERSON))
-    return base.withColumn(_PAIR, pair), links
+    One pass over ``base``: each address is looked up in the book of addresses.
+    """
+    book, rows, candidates = settled(_person_book(identity)), base, []
+    for attempt, column in enumerate((email, fallback)):
+        names = [f"_candidate_{attempt}{p}" for p in (0, 1)]
+        side = book.table.select(F.col("address").alias(column), *[F.col(f"person_{p}").alias(n) for p, n in enumerate(names)])
+        rows = attach(rows, Side(side, book.small), [column], "left")
+        candidates += map(F.col, names)
+    return rows.select(*map(quoted, base.columns), *_chosen(candidates, mode))
 
 
 def split_fallback(
     base: DataFrame, identity: DataFrame, email: str, fallback: str, mode: str = "coalesce"
 ) -> Split:
-    """Rows with a person, and the base columns of rows without one."""
-    keyed, links = _fallback_sides(base, identity, email, fallback, mode)
-    known = Side(links.table.select(_PAIR), links.small)
-    return Split(attach(keyed, links, [_PAIR], "inner").drop(_PAIR), attach(keyed, known, [_PAIR], "left_anti").drop(_PAIR))
+    """Rows with a person, and the base columns of rows without one. ``base`` runs once."""
+    rows = outcomes(base, known_addresses(identity, with_id=True), [email, fallback], "fallback")
+    return Split(match_fallback(rows.matched, identity, email, fallback, mode), rows.rejects)
 
 
 def priority_links(addresses: DataFrame, identity: DataFrame, email: str) -> DataFrame:
@@ -200,7 +226,7 @@ def priority_links(addresses: DataFrame, identity: DataFrame, email: str) -> Dat
         .filter(F.col("key").isNotNull())
     )
     return (
-        attach(probes, settled(book), ["kind", "key"], "inner")
+        probes.join(book, ["kind", "key"], "inner")
         .groupBy(quoted(email))
         .agg(F.min_by(F.struct("person", "rule"), "rule").alias("best"))
         .select(quoted(email), "best.person.*", F.col("best.rule").alias("match_rule"))

@@ -1,8 +1,8 @@
-"""Data-quality figures, each taken in one pass over the data."""
+"""Data-quality figures, each taken in one pass over the data, or observed by a job that reads or writes it anyway."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tiercraft.functions.columns import quoted
@@ -48,3 +48,32 @@ def reject_rate(matched: DataFrame, rejects: DataFrame, reason: str) -> DataFram
     kept = matched.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit("matched").alias("outcome"), "row_count")
     lost = rejects.groupBy(quoted(reason).alias("outcome")).agg(F.count(F.lit(1)).alias("row_count"))
     return kept.unionByName(lost)
+
+
+class Figures:
+    """Figures that jobs report about the rows that pass them; they are known once the job has run."""
+
+    def __init__(self) -> None:
+        self._seen: list[Observation] = []
+
+    def observed(self, df: DataFrame, *figures: Column) -> DataFrame:
+        """The same rows; ``figures`` are aggregates with a name, none of them distinct."""
+        self._seen.append(Observation())
+        return df.observe(self._seen[-1], *figures)
+
+    def rows_in(self, df: DataFrame) -> DataFrame:
+        return self.observed(df, F.count(F.lit(1)).alias("rows_in"))
+
+    def rows_out(self, df: DataFrame, *more: Column) -> DataFrame:
+        return self.observed(df, F.count(F.lit(1)).alias("rows_out"), *more)
+
+    def outcomes(self, df: DataFrame, found: Column) -> DataFrame:
+        """Rows with and without a person."""
+        return self.observed(df, F.count_if(found).alias("rows_matched"), F.count_if(~found).alias("rows_rejected"))
+
+    def values(self) -> dict[str, int]:
+        """All figures; a plan found to be empty while it runs may report none. With rows in and out, the difference."""
+        made = {name: value for one in self._seen for name, value in one.get.items()}
+        if {"rows_in", "rows_out"} <= made.keys():
+            made["rows_dropped"] = made["rows_in"] - made["rows_out"]
+        return made

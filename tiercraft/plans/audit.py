@@ -16,7 +16,8 @@ from tiercraft.operators.attach import Side, attach, settled
 from tiercraft.operators.dedupe import keep_one
 from tiercraft.operators.enrich import headcount_of_people
 from tiercraft.operators.filters import from_date, from_files, only_month, scan_predicate, through_month, without_months
-from tiercraft.operators.matching import Split, fallback_links
+from tiercraft.operators.matching import Split, fallback_links, known_addresses, outcomes
+from tiercraft.operators.quality import Figures
 from tiercraft.plans.layouts import (
     AUDIT_HEADCOUNT,
     AUDIT_PERSON,
@@ -27,7 +28,6 @@ from tiercraft.plans.layouts import (
     AUDIT_SILVER,
 )
 from tiercraft.plans.usage import stamped
-from tiercraft.session import stage
 
 EMAIL = AUDIT_PREFIX + "email"
 FALLBACK = AUDIT_PREFIX + "email_fallback"
@@ -141,11 +141,18 @@ def audit_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run
     return settled(people.drop(FALLBACK))
 
 
-def audit_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
-    """Parsed records with their person and headcount, and the records without a person."""
-    on = [MONTH, EMAIL]
-    people = audit_people(base, identity, headcount, run)
-    joined = attach(base, people, on, "inner")
+def audit_outcomes(
+    bronze: DataFrame, identity: DataFrame, run: RunContext, files: tuple[str, ...] = (), seen: Figures | None = None
+) -> Split:
+    """Parsed records that lead to a person, and the others, from one parse of the payloads."""
+    known = known_addresses(through_month(identity, "OktaUserUpdatedAt", run.close_month), with_id=True)
+    return outcomes(audit_base(bronze, run, files), known, [EMAIL, FALLBACK], "audit-base", seen)
+
+
+def audit_split(rows: Split, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
+    """Parsed records with their person and headcount, and the stamped records without a person."""
+    people = audit_people(rows.matched, identity, headcount, run)
+    joined = attach(rows.matched, people, [MONTH, EMAIL], "inner")
     keys = {
         AUDIT_PREFIX + "key_email": joined_key(quoted(MONTH), quoted("OktaUserEmail")),
         AUDIT_PREFIX + "key_full_email": joined_key(quoted(MONTH), quoted("OktaUserFullEmail")),
@@ -156,17 +163,14 @@ def audit_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run:
         *[value.alias(name) for name, value in keys.items()],
         *[quoted(source).alias(name) for name, source in AUDIT_HEADCOUNT],
     )
-    known = Side(people.table.select(*on), people.small)
-    rejects = attach(base, known, on, "left_anti")
     (reason, _), (loaded_at, _) = AUDIT_REJECT_STAMP
-    return Split(matched, stamped(rejects, run, reason, loaded_at))
+    return Split(matched, stamped(rows.rejects, run, reason, loaded_at))
 
 
 def audit_silver(
     bronze: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext, files: tuple[str, ...] = ()
 ) -> Split:
-    """Both outcomes from one parse of the payloads, which is staged: they hold the costly work and two tables use them."""
-    return audit_split(stage(audit_base(bronze, run, files), "audit-base"), identity, headcount, run)
+    return audit_split(audit_outcomes(bronze, identity, run, files), identity, headcount, run)
 
 
 def reject_ddl() -> str:

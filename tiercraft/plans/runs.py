@@ -1,7 +1,11 @@
 """Whole runs over a warehouse: read the inputs, build the tables, write them.
 
-``run_daily`` and ``run_close`` do a whole day or month close in order; the other functions are their parts. A stored
-fact has its month as the last column, where partitions are; the view ``<fact>_columns`` has the fact's own columns.
+``run_daily`` and ``run_close`` do a whole day or month close in order, from a catalogue of bronze tables or from given
+ones; the other functions are their parts. A stored fact has its month as the last column, where partitions are; the
+view ``<fact>_columns`` has the fact's own columns. The facts of a daily run are made again for the months whose silver
+rows have changed since the facts were last made, and for no others.
+
+Quality figures are observed by the jobs that write, so they cost no further read of the bronze tables.
 
 Daily runs upsert into the open months. A month close replaces the month everywhere, and writes the month to the
 ledger as its last step, so a close that fails half-way can simply be run again.
@@ -15,13 +19,17 @@ from datetime import UTC, datetime
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tiercraft.context import RunContext
 from tiercraft.operators import quality
 from tiercraft.operators.enrich import load_lookup
+from tiercraft.operators.filters import in_months
+from tiercraft.operators.matching import Split
 from tiercraft.plans import audit, core, dimensions, facts, notices, priority, reference, usage
 from tiercraft.plans.layouts import ACTIVE_KEY, ONBOARD_KEY
 from tiercraft.session import stage, staging
+from tiercraft.sources.catalogue import Catalogue, Table
 from tiercraft.sources.store import Warehouse
 
 # Table names, and the products the ledger closes months for.
@@ -76,9 +84,10 @@ def run_usage(
 
 
 def _run_usage(store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...], mode: str) -> None:
-    base = stage(usage.usage_base(bronze, run, files), "usage-base")
-    split = usage.usage_split(base, store.read(IDENTITY), store.read(HEADCOUNT), run)
-    store.replace_months(split.rejects, USAGE_REJECTS, usage.MONTH, _months_of_batch(base, usage.MONTH, run))
+    seen = quality.Figures()
+    rows = usage.usage_outcomes(bronze, store.read(IDENTITY), run, files, seen)
+    split = usage.usage_split(rows, store.read(IDENTITY), store.read(HEADCOUNT), run)
+    store.replace_months(split.rejects, USAGE_REJECTS, usage.MONTH, _months_of_batch(rows, usage.MONTH, run))
     if run.close_month is not None:
         store.replace_months(split.matched, USAGE, usage.MONTH, [run.close_month])
     else:
@@ -91,6 +100,7 @@ def _run_usage(store: Warehouse, bronze: DataFrame, run: RunContext, files: tupl
             order=["CursorUsageIngestionDate"],
             mode=mode,
         )
+    _record(store, USAGE, seen.values())
 
 
 def run_audit(
@@ -104,22 +114,18 @@ def run_audit(
 def _run_audit(store: Warehouse, bronze: DataFrame, run: RunContext, files: tuple[str, ...], mode: str) -> None:
     predicate = audit.audit_scan_predicate(run, bronze)
     scoped = bronze if predicate is None else bronze.filter(predicate)
-    base = stage(audit.audit_base(scoped, run, files), "audit-base")
-    split = audit.audit_split(base, store.read(IDENTITY), store.read(HEADCOUNT), run)
-    store.replace_months(split.rejects, AUDIT_REJECTS, audit.MONTH, _months_of_batch(base, audit.MONTH, run))
+    seen = quality.Figures()
+    rows = audit.audit_outcomes(scoped, store.read(IDENTITY), run, files, seen)
+    split = audit.audit_split(rows, store.read(IDENTITY), store.read(HEADCOUNT), run)
+    store.replace_months(split.rejects, AUDIT_REJECTS, audit.MONTH, _months_of_batch(rows, audit.MONTH, run))
+    key, order = [audit.RECORD_ID], [audit.AUDIT_PREFIX + "ingestion_date"]
     if run.close_month is not None:
-        store.replace_months(split.matched, AUDIT, audit.MONTH, [run.close_month])
+        left_out = store.replace_months(split.matched, AUDIT, audit.MONTH, [run.close_month], keys=key, frozen=run.months_to_skip)
     else:
-        store.preserve_frozen(
-            split.matched,
-            AUDIT,
-            audit.MONTH,
-            run.months_to_skip,
-            keys=[audit.RECORD_ID],
-            order=[audit.AUDIT_PREFIX + "ingestion_date"],
-            mode=mode,
-            fixed_month=False,
+        left_out = store.preserve_frozen(
+            split.matched, AUDIT, audit.MONTH, run.months_to_skip, keys=key, order=order, mode=mode, fixed_month=False
         )
+    _record(store, AUDIT, {**seen.values(), "left_in_closed_months": left_out})
 
 
 def run_priority(store: Warehouse, bronze: DataFrame, run: RunContext) -> None:
@@ -131,42 +137,72 @@ def run_priority(store: Warehouse, bronze: DataFrame, run: RunContext) -> None:
         store.overwrite(split.rejects, PRIORITY_LOG)
 
 
-def run_usage_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True) -> None:
+def run_usage_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True, whole: bool = False) -> None:
+    """Stream A facts; ``whole`` makes all open months again, as new factors need it."""
     run = context_for(store, USAGE_PRODUCT, run)
-    silver = store.read(USAGE)
-    _write_active(store, facts.usage_active_fact(silver, run), USAGE_ACTIVE, run)
-    _write_onboard(store, facts.onboard_fact(silver, "usage", run), USAGE_ONBOARD, run, replace_onboard)
+    for table, fact in ((USAGE_ACTIVE, facts.usage_active_fact), (USAGE_ONBOARD, _onboard("usage"))):
+        _refresh(store, USAGE, usage.MONTH, table, fact, run, replace_onboard, whole)
     if freeze and run.close_month is not None:
         store.freeze_append(USAGE_PRODUCT, run.close_month, at=run.load_ts)
 
 
-def run_audit_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True) -> None:
+def run_audit_gold(store: Warehouse, run: RunContext, replace_onboard: bool = False, freeze: bool = True, whole: bool = False) -> None:
+    """Stream B facts; ``whole`` makes all open months again, as new factors need it."""
     run = context_for(store, AUDIT_PRODUCT, run)
-    silver = store.read(AUDIT)
-    _write_active(store, facts.audit_active_fact(silver, run), AUDIT_ACTIVE, run)
-    _write_onboard(store, facts.onboard_fact(silver, "audit", run), AUDIT_ONBOARD, run, replace_onboard)
+    for table, fact in ((AUDIT_ACTIVE, facts.audit_active_fact), (AUDIT_ONBOARD, _onboard("audit"))):
+        _refresh(store, AUDIT, audit.MONTH, table, fact, run, replace_onboard, whole)
     if freeze and run.close_month is not None:
         store.freeze_append(AUDIT_PRODUCT, run.close_month, at=run.load_ts)
 
 
+def _onboard(stream: str):
+    return lambda silver, run: facts.onboard_fact(silver, stream, run)
+
+
+#: Note on a fact: the version of its silver table up to which all changed months are in it.
+BUILT_FROM = "built_from"
+
+
+def _refresh(store: Warehouse, silver: str, month_col: str, table: str, fact, run: RunContext, replace_onboard: bool, whole: bool) -> None:
+    """A close makes its month's fact; a daily run the months that changed since the fact was last made."""
+    version = store.version(silver)
+    rows, notes = store.read(silver), None
+    if run.close_month is None:
+        changed = None if whole else store.changed_months(silver, store.notes(table).get(BUILT_FROM))
+        if changed is not None:
+            changed -= set(run.months_to_skip)
+            if not changed:
+                return
+            rows = rows.filter(in_months(month_col, changed))
+        notes = {BUILT_FROM: version}
+    made = fact(rows, run)
+    if "Month_No" in made.columns:
+        _write_active(store, made, table, run, notes)
+    else:
+        _write_onboard(store, made, table, run, replace_onboard, notes)
+
+
 def run_alerts(store: Warehouse, bronze: DataFrame) -> None:
-    store.overwrite(notices.alerts_silver(bronze), ALERTS)
-    silver = store.read(ALERTS)
-    _record(store, ALERTS, quality.row_delta(bronze, silver), quality.unique_id(silver, "dynamic_alerts_notification_id"))
+    seen = quality.Figures()
+    store.overwrite(seen.rows_out(notices.alerts_silver(seen.rows_in(bronze))), ALERTS)
+    unique = quality.unique_id(store.read(ALERTS), "dynamic_alerts_notification_id").first().asDict()
+    _record(store, ALERTS, seen.values() | unique)
     store.overwrite(notices.alerts_gold(store.read(ALERTS)), ALERTS_DIM)
 
 
 def run_security(store: Warehouse, bronze: DataFrame) -> None:
-    store.overwrite(notices.security_silver(bronze), SECURITY)
-    silver = store.read(SECURITY)
-    _record(store, SECURITY, quality.row_delta(bronze, silver), quality.text_null(silver, "security_email"))
+    seen = quality.Figures()
+    text_null = F.count_if(F.upper("security_email") == "NULL").alias("text_null")
+    silver = seen.rows_out(notices.security_silver(seen.rows_in(bronze)), F.count(F.lit(1)).alias("row_count"), text_null)
+    store.overwrite(silver, SECURITY)
+    _record(store, SECURITY, seen.values())
     store.overwrite(notices.security_gold(store.read(SECURITY)), SECURITY_DIM)
 
 
-def _record(store: Warehouse, table: str, *figures: DataFrame) -> None:
+def _record(store: Warehouse, table: str, figures: Mapping[str, int]) -> None:
     """Quality figures of a run: a row a figure in the metrics table."""
     now = datetime.now(UTC)
-    rows = [(now, table, name, int(value)) for one in figures for name, value in one.first().asDict().items()]
+    rows = [(now, table, name, int(value)) for name, value in figures.items()]
     store.append(store.spark.createDataFrame(rows, METRICS_SCHEMA).coalesce(1), METRICS)
 
 
@@ -207,19 +243,78 @@ class Inputs(NamedTuple):
     usage: DataFrame | None = None
     audit: DataFrame | None = None
     priority: DataFrame | None = None
-
-
-def run_daily(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+    alerts: DataFrame | None = None
+    security: DataFrame | None = None
+    reference: Mapping[str, DataFrame] = {}
+    core: Mapping[str, DataFrame] = {}
+
+
+# What the bronze tables of the data model are called.
+STREAM_TABLES = {
+    "countries": "CoreCountry_Excel_Hours_Historic",
+    "headcount": "HC_Bronze_Historical",
+    "identity": "CoreOktaUser",
+    "usage": "cursor_usage",
+    "audit": "purview_copilot_usage",
+    "priority": "openai_usage",
+    "alerts": "dynamic_alerts",
+    "security": "security",
+}
+CORE_TABLES = (
+    "core_asset",
+    "core_country",
+    "core_billing",
+    "core_project",
+    "core_okta_user",
+    "core_use_case_implementation",
+    "core_use_case_adjustment",
+)
+SILVER_KEYS = {
+    USAGE: ((ACTIVE_KEY,), usage.MONTH),
+    USAGE_REJECTS: ((), usage.MONTH),
+    AUDIT: ((audit.RECORD_ID,), audit.MONTH),
+    AUDIT_REJECTS: ((), audit.MONTH),
+    HEADCOUNT: ((), "Month_No"),
+    USAGE_ACTIVE: ((ACTIVE_KEY,), "Month_No"),
+    USAGE_ONBOARD: ((ONBOARD_KEY,), "Month_No"),
+    AUDIT_ACTIVE: ((ACTIVE_KEY,), "Month_No"),
+    AUDIT_ONBOARD: ((ONBOARD_KEY,), "Month_No"),
+    ALERTS: (("dynamic_alerts_notification_id",), None),
+    **dict.fromkeys((IDENTITY, PRIORITY, PRIORITY_LOG, SECURITY, ALERTS_DIM, SECURITY_DIM, METRICS), ((), None)),
+}
+
+
+def catalogue(store: Warehouse, bronze: str, places: Mapping[str, str] | None = None) -> Catalogue:
+    """Every table of the data model: bronze ones in the catalog schema ``bronze``, or where ``places`` says."""
+    names = STREAM_TABLES | {n: n for n in (*reference.REFERENCE_TABLES, *CORE_TABLES)}
+    tables = [Table(name, "bronze", f"{bronze}.{at}") for name, at in names.items()]
+    for name, (key, month_col) in SILVER_KEYS.items():
+        tier, _, short = name.partition(".")
+        tables.append(Table(short, tier, store.name(name), key, month_col))
+    return Catalogue(store.spark, tables, places)
+
+
+def inputs_of(tables: Catalogue) -> Inputs:
+    """The bronze tables there are; the country lookup has to be there."""
+    found = {name: tables.find(f"bronze.{name}") for name in tables.names("bronze")}
+    if found["countries"] is None:
+        raise LookupError("the catalogue has no country lookup (bronze.countries)")
+    there = lambda names: {n: found[n] for n in names if found[n] is not None}
+    return Inputs(**{n: found[n] for n in STREAM_TABLES}, reference=there(reference.REFERENCE_TABLES), core=there(CORE_TABLES))
+
+
+def run_daily(store: Warehouse, inputs: Inputs | Catalogue, run: RunContext, without: dimensions.Exclusions) -> None:
     """Dimensions, streams and facts of one day, in the order in which they read each other."""
     if run.close_month is not None:
         raise ValueError("a daily run closes no month; use run_close")
-    _run_all(store, inputs, run, without)
+    _run_all(store, inputs_of(inputs) if isinstance(inputs, Catalogue) else inputs, run, without)
 
 
-def run_close(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+def run_close(store: Warehouse, inputs: Inputs | Catalogue, run: RunContext, without: dimensions.Exclusions) -> None:
     """Everything for the closing month, then the ledger entries: a close that fails before them can be repeated."""
     if run.close_month is None:
         raise ValueError("which month is closed? set close_month")
+    inputs = inputs_of(inputs) if isinstance(inputs, Catalogue) else inputs
     _run_all(store, inputs, run, without)
     for product, rows in ((USAGE_PRODUCT, inputs.usage), (AUDIT_PRODUCT, inputs.audit)):
         if rows is not None:
@@ -227,6 +322,14 @@ def run_close(store: Warehouse, inputs: Inputs, run: RunContext, without: dimens
 
 
 def _run_all(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensions.Exclusions) -> None:
+    if inputs.reference:
+        run_reference(store, inputs.reference)
+    if inputs.core:
+        run_core(store, inputs.core, without)
+    if inputs.alerts is not None:
+        run_alerts(store, inputs.alerts)
+    if inputs.security is not None:
+        run_security(store, inputs.security)
     if inputs.headcount is not None:
         run_headcount(store, inputs.headcount, inputs.countries, run)
     if inputs.identity is not None:
@@ -243,30 +346,30 @@ def _run_all(store: Warehouse, inputs: Inputs, run: RunContext, without: dimensi
         run_audit_gold(store, run, freeze=False)
 
 
-def _months_of_batch(base: DataFrame, month_col: str, run: RunContext) -> list[int | None]:
+def _months_of_batch(rows: Split, month_col: str, run: RunContext) -> list[int | None]:
     """Months whose rejects are replaced: those of the whole batch, matched or not.
 
     A month whose rows all match loses its old rejects. Rows without a month are replaced only by a run that takes
     such rows in: neither a close nor a run that skips closed months does.
     """
-    found = {row[0] for row in base.select(month_col).distinct().collect()}
+    found = {row[0] for one in rows for row in one.select(month_col).distinct().collect()}
     takes_rows_without = run.close_month is None and not run.months_to_skip
     return [*(found - {None}), *([None] if found and takes_rows_without else [])]
 
 
-def _write_active(store: Warehouse, fact: DataFrame, table: str, run: RunContext) -> None:
+def _write_active(store: Warehouse, fact: DataFrame, table: str, run: RunContext, notes: dict | None) -> None:
     if run.close_month is not None:
-        store.replace_months(fact, table, "Month_No", [run.close_month])
+        store.replace_months(fact, table, "Month_No", [run.close_month], notes=notes)
     else:
-        store.upsert(fact, table, [ACTIVE_KEY], ["LastModification"], "Month_No")
+        store.upsert(fact, table, [ACTIVE_KEY], ["LastModification"], "Month_No", notes=notes)
     store.view(f"{table}_columns", table, fact.columns)
 
 
-def _write_onboard(store: Warehouse, fact: DataFrame, table: str, run: RunContext, replace_month: bool) -> None:
+def _write_onboard(store: Warehouse, fact: DataFrame, table: str, run: RunContext, replace_month: bool, notes: dict | None) -> None:
     """An upsert also on close; ``replace_month`` drops the month's stale keys instead."""
     rows = facts.with_month(fact)
     if run.close_month is not None and replace_month:
-        store.replace_months(rows, table, "Month_No", [run.close_month])
+        store.replace_months(rows, table, "Month_No", [run.close_month], notes=notes)
     else:
-        store.upsert(rows, table, [ONBOARD_KEY], ["LastModification"], "Month_No")
+        store.upsert(rows, table, [ONBOARD_KEY], ["LastModification"], "Month_No", notes=notes)
     store.view(f"{table}_columns", table, fact.columns)

@@ -13,7 +13,8 @@ from tiercraft.functions.keys import joined_key, surrogate_key
 from tiercraft.operators.attach import Side, attach, settled
 from tiercraft.operators.enrich import headcount_of_people
 from tiercraft.operators.filters import from_files, only_month, through_month, without_months
-from tiercraft.operators.matching import Split, either_links
+from tiercraft.operators.matching import Split, either_links, known_addresses, outcomes
+from tiercraft.operators.quality import Figures
 from tiercraft.plans.layouts import ACTIVE_KEY, REJECT_REASON, USAGE, USAGE_KEY_PARTS
 
 USER = "CursorUsageUser"
@@ -51,21 +52,24 @@ def usage_people(base: DataFrame, identity: DataFrame, headcount: DataFrame, run
 def usage_silver(
     bronze: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext, files: tuple[str, ...] = ()
 ) -> Split:
-    """Distinct usage rows x the people that have their address, and the rows whose address nobody has.
+    """Distinct usage rows x the people that have their address, and the rows whose address nobody has."""
+    return usage_split(usage_outcomes(bronze, identity, run, files), identity, headcount, run)
 
-    The usage rows themselves take part in one join only, broadcast when the people fit.
-    """
-    return usage_split(usage_base(bronze, run, files), identity, headcount, run)
+
+def usage_outcomes(
+    bronze: DataFrame, identity: DataFrame, run: RunContext, files: tuple[str, ...] = (), seen: Figures | None = None
+) -> Split:
+    """Typed rows whose address somebody has, and the others, from one read of the bronze rows."""
+    known = known_addresses(through_month(identity, "OktaUserUpdatedAt", run.close_month))
+    return outcomes(usage_base(bronze, run, files), known, [USER], "usage-base", seen)
 
 
-def usage_split(base: DataFrame, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
-    """The same from typed rows; a caller that needs both outcomes stages those first."""
-    people = usage_people(base, identity, headcount, run)
-    matched = attach(_keyed(base.distinct()), people, _ON, "inner").drop("_month")
+def usage_split(rows: Split, identity: DataFrame, headcount: DataFrame, run: RunContext) -> Split:
+    """The silver rows of typed rows with a person, and the stamped rejects; the rows take part in one join."""
+    people = usage_people(rows.matched, identity, headcount, run)
+    matched = attach(_keyed(rows.matched.distinct()), people, _ON, "inner").drop("_month")
     matched = matched.withColumn(ACTIVE_KEY, surrogate_key(matched, *USAGE_KEY_PARTS))
-    known = Side(people.table.select(*_ON).distinct(), people.small)
-    rejects = attach(_keyed(base), known, _ON, "left_anti").drop("_month")
-    return Split(matched, stamped(rejects, run))
+    return Split(matched, stamped(rows.rejects, run))
 
 
 def stamped(

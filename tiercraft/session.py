@@ -72,14 +72,15 @@ def staging(spark: SparkSession) -> Iterator[None]:
             path.getFileSystem(hadoop).delete(path, True)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, by: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and continue from the written table.
 
-    This cuts the lineage, survives lost executors and keeps column pruning for every later reader.
+    This cuts the lineage, survives lost executors and keeps column pruning for every later reader. With ``by`` there
+    is a folder for each value of that column, so that readers of one value read nothing of the others.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/stage/{label}-{uuid.uuid4().hex}"
     if (kept := _until_end.get()) is not None:
         kept.append(path)
-    df.write.parquet(path)
+    (df.write if by is None else df.write.partitionBy(by)).parquet(path)
     return spark.read.schema(df.schema).parquet(path)

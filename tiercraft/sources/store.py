@@ -18,7 +18,7 @@ from pyspark.sql.types import StructField, StructType
 from tiercraft.functions.columns import quoted
 from tiercraft.operators.attach import attach, measured, settled
 from tiercraft.operators.dedupe import keep_one
-from tiercraft.operators.filters import without_months
+from tiercraft.operators.filters import in_months, without_months
 from tiercraft.operators.periods import frozen_months
 from tiercraft.session import stage, staging
 from tiercraft.sources.versions import Manifest, Versions, schema_json
@@ -66,7 +66,8 @@ class Warehouse:
         old = None if since is None else self.versions.load(self.name(table), since)
         if now is None or old is None:
             return None
-        return {p.month for p in set(now.pieces) ^ set(old.pieces)}
+        # A piece is its tag: an index that was added to it later is no change.
+        return {month for month, _ in {(p.month, p.tag) for p in now.pieces} ^ {(p.month, p.tag) for p in old.pieces}}
 
     def notes(self, table: str) -> dict:
         """What writers have noted down with the table's current version."""
@@ -135,7 +136,7 @@ class Warehouse:
         months = list(dict.fromkeys(months))
         if not months:
             return 0
-        listed = _in_months(month_col, months)
+        listed = in_months(month_col, months)
         stray = F.raise_error(F.concat(F.lit("month outside the replaced ones: "), _text(quoted(month_col))))
         checked = df.withColumn(month_col, F.when(listed, quoted(month_col)).otherwise(stray.cast("int")))
         if not keys or not self.exists(table):
@@ -151,7 +152,7 @@ class Warehouse:
         held = self._holding(source, table, keys) - months
         source, left_out = self._without_closed(source, table, month_col, keys, held & frozen)
         others = held - frozen
-        kept = attach(self.read(table).filter(_in_months(month_col, others)), measured(source.select(*keys)), keys, "left_anti")
+        kept = attach(self.read(table).filter(in_months(month_col, others)), measured(source.select(*keys)), keys, "left_anti")
         self._change(kept.unionByName(source, allowMissingColumns=True), table, month_col, months | others, notes=notes)
         return left_out
 
@@ -180,7 +181,7 @@ class Warehouse:
         """``source`` without the keys that do lie in the ``closed`` months, and how many those are."""
         if not closed:
             return source, 0
-        there = self.read(table).filter(_in_months(month_col, closed)).select(*keys)
+        there = self.read(table).filter(in_months(month_col, closed)).select(*keys)
         found = settled(attach(there, measured(source.select(*keys)), keys, "left_semi").distinct())
         return attach(source, found, keys, "left_anti"), found.table.count()
 
@@ -265,7 +266,7 @@ class Warehouse:
         source, left_out = self._without_closed(source, table, month_col, keys, held & frozen)
         touched = {row[0] for row in source.select(month_col).distinct().collect()} | held
         touched -= frozen
-        kept = attach(self.read(table).filter(_in_months(month_col, touched)), measured(source.select(*keys)), keys, "left_anti")
+        kept = attach(self.read(table).filter(in_months(month_col, touched)), measured(source.select(*keys)), keys, "left_anti")
         # A key that has left its month may leave that month empty.
         self._change(kept.unionByName(source, allowMissingColumns=True), table, month_col, touched, notes=notes)
         return left_out
@@ -345,12 +346,5 @@ def upsert_source(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return keep_one(checked, [quoted(k) for k in keys], [quoted(o).desc_nulls_last() for o in order])
 
 
-def _in_months(month_col: str, months: Iterable[int | None]) -> Column:
-    """Always true or false: a NULL month is in the list when ``None`` is."""
-    months = list(months)
-    named = quoted(month_col).isin([int(m) for m in months if m is not None])
-    return F.coalesce(named, F.lit(None in months))
-
-
 def _text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit("NULL"))

@@ -199,9 +199,9 @@ def ddl_reject(b: Bronze) -> DataFrame:
     """The reject table from its column list, filled by an audit batch."""
     store = fresh_warehouse(b)
     store.create(runs.AUDIT_REJECTS, audit.reject_ddl(), audit.MONTH)
-    base = stage(audit.audit_base(b.table("audit"), RUN), "audit-base")
-    split = audit.audit_split(base, identity(b), headcount(b), replace(RUN, load_ts=LOAD_TIME))
-    store.replace_months(split.rejects, runs.AUDIT_REJECTS, audit.MONTH, distinct_months(base, audit.MONTH))
+    rows = audit.audit_outcomes(b.table("audit"), identity(b), RUN)
+    split = audit.audit_split(rows, identity(b), headcount(b), replace(RUN, load_ts=LOAD_TIME))
+    store.replace_months(split.rejects, runs.AUDIT_REJECTS, audit.MONTH, distinct_months(rows.rejects, audit.MONTH))
     return store.read(runs.AUDIT_REJECTS).drop("okta_reject_loaded_at")
 
 
