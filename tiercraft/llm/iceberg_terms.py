@@ -152,7 +152,8 @@ def prefix_counts(rows: DataFrame, longest: int, over: int) -> DataFrame:
                 )
 
     found = map_arrow(rows.select("lang", "text"), lambda batches: added_up(task(batches), "docs"), "lang string, key binary, open boolean, docs long")
-    return found.groupBy("lang", "key", "open").agg(F.sum("docs").alias("docs"))
+    # Tasks have added up already: dealt out first, the sums are not made a second time before the shuffle.
+    return found.repartition("lang", "key", "open").groupBy("lang", "key", "open").agg(F.sum("docs").alias("docs"))
 
 
 class Bits:
@@ -252,7 +253,7 @@ def occurrences(rows: DataFrame, kept: DataFrame, n: int) -> DataFrame:
                 )
 
     found = map_arrow(rows.select("lang", "source", "text"), lambda batches: added_up(task(batches), "n"), "lang string, source string, key binary, n long")
-    counted = found.groupBy("lang", "source", "key").agg(F.sum("n").alias("n"))
+    counted = found.repartition("lang", "source", "key").groupBy("lang", "source", "key").agg(F.sum("n").alias("n"))
     return attach(counted, settled(kept.select("lang", "key")), ["lang", "key"], "left_semi")
 
 
