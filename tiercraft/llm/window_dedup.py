@@ -5,9 +5,10 @@ A window is judged on its whole word sequence, against all documents with a smal
 First pass: a count-min sketch. A window is counted through its anchor, the smallest hash among the 25-word runs that
 it covers; equal windows have equal anchors, so the count of the anchor is never below the count of the window, and a
 dozen windows share an anchor. Second pass: only windows whose anchor is estimated to occur twice or more leave their
-task, as two independent 64-bit hashes with document and place, and are grouped exactly. Within a slice of a few
-megabytes only the smallest document of equal windows is sent; the others are known to go. So a window that a third
-of all documents share is a row per slice and not a row per document. Last, documents and the places to remove meet
+task, as two independent 64-bit hashes with document and place, and are grouped exactly. Within a slice of some
+megabytes only the smallest document of equal windows asks, in one row with those of equal key; the others are known to
+go. So a window that a third of all documents share, with keys or without, is a row per slice and not a row per
+document. Last, documents and the places to remove meet
 in one shuffle, sorted so that a document's places come before its text.
 
 Defined results: NULL and empty texts have no words (NULL comes back empty); shorter texts have no windows. Keys
@@ -24,20 +25,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiercraft.llm import _sketch
 from tiercraft.llm._carry import row_struct, unpacked
-from tiercraft.llm._text import signed, slices, window_hashes, words_of
+from tiercraft.llm._text import mix, signed, slices, window_hashes, words_of
 from tiercraft.llm._tasks import map_arrow
-from tiercraft.session import stage
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 16 << 20
 #: Counters of the sketch for each estimated anchor; about one anchor is made per 80 bytes of text.
 PER_ANCHOR, ANCHOR_BYTES = 8.0, 80
 LAST = 2**63 - 1
-OPEN = "h1 long, h2 long, row_key long, tie long, tie2 int, place int, run int"
+#: ``place`` has the second hash of the text in its upper half; ``more`` are the other rows of that key with the window.
+OPEN = "h1 long, h2 long, row_key long, tie long, place long, run int, more array<struct<tie:long,place:long>>"
 
 
 def anchors(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -114,18 +115,27 @@ def _slice_candidates(part: pa.RecordBatch, sketch: _sketch.Sketch, n: int) -> p
     # known windows as runs, for each row of the table
     go = np.flatnonzero(known)
     begin, length = _runs(row[go] * (1 << 40) + place[go]) if len(go) else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
-    stay = ~known
-    rows = np.concatenate((row[stay], begin >> 40))
-    none = np.zeros(len(begin), dtype=np.uint64)
+    at = begin >> 40
+    where = own["tie2"].astype(np.int64)[row] << np.int64(32) | place
+    # of the windows that stay open the first row of each asks, and names the others of its key
+    asks, others = order[new], order[~new & (k == least)]
+    counts = np.bincount((np.cumsum(new) - 1)[~new & (k == least)], minlength=len(asks))
+    # a known window meets no other: its row is dealt by where it is
+    alike = mix(own["tie"][at].view(np.uint64) ^ mix(begin.astype(np.uint64)))
+    ends = np.concatenate(([0], np.cumsum(counts), np.full(len(at), counts.sum()))).astype(np.int32)
+    named = pa.StructArray.from_arrays([pa.array(own["tie"][row[others]]), pa.array(where[others])], ["tie", "place"])
+    alone = np.concatenate((counts == 0, np.ones(len(at), dtype=bool)))
     return pa.RecordBatch.from_arrays(
         [
-            signed(np.concatenate((h1[stay], none))),
-            signed(np.concatenate((h2[stay], none))),
-            *[pa.array(own[c][rows]) for c in ("row_key", "tie", "tie2")],
-            pa.array(np.concatenate((place[stay], begin & ((1 << 40) - 1))).astype(np.int32)),
-            pa.array(np.concatenate((np.zeros(int(stay.sum()), dtype=np.int32), length.astype(np.int32)))),
+            signed(np.concatenate((h1[asks], alike))),
+            signed(np.concatenate((h2[asks], np.zeros(len(at), dtype=np.uint64)))),
+            pa.array(np.concatenate((key[asks], own["row_key"][at]))),
+            pa.array(np.concatenate((own["tie"][row[asks]], own["tie"][at]))),
+            pa.array(np.concatenate((where[asks], own["tie2"].astype(np.int64)[at] << np.int64(32) | begin & ((1 << 40) - 1)))),
+            pa.array(np.concatenate((np.zeros(len(asks), dtype=np.int32), length.astype(np.int32)))),
+            pa.ListArray.from_arrays(pa.array(ends), named, mask=pa.array(alone)),
         ],
-        ["h1", "h2", "row_key", "tie", "tie2", "place", "run"],
+        ["h1", "h2", "row_key", "tie", "place", "run", "more"],
     )
 
 
@@ -202,13 +212,13 @@ def _removed(docs: DataFrame, n: int, key: str, text: str, as_it_is: bool) -> Da
     size = plain.select(F.sum(F.octet_length("body"))).first()[0] or 0
     width = _sketch.log_width(size / ANCHOR_BYTES, PER_ANCHOR)
     sketch = _sketch.build(plain.select("body"), _anchor_keys(n), width)
-    asked = stage(plain.transform(map_arrow, _candidates(sketch, n), OPEN), "windows")
-    # The smallest key of a window is found by sums that combine before they are shuffled, and joined back where some
-    # key is larger: a window that a third of all documents share is no task of its own, as merge joins are split.
-    open_ = asked.where("run = 0")
-    least = open_.groupBy("h1", "h2").agg(F.min("row_key").alias("least"), F.max("row_key").alias("most")).where("least < most").select("h1", "h2", "least")
-    gone = open_.join(least.hint("merge"), ["h1", "h2"]).where("row_key > least").select("row_key", "tie", "tie2", "place", F.lit(1).alias("run"))
-    gone = gone.unionByName(asked.where("run > 0").select("row_key", "tie", "tie2", "place", "run"))
+    asked = plain.transform(map_arrow, _candidates(sketch, n), OPEN)
+    rank = F.rank().over(Window.partitionBy("h1", "h2").orderBy("row_key"))
+    gone = asked.withColumn("rank", rank).where((F.col("run") > 0) | (F.col("rank") > 1))
+    who = F.concat(F.array(F.struct("tie", "place")), F.coalesce("more", F.array().cast("array<struct<tie:bigint,place:bigint>>")))
+    gone = gone.select("row_key", F.greatest("run", F.lit(1)).alias("run"), F.explode(who).alias("who")).select(
+        "row_key", "who.tie", F.shiftright("who.place", 32).cast("int").alias("tie2"), F.col("who.place").bitwiseAND(F.lit(2**32 - 1).cast("long")).cast("int").alias("place"), "run"
+    )
     rest = row_struct(docs, without=(text,))
     whole = docs.select(rest.alias("rest"), *name, F.lit(True).alias("is_text"), F.lit(0).alias("place"), F.lit(0).alias("run"), F.col(text).alias("body"))
     none = F.lit(None)
