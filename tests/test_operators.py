@@ -315,3 +315,13 @@ def test_quality_figures(spark):
     assert quality.row_delta(df, df.filter("i = 1")).first()[:] == (3, 2, 1)
     rejects = df.withColumn("why", F.lit("miss"))
     assert rows(quality.reject_rate(df, rejects, "why")) == [("matched", 3), ("miss", 3)]
+
+
+def test_keep_one_sorts_by_key_and_order_alone(spark):
+    df = spark.range(10).selectExpr("id % 2 AS k", "id % 3 AS o", "cast(id AS string) AS wide", "map('a', id) AS extra")
+    kept = keep_one(df, [F.col("k")], [F.col("o").desc()])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "- Sort [" in line or ":- Sort [" in line or "Sort [" in line]
+    assert sorts and not any("wide" in line for line in sorts)
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert rows(kept, "k", "o", "wide", "extra") == [(0, 2, "2", {"a": 2}), (1, 2, "5", {"a": 5})]
