@@ -80,7 +80,7 @@ def to_whole(value: Column, dtype: str = "int") -> Column:
     text = value.cast("string")
     digits = F.regexp_extract(text, WHOLE_NUMBER, 1)
     from_text = F.nullif(digits, F.lit("")).try_cast(dtype)
-    from_text = F.coalesce(from_text, F.when(text.rlike(ONLY_FRACTION), F.lit(0).cast(dtype)))
+    from_text = F.coalesce(from_text, F.when(text.contains(".") & text.rlike(ONLY_FRACTION), F.lit(0).cast(dtype)))
     return F.when(F.typeof(value) == "string", from_text).otherwise(value.try_cast(dtype))
 
 
