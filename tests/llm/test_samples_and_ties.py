@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from texts import prose
 
-from tiercraft.llm import line_rules, spaced_seeds, subword_quality, window_dedup, word_language
+from tiercraft.llm import line_rules, link_trust, spaced_seeds, subword_quality, window_dedup, word_language
 
 
 @pytest.mark.parametrize("rows", [10**9, 10**11, 10**13])
@@ -244,3 +244,11 @@ def test_line_limits(spark):
     assert [by[k].n_removed_words for k in (0, 11, 12, 30)] == [10, 10, 0, 0]
     assert by[0].kept and not by[1000].kept and by[1000].n_removed_words == 62
     assert hashlib.sha256(b"").hexdigest() and line_rules.judge(docs).where("doc_id = 0").first().n_removed_words == 0
+
+
+def test_trust_that_does_not_stand_is_an_error(spark):
+    """A chain longer than the steps allowed: the last hosts are reached too late."""
+    pages = [(k, f"http://h{k}.org/", f'<a href="http://h{k + 1}.org/">x</a>') for k in range(30)] + [(99, "http://a.com/", '<a href="http://h0.org/">x</a>')]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    with pytest.raises(RuntimeError, match="do not stand after 12 steps"):
+        link_trust.judge(frame, {"com/": "allow"}, link_trust.TrustFlow(tolerance=1e-6, most_steps=12)).collect()

@@ -10,9 +10,10 @@ trust and distrust together, and allowed otherwise, also where neither reached t
 Links are counted per pair of hosts before anything is joined, so the work of a step grows with pairs of hosts and
 not with pages; each step is one join and one sum, combined before the shuffle. Scores are written to the shared
 folder every few steps. With a ``tolerance`` they are compared with those written before: steps go on until the absolute
-changes of all hosts add up to the tolerance at most and no further host was reached. So a host counts however many
-links it is away from a seed; only verdicts of hosts within the tolerance of the threshold may be either. Without one,
-``steps`` are taken, and hosts further away are not reached.
+changes of all hosts add up to that share of all scores at most and no further host was reached. So a host counts however
+many links it is away from a seed; only verdicts of hosts within the tolerance of the threshold may be either. Scores that
+do not stand after ``most_steps`` are an error. Without a tolerance ``steps`` are taken, and hosts further away are not
+reached.
 
 Defined results: a NULL url, or one without ``://``, has an empty host and path, no rule, and is allowed. NULL pages
 have no links. Links to the own host are left out. Repeated rows get the same answer each and add to the weight of
@@ -40,6 +41,7 @@ class TrustFlow:
     steps_between_writes: int = 4
     #: None: exactly ``steps``, as ``check_sql`` writes them out. A number: until the scores stand, after ``steps`` at least.
     tolerance: float | None = None
+    most_steps: int = 2000
 
 
 def host_of(url: Column) -> Column:
@@ -85,6 +87,8 @@ def spread(seeds: DataFrame, links: DataFrame, flow: TrustFlow, label: str) -> D
     step, moving = 0, True
     while moving:
         step += 1
+        if step > max(flow.most_steps, flow.steps):
+            raise RuntimeError(f"{label} scores do not stand after {flow.most_steps} steps")
         moved = edges.join(scores, edges["src"] == scores["host"]).select(F.col("dst").alias("host"), (flow.damping * F.col("part") * F.col("score")).alias("score"))
         scores = kept.unionByName(moved).groupBy("host").agg(F.sum("score").alias("score"))
         last = flow.tolerance is None and step == flow.steps
@@ -96,11 +100,12 @@ def spread(seeds: DataFrame, links: DataFrame, flow: TrustFlow, label: str) -> D
 
 
 def still_moving(before: DataFrame, after: DataFrame, tolerance: float) -> bool:
-    """Whether scores changed by more than the tolerance in all, or a host was reached that had none."""
+    """Whether scores changed by more than that share of them all, or a host was reached that had none."""
     both = before.select("host", (-F.col("score")).alias("score"), F.lit(1).alias("old")).unionByName(after.select("host", "score", F.lit(0).alias("old")))
     change = both.groupBy("host").agg(F.abs(F.sum("score")).alias("change"), F.max("old").alias("old"))
     found = change.agg(F.sum("change").alias("change"), F.count_if(F.col("old") == 0).alias("reached")).first()
-    return (found["change"] or 0.0) > tolerance or found["reached"] > 0
+    mass = after.agg(F.sum("score")).first()[0] or 0.0
+    return (found["change"] or 0.0) > tolerance * mass or found["reached"] > 0
 
 
 def judge(pages: DataFrame, rules: dict[str, str], flow: TrustFlow = TrustFlow(), key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
