@@ -265,3 +265,15 @@ def test_catalogue(spark, store, identity, headcount, tmp_path):  # noqa: F811
         runs.catalogue(store, schema, {"bronze.usagge": path})
     with pytest.raises(LookupError, match="country lookup"):
         runs.run_daily(store, Catalogue(spark, [Table("countries", "bronze", f"{schema}.absent"), *[Table(n, "bronze", f"{schema}.{n}") for n in ("usage",)]]), RUN, Exclusions())
+
+
+def test_merge_statement_is_one_that_spark_knows(spark):
+    from tiercraft.sources.merge import merge, merge_statement
+
+    text = merge_statement("db.t", "s", ["k", "m", "odd `name"], ["k"], "m", [202401, 202402])
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(text).toString()
+    assert "MergeIntoTable" in plan and "202402" in plan
+    assert "WHEN MATCHED THEN" in merge_statement("db.t", "s", ["k", "v"], ["k"])
+    with pytest.raises(Exception, match="(?i)merge|table|not found|unsupported"):  # plain Parquet tables have no merge
+        merge(frame(spark, START), "absent_db.t", ["k"], ["v"], "m", [1])
+    assert "merge_source" not in [t.name for t in spark.catalog.listTables()]
