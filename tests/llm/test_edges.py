@@ -21,6 +21,7 @@ def labels(spark, some=True):
 
 BY_ROW = {
     "op1": lambda spark, docs, some: loss_difference.score(docs, labels(spark, some).select("doc_id"), loss_difference.Settings(words=50)),
+    "op1_whole": lambda spark, docs, some: loss_difference.score(docs, labels(spark, some).select("doc_id")),
     "op2": lambda spark, docs, some: plane_shards.read(plane_shards.write(docs, BYTES, 2)),
     "op4": lambda spark, docs, some: word_language.predict(docs, word_language.learn(docs)),
     "op6": lambda spark, docs, some: line_rules.judge(docs),
@@ -64,6 +65,15 @@ def test_urls_on_edges(spark):
     assert link_trust.judge(pages.limit(0), queries.URL_RULES).collect() == []
 
 
+def test_a_very_long_page(spark):
+    """Links of a page of some megabytes all count; a page of one long word has none."""
+    html = "".join(f'<p>{"x" * 400}</p><a href="http://h{k % 50}.org/{k}">y</a>' for k in range(8000))
+    pages = spark.createDataFrame([(1, "http://a.com/", html), (2, "http://b.com/", "<a" + "z" * 3_000_000)], "page_id long, url string, html string")
+    links = {(r.src, r.dst): r.links for r in link_trust.host_links(pages).collect()}
+    assert links == {("a.com", f"h{k}.org"): 160 for k in range(50)}
+    assert {r.verdict for r in link_trust.judge(pages, queries.URL_RULES).collect()} == {"allow"}
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_stages(spark, edge, nothing, tmp_path, name, stage):
     items(spark).write.parquet(f"{tmp_path}/benchmark.parquet")

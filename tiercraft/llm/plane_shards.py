@@ -16,8 +16,9 @@ The chunk index lets a reader decompress only the blocks that hold the ids it wa
 one task. Every task writes one file under a name of its own and returns a row about it; the table of those rows, the
 manifest, names the files that count, so a task that runs twice leaves an unused file and nothing else.
 
-Defined results: NULL and empty texts have the end id alone. NULL keys come first. Repeated rows stay. An empty table
-gives an empty manifest and no files. Other columns are not read.
+Defined results: NULL and empty texts have the end id alone. Keys are numbers, or text of numbers (other text is an error
+in ANSI mode, else NULL). NULL keys come first. Repeated rows stay. An empty table gives an empty manifest and no files.
+An id over 65,535 is an error unless ``width``, the bytes of an id, is 3 or 4. Other columns are not read.
 """
 
 from __future__ import annotations

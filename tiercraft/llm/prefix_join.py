@@ -18,7 +18,8 @@ prefix of the rare ones shows it (``apart``). N-grams proved to occur once never
 Candidates are verified on whole texts. The result is one row a document with the smallest key of its group.
 
 Defined results: texts without words (also NULL) have no n-grams, link with nothing and keep their own key; a text of
-fewer than n words is one n-gram. NULL keys are never the smallest key of a group with another key. Repeated rows are
+fewer than n words is one n-gram. Keys are numbers, or text of numbers (other text is an error in ANSI mode, else NULL).
+NULL keys are never the smallest key of a group with another key. Repeated rows are
 in one group. An empty table gives an empty table. Other columns are not read.
 """
 
