@@ -13,6 +13,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from tiercraft.llm import _text
 from tiercraft.session import shared_folder
 
 ROOT = Path(__file__).resolve().parents[1]
@@ -36,7 +37,8 @@ def ship(spark: SparkSession) -> None:
 
 
 def _release() -> None:
-    """Give freed memory back; Spark keeps its Python workers for later tasks of any kind."""
+    """Give memory back; Spark keeps its Python workers for later tasks of any kind."""
+    _text.forget()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)

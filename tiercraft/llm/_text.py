@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**k and base**-k modulo 2**64 for k below n; kept in the worker, at most 2**20 of each."""
+    """base**k and base**-k modulo 2**64 for k below n; kept in the worker until ``forget``, at most 2**20 of each."""
     have = _powers.get(base)
     if have is None or len(have[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
@@ -64,6 +64,11 @@ def byte_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(own ^ (end - start).astype(np.uint64))
 
 
+def forget() -> None:
+    """Drop the powers that are kept, some 64 MB when all bases are in use."""
+    _powers.clear()
+
+
 class Words:
     """Words of several texts: row r has the words ``first[r]`` to ``first[r + 1]``; ``start`` and ``end`` are bytes.
 

@@ -210,6 +210,8 @@ class RankBpe:
         return " ".join([self.tokens[i] for i in ids])
 
 
+#: Pieces that a worker remembers with their ids and decoded text, some 500 bytes each.
+PIECES = 150_000
 _open: dict[str, tuple[RankBpe, Memo]] = {}
 
 
@@ -218,7 +220,7 @@ def opened(path: str) -> tuple[RankBpe, Memo]:
     if path not in _open:
         _open.clear()
         bpe = RankBpe(path)
-        _open[path] = (bpe, Memo(bpe.encode_pieces, lambda ids: bpe.decode(ids.tolist())))
+        _open[path] = (bpe, Memo(bpe.encode_pieces, lambda ids: bpe.decode(ids.tolist()), most=PIECES))
     return _open[path]
 
 
