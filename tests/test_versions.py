@@ -252,9 +252,9 @@ def test_catalogue(spark, store, identity, headcount, tmp_path):  # noqa: F811
     spark.createDataFrame([usage_row("2026-09-10", "bob.smith@corp.com")], USAGE).write.parquet(path)
     schema = store.schemas["silver"] + "_bronze"
     spark.sql(f"CREATE DATABASE {schema} LOCATION '{tmp_path}/bronze'")
-    spark.createDataFrame([("ES", "Spain")], "Country string, DisplayName string").write.saveAsTable(f"{schema}.{runs.STREAM_TABLES['countries']}")
-    spark.createDataFrame(GOLDEN, AUDIT).write.saveAsTable(f"{schema}.{runs.STREAM_TABLES['audit']}")
-    tables = runs.catalogue(store, schema, {"bronze.usage": path})
+    spark.createDataFrame([("ES", "Spain")], "Country string, DisplayName string").write.saveAsTable(f"{schema}.country_lookup")
+    spark.createDataFrame(GOLDEN, AUDIT).write.saveAsTable(f"{schema}.audit")
+    tables = runs.catalogue(store, schema, {"bronze.usage": path, "bronze.countries": f"{schema}.country_lookup"})
     assert tables.table("bronze.usage").form == "parquet" and not tables.exists("bronze.priority")
     assert tables.table(runs.AUDIT).key == (audit.RECORD_ID,) and tables.table(runs.USAGE).month_col == usage.MONTH
     load(store, identity, headcount)

@@ -249,17 +249,8 @@ class Inputs(NamedTuple):
     core: Mapping[str, DataFrame] = {}
 
 
-# What the bronze tables of the data model are called.
-STREAM_TABLES = {
-    "countries": "CoreCountry_Excel_Hours_Historic",
-    "headcount": "HC_Bronze_Historical",
-    "identity": "CoreOktaUser",
-    "usage": "cursor_usage",
-    "audit": "purview_copilot_usage",
-    "priority": "openai_usage",
-    "alerts": "dynamic_alerts",
-    "security": "security",
-}
+# The bronze tables of the streams and dimensions by what runs call them; a deployment says where its own ones are.
+STREAM_TABLES = ("countries", "headcount", "identity", "usage", "audit", "priority", "alerts", "security")
 CORE_TABLES = (
     "core_asset",
     "core_country",
@@ -286,8 +277,8 @@ SILVER_KEYS = {
 
 def catalogue(store: Warehouse, bronze: str, places: Mapping[str, str] | None = None) -> Catalogue:
     """Every table of the data model: bronze ones in the catalog schema ``bronze``, or where ``places`` says."""
-    names = STREAM_TABLES | {n: n for n in (*reference.REFERENCE_TABLES, *CORE_TABLES)}
-    tables = [Table(name, "bronze", f"{bronze}.{at}") for name, at in names.items()]
+    names = (*STREAM_TABLES, *reference.REFERENCE_TABLES, *CORE_TABLES)
+    tables = [Table(name, "bronze", f"{bronze}.{name}") for name in names]
     for name, (key, month_col) in SILVER_KEYS.items():
         tier, _, short = name.partition(".")
         tables.append(Table(short, tier, store.name(name), key, month_col))
