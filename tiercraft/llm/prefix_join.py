@@ -191,7 +191,8 @@ def index_of(plain: DataFrame, sketch: Broadcast, alike: Similarity) -> DataFram
     # Centre and number combine before they are shuffled, and the merge join is split: an n-gram that a third of the
     # documents have in their prefix is no task of its own.
     heads = rows.groupBy("token").agg(F.count("*").alias("members"), F.min(F.struct("own", "class", "size", "place")).alias("head")).where("members > 1")
-    heads = heads.select("token", "members", F.struct("head.class", "head.size", "head.place", "head.own").alias("centre"))
+    # Written, as a join in the stage that sums up would not be split.
+    heads = stage(heads.select("token", "members", F.struct("head.class", "head.size", "head.place", "head.own").alias("centre")), "heads")
     return stage(rows.join(heads.hint("merge"), "token").select(*rows.columns, "centre", "members"), "index")
 
 
