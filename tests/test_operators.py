@@ -189,6 +189,19 @@ def test_priority_equals_brute_force_with_a_hot_local_part(spark, either_way):
     assert rows(got, "id", "okta_user_id") == sorted(want, key=lambda r: [(v is not None, str(v)) for v in r])
 
 
+def test_priority_deals_identities_out_before_it_sorts_their_entries(spark):
+    """Read in one task, the identities are still sorted in several, and equal addresses of a person once."""
+    people = [person(f"u{i:04}", f"p{i}@x.z", f"p{i}@{'x' if i % 2 else 'y'}.z") for i in range(4000)]
+    identity = spark.createDataFrame(people, IDENTITY).coalesce(1)
+    addresses = spark.createDataFrame([(f"p{i}@x.z",) for i in range(10)], "address string")
+    links = matching.priority_links(addresses, identity, "address")
+    plan = links._jdf.queryExecution().executedPlan().toString()
+    generates = [i for i, line in enumerate(plan.splitlines()) if "Generate explode" in line and "okta_user_id" in line]
+    below = "\n".join(plan.splitlines()[generates[0]:])
+    assert "Exchange hashpartitioning(okta_user_id" in below
+    assert rows(links, "address", "okta_user_id") == [(f"p{i}@x.z", f"u{i:04}") for i in range(10)]
+
+
 def test_identity_slim_accepts_both_spellings(spark):
     identity = spark.createDataFrame(USERS, IDENTITY)
     slim = matching.identity_slim(identity)
