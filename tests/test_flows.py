@@ -1,6 +1,7 @@
 import pytest
 from rows import rows
 
+from tiercraft.plans.priority import priority_base
 from tiercraft.session import METHOD_BYTES, METHOD_SETTING
 from tiercraft.sources.store import Warehouse
 from tiercraft.workload.adapters import DEALT_BY, Bronze
@@ -28,3 +29,11 @@ def test_wide_bronze_rows_are_made_in_several_tasks(spark, monkeypatch, name):
     assert f"Exchange hashpartitioning({columns[0]}#" in plan and "REPARTITION_BY_COL" in plan
     monkeypatch.setattr("tiercraft.workload.adapters.DEALT_BY", {})
     assert rows(dealt) == rows(Bronze(spark, FOLDER).table(name))
+
+
+def test_usage_addresses_are_dealt_out_before_they_are_sorted(spark):
+    """The task that reads the given rows sorts none of them: they are ranked within a record id after they are dealt out."""
+    plan = priority_base(Bronze(spark, FOLDER).table("usage_digits"))._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    below = plan[plan.rindex("WindowGroupLimit"):]
+    assert "Sort [" in below and "Exchange hashpartitioning(event_id#" in below
