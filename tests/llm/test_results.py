@@ -85,6 +85,32 @@ def test_shards_as_the_library(spark):
         at += len(want)
 
 
+def test_byte_pieces_go_to_the_library_as_texts_of_many_words():
+    """The same ids as of whole texts; words, with punctuation too, are not given to the library one by one."""
+    random.seed(5)
+    parts = [" it's", " two", "three,", "\n", "\t", " a\tb", "  ", " ", "\r\n", " \u00e9t\u00e9", "\u65e5\u672c", " x1.", "!", " 42%", "\u0120", " \u0120a", "\u010a", "don't"]
+    texts = ["".join(random.choices(parts, k=random.randrange(12))) for _ in range(600)] + ["", " ", "\n", "end ", "\tx"]
+    texts += ["".join(f" w{'abcdefgh'[i % 8]}{'xyz'[k % 3] * (i % 5)}{i}," for i in range(60)) + "\nnext" for k in range(20)]
+    tokenizer = plane_shards.ByteTokenizer(BYTES)
+    library, given = tokenizer.library, []
+
+    class Counting:
+        model = library.model
+
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    tokenizer.library = Counting()
+    ids, ends = tokenizer.texts(pa.array(["", *texts])[1:])
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == want
+    assert len(given) < len(tokenizer.memo.index) / 2
+    offsets, codes, pieces = plane_shards._cut(pa.array(["zz q", "a b\nc", "", "d b"])[1:])
+    assert offsets.tolist() == [0, 4, 4, 6] and [pieces[c] for c in codes] == ["a", " b", "\n", "c", "d", " b"]
+
+
+
 def test_sketch_never_loses_a_repeated_key(spark):
     keys = [3 * k for k in range(3000)] + [3 * k for k in range(0, 3000, 7)]
     table = spark.createDataFrame([(k,) for k in keys], "k long").repartition(5)

@@ -41,7 +41,7 @@ from pyspark.sql.window import Window
 
 from tiercraft.llm import _files
 from tiercraft.llm._pieces import Memo, listed, spread
-from tiercraft.llm._text import slices
+from tiercraft.llm._text import ragged, slices
 from tiercraft.llm.rank_bpe import byte_characters
 from tiercraft.llm._tasks import map_arrow
 from tiercraft.session import shared_folder, stage
@@ -53,6 +53,8 @@ LEVEL = 1
 SLICE_BYTES = 4 << 20
 #: Pieces that a worker remembers, some 250 bytes each.
 PIECES = 900_000
+#: Pieces given to the library at once, and joined to one text.
+BATCH, JOINED = 5000, 200
 
 
 def to_planes(ids: np.ndarray, width: int, kind: str) -> list[bytes]:
@@ -175,7 +177,8 @@ class ByteTokenizer:
     """The tokenizers library on the pieces of a text, each different piece encoded once.
 
     The file's pattern never joins anything across the start of a run of white space, but for one space before a
-    word. A text is therefore cut before and after a line feed and before a space, and the pieces are encoded alone.
+    word. A text is therefore cut before and after a line feed and before a space, and what a piece encodes to does not
+    depend on the others: new ones are given to the library as texts of many words, and their ids told apart again.
     Runs of white space need the pattern's own rule (all but the last character are one piece); texts with other than
     ASCII white space, or with a special token, go to the library whole.
     """
@@ -196,28 +199,48 @@ class ByteTokenizer:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.odd = "|".join([self.ODD, *map(re.escape, special)])
         self.memo = Memo(self.encode, most=PIECES)
-        self.shown = dict(enumerate(byte_characters()))
+        shown = byte_characters()
+        vocabulary = self.library.get_vocab()
+        # Only the first byte of what the pattern finds can be a space, so a token that begins with one begins a piece.
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(shown[32])]] = True
+        self.feed = vocabulary.get(shown[10])
+        self.joins = self.feed is not None and not any(x.isspace() for token in special for x in token)
 
     def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids end to end and their numbers. Letters alone are one word to the pattern, so the model gets them at once."""
-        model, rest, made = self.library.model, [], []
+        """Ids end to end and their numbers. Pieces of one word are joined to texts, which the pattern cuts between them."""
+        words: tuple[list[int], list[int]] = [], []
+        rest = []
         for k, piece in enumerate(pieces):
-            word = piece[1:] if piece[:1] == " " else piece
-            if not word.isalpha():
-                rest.append(k)
-                made.append(None)
-            else:
-                shown = piece.replace(" ", self.shown[32]) if piece.isascii() else piece.encode().decode("latin1").translate(self.shown)
-                made.append([t.id for t in model.tokenize(shown)])
-        for at in range(0, len(rest), 5000):
-            some = rest[at : at + 5000]
-            for k, e in zip(some, self.library.encode_batch_fast([pieces[k] for k in some], add_special_tokens=False), strict=True):
-                made[k] = e.ids
-        counts = np.fromiter(map(len, made), dtype=np.int64, count=len(made))
-        return np.fromiter(chain.from_iterable(made), dtype=np.uint32, count=int(counts.sum())), counts
-
-    def _listed(self, lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        offsets, codes, pieces = listed(lists)
+            spaced = piece[:1] == " "
+            (words[spaced] if self.joins and piece.split() == [piece[1:] if spaced else piece] else rest).append(k)
+        groups = [self._joined(pieces, words[False], False), self._joined(pieces, words[True], True), self._alone(pieces, rest)]
+        ids, counts = (np.concatenate(x) for x in zip(*groups, strict=True))
+        starts, order = np.cumsum(counts) - counts, np.argsort(np.array([*words[False], *words[True], *rest], dtype=np.int64))
+        return ids[ragged(starts[order], counts[order])], counts[order]
+
+    def _joined(self, pieces: list[str], at: list[int], spaced: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Words with a space before each of them, or with none: these get a line feed, whose id is left out again."""
+        mark, made = "" if spaced else "\n", []
+        for i in range(0, len(at), BATCH):
+            some = [mark + pieces[k] for k in at[i : i + BATCH]]
+            texts = ["".join(some[j : j + JOINED]) for j in range(0, len(some), JOINED)]
+            made += [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        ids = np.fromiter(chain.from_iterable(made), dtype=np.uint32)
+        first = self.spaced[ids] if spaced else ids == self.feed
+        begins = np.flatnonzero(first)
+        if len(begins) != len(at) or len(at) and begins[0]:
+            return self._alone(pieces, at)
+        counts = np.diff(begins, append=len(ids))
+        return (ids, counts) if spaced else (ids[~first], counts - 1)
+
+    def _alone(self, pieces: list[str], at: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        made = []
+        for i in range(0, len(at), BATCH):
+            made += [e.ids for e in self.library.encode_batch_fast([pieces[k] for k in at[i : i + BATCH]], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(made), dtype=np.uint32), np.fromiter(map(len, made), dtype=np.int64, count=len(made))
+
+    def _spread(self, offsets: np.ndarray, codes: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         return spread(offsets, codes, self.memo.numbers(pieces), self.memo)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -225,11 +248,10 @@ class ByteTokenizer:
         odd = pc.match_substring_regex(texts, self.odd)
         many = pc.and_not(pc.match_substring_regex(texts, self.MANY), odd)
         easy = pc.invert(pc.or_(odd, many))
-        cut = pc.replace_substring(pc.replace_substring(texts.filter(easy), "\n", "\x00\n\x00"), " ", "\x00 ")
-        groups = [(easy, self._listed(pc.split_pattern(cut, "\x00")))]
+        groups = [(easy, self._spread(*_cut(texts.filter(easy))))]
         if pc.any(many).as_py():
             runs = pa.array([self.RUNS.findall(t) for t in texts.filter(many).to_pylist()], type=pa.list_(pa.string()))
-            groups.append((many, self._listed(runs)))
+            groups.append((many, self._spread(*listed(runs))))
         if pc.any(odd).as_py():
             ids, counts = self.encode(texts.filter(odd).to_pylist())
             groups.append((odd, (ids, np.concatenate(([0], np.cumsum(counts))))))
@@ -242,6 +264,24 @@ class ByteTokenizer:
         return np.concatenate(parts), np.concatenate(([0], np.cumsum([len(x) for x in parts])))
 
 
+def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """Texts cut before and after line feeds and before spaces, as :func:`listed` gives lists; nothing is copied."""
+    texts = texts.cast(pa.large_string())
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    size = int(ends[-1])
+    there = np.frombuffer(data, dtype=np.uint8, count=size) if size else np.empty(0, dtype=np.uint8)
+    feeds = there == 10
+    first = feeds | (there == 32)
+    first[1:] |= feeds[:-1]
+    first[ends[ends < size]] = True
+    first[: ends[0]] = False
+    starts = np.flatnonzero(first)
+    pieces = pa.Array.from_buffers(pa.large_string(), len(starts), [None, pa.py_buffer(np.append(starts, size)), data])
+    pieces = pieces.dictionary_encode()
+    return np.searchsorted(starts, ends), pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+
+
 _open: dict[str, ByteTokenizer] = {}
 
 
