@@ -1,10 +1,13 @@
 import pytest
 from rows import rows
 
+from tiercraft.operators import matching
 from tiercraft.plans.priority import priority_base
 from tiercraft.session import METHOD_BYTES, METHOD_SETTING
 from tiercraft.sources.store import Warehouse
+from tiercraft.workload import tables
 from tiercraft.workload.adapters import DEALT_BY, Bronze
+from tiercraft.workload.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -37,3 +40,32 @@ def test_usage_addresses_are_dealt_out_before_they_are_sorted(spark):
     assert "WindowGroupLimit" in plan
     below = plan[plan.rindex("WindowGroupLimit"):]
     assert "Sort [" in below and "Exchange hashpartitioning(event_id#" in below
+
+
+def _sorted_where_read(node, above=()):
+    """Sorting steps of a plan that run in the task that reads a given table, each with the steps up to the last exchange."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _sorted_where_read(node.initialPlan())
+    if name.startswith("Scan parquet"):
+        return [above] if any(step.startswith(("Sort", "WindowGroupLimit")) for step in above) else []
+    above = () if "Exchange" in name else (*above, name)
+    children = node.children()
+    return [found for i in range(children.size()) for found in _sorted_where_read(children.apply(i), above)]
+
+
+@pytest.mark.parametrize("name", ["identity_priority"])
+def test_priority_queries_sort_nothing_in_the_task_that_reads_it(spark, monkeypatch, name):
+    """With a table in one row group that task has all its rows; the sides that are settled on the way count as well."""
+    frames = []
+
+    def settled(df, inner=matching.settled):
+        frames.append(df)
+        return inner(df)
+
+    for module in (matching, tables):
+        monkeypatch.setattr(module, "settled", settled)
+    frames.append(QUERIES[name](spark, FOLDER))
+    assert len(frames) == 2
+    for df in frames:
+        assert _sorted_where_read(df._jdf.queryExecution().executedPlan()) == []
