@@ -54,7 +54,7 @@ def _sorted_where_read(node, above=()):
     return [found for i in range(children.size()) for found in _sorted_where_read(children.apply(i), above)]
 
 
-@pytest.mark.parametrize("name", ["identity_priority", "left_attach_winner"])
+@pytest.mark.parametrize("name", ["identity_priority", "left_attach_winner", "priority_match_log"])
 def test_priority_queries_sort_nothing_in_the_task_that_reads_it(spark, monkeypatch, name):
     """With a table in one row group that task has all its rows; the sides that are settled on the way count as well."""
     frames = []
